@@ -1,0 +1,81 @@
+"""Initial load: from the relation to stored users, id map and edges."""
+
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, SparkSession
+
+from kinweave.operators import idmap, roster, stored_graph
+from kinweave.sources import tables
+
+
+@dataclass(frozen=True)
+class GraphTables:
+    users: DataFrame
+    id_map: DataFrame
+    vid_edges: DataFrame
+
+
+class NotUnique(Exception):
+    """A table holds a key twice that must be unique."""
+
+
+def reset_then_load(spark: SparkSession, relation: DataFrame, folder: str) -> GraphTables:
+    """Empty the stores below ``folder`` and fill them: users, id map, then edges."""
+    tables.create_stores(spark, folder)
+    add_users(spark, roster.users(relation), folder)
+    add_edges(spark, roster.friendships(relation), folder)
+    return open_graph(spark, folder)
+
+
+def open_graph(spark: SparkSession, folder: str) -> GraphTables:
+    return GraphTables(
+        tables.read_store(spark, folder, "users"),
+        tables.read_store(spark, folder, "id_map"),
+        tables.read_store(spark, folder, "vid_edges"),
+    )
+
+
+def add_users(spark: SparkSession, users: DataFrame, folder: str) -> None:
+    """Insert the absent users and their ids; running it again adds nothing.
+
+    The id map follows from the stored users, so a run that broke off between the two
+    writes is completed by the next one.
+    """
+    stored = tables.read_store(spark, folder, "users")
+    idmap.insert_candidates(users, stored, ["user_id"]).write.mode("append").parquet(f"{folder}/users")
+    stored = tables.read_store(spark, folder, "users")
+    mapped = tables.read_store(spark, folder, "id_map")
+    new_ids = idmap.with_vertex_ids(idmap.missing_users(stored, mapped))
+    new_ids.write.mode("append").parquet(f"{folder}/id_map")
+    if not idmap.duplicate_user_ids(stored).isEmpty():
+        raise NotUnique(f"{folder}/users holds a user_id twice")
+
+
+def add_edges(spark: SparkSession, friendships: DataFrame, folder: str) -> None:
+    """Insert the absent edges between mapped users; running it again adds nothing."""
+    mapped = tables.read_store(spark, folder, "id_map")
+    stored = tables.read_store(spark, folder, "vid_edges")
+    edges = stored_graph.vid_edges(friendships, mapped)
+    new_edges = idmap.insert_candidates(edges, stored, ["src_vid", "dst_vid"])
+    new_edges.write.mode("append").parquet(f"{folder}/vid_edges")
+
+
+def friendships_of(graph: GraphTables) -> DataFrame:
+    return stored_graph.graph_friendships(graph.vid_edges, graph.id_map)
+
+
+def write_partitions(df: DataFrame, open_client, send) -> None:
+    """Hand rows to an outside store with one client per partition.
+
+    ``open_client()`` runs once per partition and its result is closed at the end;
+    ``send(client, row)`` must be safe to repeat, as a lost task runs again.
+    """
+    def deliver(rows):
+        client = open_client()
+        try:
+            for row in rows:
+                send(client, row)
+        finally:
+            client.close()
+
+    df.foreachPartition(deliver)

@@ -1,0 +1,37 @@
+"""Bring a stored graph in line with the roster."""
+
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame
+
+from kinweave.operators import idmap, roster, stored_graph
+from kinweave.sources.tables import write_table
+
+
+@dataclass(frozen=True)
+class SyncedGraph:
+    id_map: DataFrame
+    vid_edges: DataFrame
+    diff: DataFrame
+
+
+def sync(graph_edges: DataFrame, id_map: DataFrame, relation: DataFrame, folder: str) -> SyncedGraph:
+    """Write the next snapshot of id map and edges below the new path ``folder``.
+
+    Order: add missing users, freeze the difference, delete stale edges, add missing ones.
+    No user is removed, and edges with an end outside the id map are left alone. The old
+    tables are only read, so a run that breaks off has changed nothing.
+    """
+    wanted_users = roster.users(relation)
+    registered = idmap.with_vertex_ids(idmap.missing_users(wanted_users, id_map))
+    new_id_map = write_table(id_map.select("user_id", "vertex_id").unionByName(registered), f"{folder}/id_map")
+
+    wanted = write_table(roster.friendships(relation), f"{folder}/wanted")
+    visible = stored_graph.graph_friendships(graph_edges, new_id_map)
+    diff = write_table(stored_graph.edge_diff(visible, wanted), f"{folder}/diff")
+
+    stale = stored_graph.vid_edges(stored_graph.stale_edges(diff), new_id_map)
+    missing = stored_graph.vid_edges(stored_graph.missing_edges(diff), new_id_map)
+    kept = graph_edges.select("src_vid", "dst_vid").join(stale, ["src_vid", "dst_vid"], "left_anti")
+    next_edges = write_table(kept.unionByName(missing), f"{folder}/vid_edges")
+    return SyncedGraph(new_id_map, next_edges, diff)
