@@ -35,7 +35,7 @@ class Inputs:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir
-        session.tune(spark, self.table("orders"))
+        session.tune(spark, *map(self.table, ("orders", "customer", "supplier", "events", "lineitem")))
 
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
@@ -43,17 +43,9 @@ class Inputs:
     def _written(self, name: str, df: DataFrame) -> DataFrame:
         return write_table(df, session.new_folder(self.spark, name))
 
-    @property
-    def roster(self) -> DataFrame:
-        return self._roster(F.when(F.col("o_orderkey") % 5 == 0, 1).otherwise(3))
-
-    @property
-    def earlier_roster(self) -> DataFrame:
-        """The same rows as they stood at the last sync: other rows were confirmed then."""
-        return self._roster(F.when(F.col("o_orderstatus") == "P", 1).otherwise(3))
-
-    def _roster(self, sub: Column) -> DataFrame:
-        orders = self.table("orders")
+    @cached_property
+    def rosters(self) -> DataFrame:
+        """Roster rows with their state now (``sub``) and at the last sync (``earlier_sub``)."""
         n = self.table("customer").agg(F.count("*")).scalar()
         key, owner = F.col("o_orderkey"), F.col("o_custkey")
         listed = (
@@ -70,11 +62,21 @@ class Inputs:
             .when(key % 107 == 0, _name("u", (f + 3) % F.col("n")))
             .otherwise(_name("u", F.when(f % 40 == 1, f - 1).otherwise(f)))
         )
-        return (
-            orders.withColumn("n", n).withColumn("f0", listed).withColumn("f", friend)
-            .select((key + 1).alias("rosterID"), _name("acct", owner).alias("username"),
-                    _name("acct", f).alias("loginAccount"), user.alias("userID"), sub.alias("sub"))
+        rows = self.table("orders").withColumn("n", n).withColumn("f0", listed).withColumn("f", friend).select(
+            (key + 1).alias("rosterID"), _name("acct", owner).alias("username"),
+            _name("acct", f).alias("loginAccount"), user.alias("userID"),
+            F.when(key % 5 == 0, 1).otherwise(3).alias("sub"),
+            F.when(F.col("o_orderstatus") == "P", 1).otherwise(3).alias("earlier_sub"),
         )
+        return self._written("rosters", rows)
+
+    @property
+    def roster(self) -> DataFrame:
+        return self.rosters.drop("earlier_sub")
+
+    @property
+    def earlier_roster(self) -> DataFrame:
+        return self.rosters.drop("sub").withColumnRenamed("earlier_sub", "sub")
 
     @property
     def relation(self) -> DataFrame:

@@ -174,7 +174,8 @@ _QUERIES = {
         JOIN synced_id_map b ON b.vertex_id = e.dst_vid""",
     "synced_graph": "SELECT * FROM synced_graph",
     "neighbours": """
-        SELECT user_id, friend_user_id FROM friendships WHERE user_id IN (SELECT user_id FROM graph_id_map)""",
+        SELECT m.user_id, e.dst_vid AS friend_vid
+        FROM users u JOIN graph_id_map m ON m.user_id = u.user_id JOIN graph_edges e ON e.src_vid = m.vertex_id""",
     "one_degree": "SELECT * FROM one_degree",
     "two_degree": "SELECT * FROM two_degree",
     "friend_levels": """

@@ -103,6 +103,11 @@ def graph_vid_edges(i):
     return stored_graph.registered_edges(i.graph_edges, i.graph_id_map)
 
 
+@_query
+def neighbours(i):
+    return stored_graph.neighbours(i.users, i.graph_edges, i.graph_id_map)
+
+
 @_query
 def graph_friendships(i):
     return stored_graph.graph_friendships(i.graph_edges, i.graph_id_map)
@@ -151,11 +156,6 @@ def synced_graph(i):
 
 # Neighbourhood
 
-@_query
-def neighbours(i):
-    return neighbourhood.neighbours(i.graph_id_map, i.friendships)
-
-
 @_query
 def one_degree(i):
     return neighbourhood.one_degree(i.requests, i.friendships, i.people)

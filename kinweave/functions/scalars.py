@@ -1,6 +1,8 @@
 """Small column helpers: rounding, trimming, first element."""
 
-from pyspark.sql import Column, DataFrame, functions as F
+from decimal import Decimal
+
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 # Fixed value: the characters a JVM string trim takes off, U+0000 to U+0020.
 TRIMMED = "".join(chr(code) for code in range(0x21))
@@ -14,12 +16,15 @@ def round_half_up(number: Column, digits: int = 2) -> Column:
 def truncate(number: Column, digits: int = 2) -> Column:
     """Cut a double off toward zero on its decimal notation.
 
-    Where rounding went away from zero, step back by one unit of the last digit.
+    Where rounding went away from zero, step back by one unit of the last digit. The step
+    is taken in decimal, as a double can be too coarse for it.
     """
     number = number.cast("double")
     rounded = F.round(number, digits)
-    unit = F.lit(10.0 ** -digits) * F.signum(number)
-    return F.when(F.abs(rounded) > F.abs(number), F.round(rounded - unit, digits)).otherwise(rounded)
+    unit = Decimal(1).scaleb(-digits)
+    step = F.when(number > 0, F.lit(unit)).otherwise(F.lit(-unit))
+    stepped_back = (rounded.cast(T.DecimalType(37, digits)) - step).cast("double")
+    return F.when(F.abs(rounded) > F.abs(number), stepped_back).otherwise(rounded)
 
 
 def trim(text: Column) -> Column:

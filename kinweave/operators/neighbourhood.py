@@ -38,11 +38,6 @@ def people(friendships: DataFrame, id_map: DataFrame) -> DataFrame:
     )
 
 
-def neighbours(seeds: DataFrame, friendships: DataFrame) -> DataFrame:
-    """The friends of every seed user; a repeated seed counts once."""
-    return friendships.join(seeds.select("user_id").distinct(), "user_id", "left_semi")
-
-
 def one_degree(requests: DataFrame, friendships: DataFrame, people: DataFrame) -> DataFrame:
     """Requests whose candidate is a direct friend; with a self edge also the user."""
     direct = _asks(requests).join(_direct(friendships), ASK, "left_semi")
@@ -64,7 +59,7 @@ def friend_levels(requests: DataFrame, friendships: DataFrame, people: DataFrame
     flagged = _asks(requests).join(_direct(friendships).withColumn("direct", F.lit(True)), ASK, "left")
     is_direct = F.coalesce("direct", F.lit(False))
     open_asks = _sized(flagged.withColumn("direct", is_direct), people).where(F.col("direct") | _not_oneself())
-    middles = _middles(open_asks, friendships, direct=F.col("direct"))
+    middles = _middles(open_asks, friendships, "direct", direct=F.col("direct"))
     level = F.when(F.col("direct"), 1).otherwise(2)
     return middles.select(*ASK, level.alias("level")).distinct()
 
@@ -94,7 +89,7 @@ def common_friends_set(requests: DataFrame, friendships: DataFrame, people: Data
     chunks = F.ceil(F.least("out_degree", "in_degree") / max_set)
     number = F.conv(F.substring(F.md5("middle"), 1, 8), 16, 10).cast("long")
     chunk = F.pmod(number, F.col("chunks")).alias("chunk")
-    rows = _middles(asks.withColumn("chunks", chunks), friendships).select(*ASK, chunk, "middle")
+    rows = _middles(asks.withColumn("chunks", chunks), friendships, "chunks").select(*ASK, chunk, "middle")
     return rows.groupBy(*ASK, "chunk").agg(
         F.array_join(F.sort_array(F.collect_set("middle")), ",").alias("common_ids")
     )
@@ -129,27 +124,37 @@ def _sized(asks: DataFrame, people: DataFrame, user_registered: bool = True) ->
     return asks.join(asked, "candidate_id").join(asking.select("user_id", "out_degree"), "user_id")
 
 
-def _middles(asks: DataFrame, friendships: DataFrame, direct: Column | None = None) -> DataFrame:
-    """Add to every ask the middles of its two-hop paths, one row each.
+def _middles(asks: DataFrame, friendships: DataFrame, *carried: str, direct: Column | None = None) -> DataFrame:
+    """The middles of every ask's two-hop paths as (user_id, candidate_id, middle, *carried).
+
+    ``outward`` tells which list an ask takes: True the friends of its user, False those
+    who know its candidate. Asks flagged ``direct`` have NULL there: they match no list and
+    go to the check with their own pair, ``middle`` being NULL or of no meaning.
 
-    Asks flagged ``direct`` match no end and go to the check with their own pair.
+    Listed rows are the largest data of the job, so they are shuffled to the check as one
+    edge (knower, known) and the third user of the path (far), and are put back afterwards.
     """
+    outward, user, candidate, middle = map(F.col, ("outward", "user_id", "candidate_id", "middle"))
+    takes_out = F.col("out_degree") <= F.col("in_degree")
+    if direct is not None:
+        takes_out = F.when(~direct, takes_out)
     ends = friendships.select(F.inline(F.array(
-        F.struct(F.lit("out").alias("via"), F.col("user_id").alias("anchor"), F.col("friend_user_id").alias("middle")),
-        F.struct(F.lit("in").alias("via"), F.col("friend_user_id").alias("anchor"), F.col("user_id").alias("middle")),
+        F.struct(F.lit(True).alias("outward"), user.alias("anchor"), F.col("friend_user_id").alias("middle")),
+        F.struct(F.lit(False).alias("outward"), F.col("friend_user_id").alias("anchor"), user.alias("middle")),
     )))
-    via = F.when(F.col("out_degree") <= F.col("in_degree"), "out").otherwise("in")
-    if direct is not None:
-        via = F.when(direct, "direct").otherwise(via)
-    anchor = F.when(F.col("via") == "in", F.col("candidate_id")).otherwise(F.col("user_id"))
-    listed = (
-        asks.withColumn("via", via).withColumn("anchor", anchor)
-        .join(ends, ["via", "anchor"], "inner" if direct is None else "left")
+    listed = asks.withColumn("outward", takes_out).withColumn(
+        "anchor", F.when(~outward, candidate).otherwise(user)
+    ).join(ends, ["outward", "anchor"], "inner" if direct is None else "left")
+    steps = listed.select(
+        "outward", *carried,
+        F.when(outward, middle).otherwise(user).alias("knower"),
+        F.when(~outward, middle).otherwise(candidate).alias("known"),
+        F.when(outward, user).otherwise(candidate).alias("far"),
     )
-    known = friendships.select(F.col("user_id").alias("knower"), F.col("friend_user_id").alias("known"))
-    knower = F.when(F.col("via") == "out", F.col("middle")).otherwise(F.col("user_id"))
-    target = F.when(F.col("via") == "in", F.col("middle")).otherwise(F.col("candidate_id"))
-    return (
-        listed.withColumn("knower", knower).withColumn("known", target)
-        .join(known, ["knower", "known"], "left_semi")
+    edges = friendships.select(user.alias("knower"), F.col("friend_user_id").alias("known"))
+    return steps.join(edges, ["knower", "known"], "left_semi").select(
+        F.when(outward, F.col("far")).otherwise(F.col("knower")).alias("user_id"),
+        F.when(outward, F.col("known")).otherwise(F.col("far")).alias("candidate_id"),
+        F.when(outward, F.col("knower")).otherwise(F.col("known")).alias("middle"),
+        *carried,
     )

@@ -16,6 +16,13 @@ def registered_edges(graph_edges: DataFrame, id_map: DataFrame) -> DataFrame:
     return graph_edges.select("src_vid", "dst_vid").join(known, "src_vid", "left_semi")
 
 
+def neighbours(seeds: DataFrame, graph_edges: DataFrame, id_map: DataFrame) -> DataFrame:
+    """The vertices every seed user has an edge to; a repeated seed counts once."""
+    asked = id_map.join(seeds.select("user_id").distinct(), "user_id", "left_semi")
+    source = asked.select("user_id", F.col("vertex_id").alias("src_vid"))
+    return graph_edges.join(source, "src_vid").select("user_id", F.col("dst_vid").alias("friend_vid"))
+
+
 def graph_friendships(graph_edges: DataFrame, id_map: DataFrame) -> DataFrame:
     """Stored edges as user id pairs; an edge with an unknown end is not visible."""
     source = id_map.select(F.col("vertex_id").alias("src_vid"), "user_id")

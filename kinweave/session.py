@@ -8,13 +8,16 @@ from pyspark.sql import DataFrame, SparkSession
 
 # Run-time settings the joins rely on: a join key that holds a large share of the
 # rows is split over many tasks, also when that costs one more shuffle later on.
+# Small shuffles keep all cores busy, as a join can multiply their rows.
 ADAPTIVE = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64KB",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
-SHUFFLE_BYTES_PER_PARTITION = 128 * 1024 * 1024
+SHUFFLE_BYTES_PER_PARTITION = 64 * 1024 * 1024
+MOST_PARTITIONS = 100_000
 INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 
 _own_folders: dict[str, str] = {}
@@ -32,13 +35,15 @@ def build_session(app_name: str = "kinweave", master: str | None = None, **conf:
 def tune(spark: SparkSession, *inputs: DataFrame) -> None:
     """Turn on adaptive skew handling and size the shuffles for ``inputs``.
 
-    The shuffle starts with one partition per 128 MB of input (at least one per core),
-    and AQE merges what turns out small. A number the user has set is left alone.
+    Shuffles start with one partition per 64 MB of input, up to the number of map outputs
+    a driver can keep track of, and AQE merges what turns out small. They never start with
+    fewer than ``spark.sql.shuffle.partitions``; a start number the user has set stays.
     """
     for key, value in ADAPTIVE.items():
         spark.conf.set(key, value)
     if inputs and spark.conf.get(INITIAL_PARTITIONS, None) is None:
         wanted = math.ceil(sum(map(planned_bytes, inputs)) / SHUFFLE_BYTES_PER_PARTITION)
+        wanted = min(wanted, MOST_PARTITIONS)
         if wanted > int(spark.conf.get("spark.sql.shuffle.partitions")):
             spark.conf.set(INITIAL_PARTITIONS, str(wanted))
 

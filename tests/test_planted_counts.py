@@ -1,0 +1,88 @@
+"""Row counts of every operator on the planted fixture, as verified beforehand (sf0.001)."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from kinweave.operators import changes, hot, idmap, neighbourhood, roster, stored_graph
+from kinweave.plans import sync
+from kinweave.sources.tables import write_table
+from survey_fixtures import Fixture
+
+
+@pytest.fixture(scope="module")
+def fx(spark):
+    return Fixture(spark)
+
+
+@pytest.fixture(scope="module")
+def graph(spark, fx, tmp_path_factory):
+    folder = str(tmp_path_factory.mktemp("planted"))
+    relation = roster.relation(fx.view_ofroster)
+    edges = write_table(roster.friendships(relation), f"{folder}/friendships")
+    people = write_table(neighbourhood.people(edges, fx.id_map), f"{folder}/people")
+    return relation, edges, people
+
+
+def test_roster(fx, graph):
+    relation, edges, _ = graph
+    assert roster.max_roster_id(fx.view_ofroster).first()[0] == 1500
+    assert relation.count() == 1167
+    assert roster.users(relation).count() == 141
+    assert edges.count() == 1167
+    assert edges.where("user_id = friend_user_id").count() == 1
+    accounts = relation.select(F.col("loginAccount").alias("username"))
+    assert relation.select("username").distinct().join(accounts, "username", "left_anti").count() == 7
+    owners = relation.select("loginAccount", "userId").distinct().groupBy("loginAccount").count()
+    assert owners.where("count = 2").count() == 12
+
+
+def test_neighbourhood(fx, graph):
+    _, edges, people = graph
+    ask = (fx.requests, edges, people)
+    assert fx.requests.count() == 147
+    assert neighbourhood.one_degree(*ask).count() == 10
+    assert neighbourhood.two_degree(*ask).count() == 58
+    assert neighbourhood.friend_levels(*ask).count() == 68
+    assert neighbourhood.common_friend_count(*ask).count() == 62
+    assert neighbourhood.common_friends(*ask).count() == 68
+    assert neighbourhood.common_friends_set(*ask).count() == 62
+    assert neighbourhood.common_friends_pair(*ask).count() == 70
+
+
+def test_stored_graph(fx, graph, tmp_path):
+    relation, edges, _ = graph
+    visible = stored_graph.graph_friendships(fx.graph_edges, fx.graph_id_map)
+    diff = stored_graph.edge_diff(visible, edges)
+    assert fx.graph_edges.count() == 1007
+    assert stored_graph.registered_edges(fx.graph_edges, fx.graph_id_map).count() == 985
+    assert stored_graph.neighbours(fx.seeds, fx.graph_edges, fx.graph_id_map).count() == 100
+    assert visible.count() == 968
+    assert stored_graph.vid_edges(edges, fx.id_map).count() == 1167
+    assert idmap.missing_users(roster.users(relation), fx.graph_id_map).count() == 12
+    assert diff.count() == 363
+    assert stored_graph.stale_edges(diff).count() == 82
+    assert stored_graph.missing_edges(diff).count() == 281
+    synced = sync.sync(fx.graph_edges, fx.graph_id_map, relation, str(tmp_path / "snapshot"))
+    after = stored_graph.graph_friendships(synced.vid_edges, synced.id_map)
+    assert synced.id_map.count() == 151
+    assert after.count() == 1167
+    assert edges.subtract(after).isEmpty() and after.subtract(edges).isEmpty()
+
+
+def test_id_map(fx, graph):
+    users = roster.users(graph[0])
+    assert idmap.resolve_left(users, fx.graph_id_map).count() == 141
+    assert idmap.resolve_inner(users, fx.graph_id_map).count() == 129
+    assert idmap.upsert(fx.id_map, fx.id_map_updates).count() == 151
+    assert idmap.delete_documents(fx.id_map, fx.id_map_deletes).count() == 125
+    assert idmap.duplicate_user_ids(graph[0].select(F.col("userId").alias("user_id"))).count() == 139
+    assert idmap.duplicate_edges(roster.owner_friend_pairs(graph[0])).count() == 46
+
+
+def test_changes_and_hot_users(fx, graph):
+    relation, edges, _ = graph
+    assert changes.apply_changes(edges, fx.changes).count() == 1155
+    assert changes.delete_edges(edges, fx.changes.where("op = 'delete'")).count() == 1092
+    assert changes.users_after_changes(roster.users(relation), fx.changes).count() == 143
+    assert hot.hot_users(edges, 12).count() == 22
+    assert hot.flagged_users(hot.hot_flags(edges, 12)).count() == 22

@@ -1,0 +1,243 @@
+"""Hand-made cases, one per rule of the data model."""
+
+import pytest
+
+from kinweave import schemas
+from kinweave.operators import changes, idmap, neighbourhood, roster, stored_graph
+from kinweave.plans import load, sync
+
+
+@pytest.fixture
+def make(spark):
+    return lambda schema, *rows: spark.createDataFrame(list(rows), schema)
+
+
+def rows(df):
+    return sorted(tuple(row) for row in df.collect())
+
+
+@pytest.fixture
+def ask(make):
+    """Ask all questions about (u, c) pairs in a graph of edges; all ends are registered unless listed."""
+    def run(question, edges, requests, unregistered=()):
+        edge_table = make(schemas.FRIENDSHIPS, *edges)
+        ids = {end for edge in edges for end in edge} | {end for pair in requests for end in pair}
+        id_map = make(schemas.ID_MAP, *[(user, "v" + user) for user in sorted(ids - set(unregistered))])
+        people = neighbourhood.people(edge_table, id_map)
+        return rows(question(make(schemas.REQUESTS, *requests), edge_table, people))
+    return run
+
+
+def roster_rows(make, *listed):
+    return make(schemas.ROSTER, *[(number, *row) for number, row in enumerate(listed, 1)])
+
+
+def test_owner_is_found_by_account_and_direction_is_kept(make):
+    relation = roster.relation(roster_rows(make, ("a1", "a2", "u2", 3), ("a2", "a1", "u1", 3)))
+    assert rows(roster.friendships(relation)) == [("u1", "u2"), ("u2", "u1")]
+
+
+def test_unlisted_owner_is_dropped(make):
+    relation = roster.relation(roster_rows(make, ("a1", "a2", "u2", 3)))
+    assert rows(roster.friendships(relation)) == []
+
+
+def test_account_with_two_user_ids_fans_out(make):
+    relation = roster.relation(roster_rows(
+        make, ("a1", "a2", "u2", 3), ("a9", "a1", "u1", 3), ("a8", "a1", "u1b", 3), ("a7", "a1", "u1", 3)
+    ))
+    assert rows(roster.friendships(relation)) == [("u1", "u2"), ("u1b", "u2")]
+
+
+def test_alias_accounts_make_a_self_edge(make):
+    relation = roster.relation(roster_rows(make, ("a1", "a1b", "u1", 3), ("a9", "a1", "u1", 3)))
+    assert rows(roster.friendships(relation)) == [("u1", "u1")]
+
+
+def test_rows_that_are_no_relation(make):
+    listed = roster_rows(make, ("a1", "a1", "u1", 3), (None, "a1", "u1", 3), ("a1", None, "u1", 3),
+                         ("a1", "a2", None, 3), ("a1", "a2", "u2", 1), ("a1", "a2", "u2", None))
+    assert rows(roster.relation(listed)) == []
+
+
+DIRECT_AND_TWO_HOP = [("u", "a"), ("a", "b"), ("u", "b")]
+
+
+def test_level_one_wins_but_common_friends_count_direct_friends(ask):
+    assert ask(neighbourhood.friend_levels, DIRECT_AND_TWO_HOP, [("u", "b")]) == [("u", "b", 1)]
+    assert ask(neighbourhood.two_degree, DIRECT_AND_TWO_HOP, [("u", "b")]) == []
+    assert ask(neighbourhood.common_friend_count, DIRECT_AND_TWO_HOP, [("u", "b")]) == [("u", "b", 1)]
+    assert ask(neighbourhood.common_friends, DIRECT_AND_TWO_HOP, [("u", "b")]) == [("u", "b", "a")]
+
+
+def test_self_edge(ask):
+    edges = [("u", "u")]
+    assert ask(neighbourhood.friend_levels, edges, [("u", "u")]) == [("u", "u", 1)]
+    assert ask(neighbourhood.one_degree, edges, [("u", "u")]) == [("u", "u")]
+    assert ask(neighbourhood.common_friend_count, edges, [("u", "u")]) == []
+    assert ask(neighbourhood.common_friends_pair, edges, [("u", "u")]) == [("u", "u", "u")]
+
+
+def test_middle_may_be_either_end(ask):
+    edges = [("u", "u"), ("u", "x"), ("x", "x")]
+    assert ask(neighbourhood.common_friends, edges, [("u", "x")]) == [("u", "x", "u"), ("u", "x", "x")]
+
+
+def test_asking_about_oneself(ask):
+    edges = [("u", "m"), ("m", "u")]
+    assert ask(neighbourhood.friend_levels, edges, [("u", "u")]) == []
+    assert ask(neighbourhood.common_friends, edges, [("u", "u")]) == []
+    assert ask(neighbourhood.common_friends_pair, edges, [("u", "u")]) == [("u", "u", "m")]
+
+
+def test_edges_are_directed(ask):
+    edges = [("a", "u")]
+    assert ask(neighbourhood.friend_levels, edges, [("u", "a")]) == []
+    assert ask(neighbourhood.friend_levels, edges, [("a", "u")]) == [("a", "u", 1)]
+
+
+def test_registration(ask):
+    edges = DIRECT_AND_TWO_HOP + [("b", "c")]
+    for question in (neighbourhood.friend_levels, neighbourhood.common_friends, neighbourhood.common_friend_count,
+                     neighbourhood.one_degree, neighbourhood.two_degree):
+        assert ask(question, edges, [("u", "c"), ("u", "b"), ("u", "zzz")], unregistered={"u", "zzz"}) == []
+        assert ask(question, edges, [("u", "c"), ("u", "b")], unregistered={"c", "b"}) == []
+    assert ask(neighbourhood.common_friends_pair, edges, [("u", "c")], unregistered={"u"}) == [("u", "c", "b")]
+    assert ask(neighbourhood.common_friends_pair, edges, [("u", "c")], unregistered={"c"}) == []
+    assert ask(neighbourhood.common_friends, edges, [("u", "c")], unregistered={"b"}) == [("u", "c", "b")]
+
+
+def test_repeated_requests_count_once(ask):
+    requests = [("u", "b")] * 3
+    assert ask(neighbourhood.friend_levels, DIRECT_AND_TWO_HOP, requests) == [("u", "b", 1)]
+    assert ask(neighbourhood.common_friend_count, DIRECT_AND_TWO_HOP, requests) == [("u", "b", 1)]
+
+
+def test_empty_requests(ask):
+    for question in (neighbourhood.friend_levels, neighbourhood.common_friends, neighbourhood.common_friends_pair,
+                     neighbourhood.common_friends_set, neighbourhood.common_friend_count):
+        assert ask(question, DIRECT_AND_TWO_HOP, []) == []
+
+
+def test_a_null_id_asks_nothing(ask, make):
+    edges = make(schemas.FRIENDSHIPS, ("u", "a"))
+    people = neighbourhood.people(edges, make(schemas.ID_MAP, ("u", "v"), ("a", "w")))
+    requests = make(schemas.REQUESTS, ("u", None), (None, "a"), (None, None))
+    assert rows(neighbourhood.friend_levels(requests, edges, people)) == []
+
+
+def test_large_sets_come_in_chunks_that_make_up_the_whole(make):
+    middles = [f"m{i}" for i in range(40)]
+    edges = make(schemas.FRIENDSHIPS, *[("u", m) for m in middles], *[(m, "c") for m in middles])
+    id_map = make(schemas.ID_MAP, ("u", "1"), ("c", "2"))
+    asked = make(schemas.REQUESTS, ("u", "c"))
+    found = neighbourhood.common_friends_set(asked, edges, neighbourhood.people(edges, id_map), max_set=10).collect()
+    assert 1 < len(found) <= 4
+    assert sorted(m for row in found for m in row.common_ids.split(",")) == sorted(middles)
+
+
+def test_repeated_seed_has_its_neighbours_once(make):
+    edges, id_map = make(schemas.VID_EDGES, ("1", "2"), ("2", "3")), make(schemas.ID_MAP, ("u", "1"), ("a", "2"))
+    seeds = make(schemas.USERS, ("u",), ("u",), ("z",))
+    assert rows(stored_graph.neighbours(seeds, edges, id_map)) == [("u", "2")]
+
+
+@pytest.fixture
+def applied(make):
+    def run(edges, *log):
+        edge_table, log_table = make(schemas.FRIENDSHIPS, *edges), make(schemas.CHANGES, *log)
+        users = make(schemas.USERS, *[(u,) for u in sorted({end for edge in edges for end in edge})])
+        return (rows(changes.apply_changes(edge_table, log_table)),
+                [u for u, in rows(changes.users_after_changes(users, log_table))])
+    return run
+
+
+def test_add_creates_both_users_and_is_idempotent(applied):
+    log = [("u", "b", "add", 1), ("u", "b", "add", 2), ("x", "y", "add", 3)]
+    assert applied([("u", "b")], *log) == ([("u", "b"), ("x", "y")], ["b", "u", "x", "y"])
+
+
+def test_add_then_delete_keeps_the_users(applied):
+    assert applied([], ("u", "b", "add", 1), ("u", "b", "delete", 2)) == ([], ["b", "u"])
+
+
+def test_delete_then_add_keeps_the_edge(applied):
+    assert applied([("u", "b")], ("u", "b", "delete", 1), ("u", "b", "add", 2)) == ([("u", "b")], ["b", "u"])
+
+
+def test_delete_keeps_the_reverse_edge_and_unknown_pairs_change_nothing(applied):
+    log = [("u", "b", "delete", 1), ("no", "body", "delete", 2)]
+    assert applied([("u", "b"), ("b", "u")], *log) == ([("b", "u")], ["b", "u"])
+
+
+def test_delete_wins_at_equal_seq(applied):
+    assert applied([("u", "b")], ("u", "b", "add", 1), ("u", "b", "delete", 1))[0] == []
+
+
+def test_upsert_last_version_wins(make, spark):
+    id_map = make(schemas.ID_MAP, ("a", "1"), ("b", "2"))
+    updates = spark.createDataFrame([("a", "new", 2), ("a", "old", 1), ("c", "3", 1)],
+                                    "user_id string, vertex_id string, seq long")
+    assert rows(idmap.upsert(id_map, updates)) == [("a", "new"), ("b", "2"), ("c", "3")]
+
+
+def test_resolving_repeated_and_unknown_ids(make):
+    ids, id_map = make(schemas.USERS, ("a",), ("a",), ("x",)), make(schemas.ID_MAP, ("a", "1"))
+    assert [tuple(r) for r in idmap.resolve_inner(ids, id_map).collect()] == [("a", "1"), ("a", "1")]
+    assert set(map(tuple, idmap.resolve_left(ids, id_map).collect())) == {("a", "1"), ("x", None)}
+
+
+def test_duplicates_are_reported(make):
+    assert rows(idmap.duplicate_user_ids(make(schemas.USERS, ("a",), ("a",), ("b",)))) == [("a", 2)]
+    assert rows(idmap.duplicate_edges(make(schemas.FRIENDSHIPS, ("a", "b"), ("a", "b"), ("b", "a")))) == [("a", "b", 2)]
+
+
+def stored(make):
+    id_map = make(schemas.ID_MAP, ("u1", "s1"), ("u2", "s2"), ("ghost", "sg"))
+    edges = make(schemas.VID_EDGES, ("s1", "s2"), ("sg", "s1"), ("lost", "s1"), ("s2", "lost"))
+    relation = roster.relation(roster_rows(make, ("a2", "a1", "u1", 3), ("a1", "a2", "u2", 3), ("a1", "a3", "u3", 3)))
+    return edges, id_map, relation
+
+
+def test_sync_reaches_the_roster_and_stays(make, tmp_path):
+    edges, id_map, relation = stored(make)
+    first = sync.sync(edges, id_map, relation, str(tmp_path / "1"))
+    assert [user for user, _ in rows(first.id_map)] == ["ghost", "u1", "u2", "u3"]
+    visible = stored_graph.graph_friendships(first.vid_edges, first.id_map)
+    assert rows(visible) == [("u1", "u2"), ("u1", "u3"), ("u2", "u1")]
+    assert {("lost", "s1"), ("s2", "lost")} <= set(rows(first.vid_edges))
+    second = sync.sync(first.vid_edges, first.id_map, relation, str(tmp_path / "2"))
+    assert second.diff.isEmpty()
+    assert rows(second.vid_edges) == rows(first.vid_edges)
+    assert rows(second.id_map) == rows(first.id_map)
+
+
+def test_sync_of_a_user_whose_old_vertex_has_edges(make, tmp_path):
+    """A user lost from the id map gets its digest id back, and with it its old edges: they are synced too."""
+    edges, id_map, relation = stored(make)
+    old = idmap.with_vertex_ids(make(schemas.USERS, ("u3",))).first().vertex_id
+    edges = edges.unionByName(make(schemas.VID_EDGES, (old, "s1"), ("s1", old)))
+    synced = sync.sync(edges, id_map, relation, str(tmp_path / "1"))
+    visible = stored_graph.graph_friendships(synced.vid_edges, synced.id_map)
+    assert rows(visible) == [("u1", "u2"), ("u1", "u3"), ("u2", "u1")]
+
+
+def test_load_twice_adds_nothing(make, spark, tmp_path):
+    relation = stored(make)[2]
+    folder = str(tmp_path / "graph")
+    graph = load.reset_then_load(spark, relation, folder)
+    expected = rows(roster.friendships(relation))
+    assert rows(load.friendships_of(graph)) == expected
+    load.add_users(spark, roster.users(relation), folder)
+    load.add_edges(spark, roster.friendships(relation), folder)
+    again = load.open_graph(spark, folder)
+    assert rows(load.friendships_of(again)) == expected
+    assert again.users.count() == again.id_map.count() == 3
+
+
+def test_load_reports_a_broken_uniqueness(make, spark, tmp_path):
+    folder = str(tmp_path / "graph")
+    load.reset_then_load(spark, stored(make)[2], folder)
+    make(schemas.USERS, ("u1",)).write.mode("append").parquet(f"{folder}/users")
+    with pytest.raises(load.NotUnique):
+        load.add_users(spark, make(schemas.USERS, ("u9",)), folder)
