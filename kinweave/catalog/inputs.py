@@ -106,9 +106,9 @@ class Inputs:
     def requests(self) -> DataFrame:
         """What users ask about: their friends, a friend of each friend, strangers, themselves."""
         friends = self.friendships.select("user_id", F.col("friend_user_id").alias("candidate_id"))
-        suggested = friends.groupBy(F.col("user_id").alias("friend_user_id")).agg(
+        suggested = self._written("suggested", friends.groupBy(F.col("user_id").alias("friend_user_id")).agg(
             F.max("candidate_id").alias("candidate_id")
-        )
+        ))
         friend_of_friend = self.friendships.join(suggested, "friend_user_id").select("user_id", "candidate_id")
         n = self.table("customer").agg(F.count("*")).scalar()
         key, owner = F.col("o_orderkey"), F.col("o_custkey")

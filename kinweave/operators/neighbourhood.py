@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 ASK = ["user_id", "candidate_id"]
 MAX_SET = 1000
+OUT, IN, DIRECT = 1, 2, 3
 
 
 def people(friendships: DataFrame, id_map: DataFrame) -> DataFrame:
@@ -59,7 +60,7 @@ def friend_levels(requests: DataFrame, friendships: DataFrame, people: DataFrame
     flagged = _asks(requests).join(_direct(friendships).withColumn("direct", F.lit(True)), ASK, "left")
     is_direct = F.coalesce("direct", F.lit(False))
     open_asks = _sized(flagged.withColumn("direct", is_direct), people).where(F.col("direct") | _not_oneself())
-    middles = _middles(open_asks, friendships, "direct", direct=F.col("direct"))
+    middles = _middles(open_asks, friendships, "direct", direct_for=people)
     level = F.when(F.col("direct"), 1).otherwise(2)
     return middles.select(*ASK, level.alias("level")).distinct()
 
@@ -124,37 +125,39 @@ def _sized(asks: DataFrame, people: DataFrame, user_registered: bool = True) ->
     return asks.join(asked, "candidate_id").join(asking.select("user_id", "out_degree"), "user_id")
 
 
-def _middles(asks: DataFrame, friendships: DataFrame, *carried: str, direct: Column | None = None) -> DataFrame:
+def _middles(asks: DataFrame, friendships: DataFrame, *carried: str, direct_for: DataFrame | None = None) -> DataFrame:
     """The middles of every ask's two-hop paths as (user_id, candidate_id, middle, *carried).
 
-    ``outward`` tells which list an ask takes: True the friends of its user, False those
-    who know its candidate. Asks flagged ``direct`` have NULL there: they match no list and
-    go to the check with their own pair, ``middle`` being NULL or of no meaning.
+    An ask goes ``via`` the friends of its user (OUT) or those who know its candidate (IN).
+    With ``direct_for``, a table of all users, asks flagged ``direct`` go via one row of
+    their user (DIRECT): nothing is listed and the check gets their own pair. That keeps
+    the join an inner join, which can split a hot key on either side.
 
     Listed rows are the largest data of the job, so they are shuffled to the check as one
     edge (knower, known) and the third user of the path (far), and are put back afterwards.
     """
-    outward, user, candidate, middle = map(F.col, ("outward", "user_id", "candidate_id", "middle"))
-    takes_out = F.col("out_degree") <= F.col("in_degree")
-    if direct is not None:
-        takes_out = F.when(~direct, takes_out)
+    via, user, candidate, middle = map(F.col, ("via", "user_id", "candidate_id", "middle"))
+    takes = F.when(F.col("out_degree") <= F.col("in_degree"), OUT).otherwise(IN)
     ends = friendships.select(F.inline(F.array(
-        F.struct(F.lit(True).alias("outward"), user.alias("anchor"), F.col("friend_user_id").alias("middle")),
-        F.struct(F.lit(False).alias("outward"), F.col("friend_user_id").alias("anchor"), user.alias("middle")),
+        F.struct(F.lit(OUT).alias("via"), user.alias("anchor"), F.col("friend_user_id").alias("middle")),
+        F.struct(F.lit(IN).alias("via"), F.col("friend_user_id").alias("anchor"), user.alias("middle")),
     )))
-    listed = asks.withColumn("outward", takes_out).withColumn(
-        "anchor", F.when(~outward, candidate).otherwise(user)
-    ).join(ends, ["outward", "anchor"], "inner" if direct is None else "left")
-    steps = listed.select(
-        "outward", *carried,
-        F.when(outward, middle).otherwise(user).alias("knower"),
-        F.when(~outward, middle).otherwise(candidate).alias("known"),
-        F.when(outward, user).otherwise(candidate).alias("far"),
+    if direct_for is not None:
+        takes = F.when(F.col("direct"), DIRECT).otherwise(takes)
+        ends = ends.unionByName(direct_for.select(
+            F.lit(DIRECT).alias("via"), user.alias("anchor"), F.lit(None).cast("string").alias("middle")
+        ))
+    anchored = asks.withColumn("via", takes).withColumn("anchor", F.when(via == IN, candidate).otherwise(user))
+    steps = anchored.join(ends, ["via", "anchor"]).select(
+        "via", *carried,
+        F.when(via == OUT, middle).otherwise(user).alias("knower"),
+        F.when(via == IN, middle).otherwise(candidate).alias("known"),
+        F.when(via == OUT, user).otherwise(candidate).alias("far"),
     )
     edges = friendships.select(user.alias("knower"), F.col("friend_user_id").alias("known"))
     return steps.join(edges, ["knower", "known"], "left_semi").select(
-        F.when(outward, F.col("far")).otherwise(F.col("knower")).alias("user_id"),
-        F.when(outward, F.col("known")).otherwise(F.col("far")).alias("candidate_id"),
-        F.when(outward, F.col("knower")).otherwise(F.col("known")).alias("middle"),
+        F.when(via == OUT, F.col("far")).otherwise(F.col("knower")).alias("user_id"),
+        F.when(via == OUT, F.col("known")).otherwise(F.col("far")).alias("candidate_id"),
+        F.when(via == OUT, F.col("knower")).otherwise(F.col("known")).alias("middle"),
         *carried,
     )

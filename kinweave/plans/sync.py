@@ -26,9 +26,8 @@ def sync(graph_edges: DataFrame, id_map: DataFrame, relation: DataFrame, folder:
     registered = idmap.with_vertex_ids(idmap.missing_users(wanted_users, id_map))
     new_id_map = write_table(id_map.select("user_id", "vertex_id").unionByName(registered), f"{folder}/id_map")
 
-    wanted = write_table(roster.friendships(relation), f"{folder}/wanted")
     visible = stored_graph.graph_friendships(graph_edges, new_id_map)
-    diff = write_table(stored_graph.edge_diff(visible, wanted), f"{folder}/diff")
+    diff = write_table(stored_graph.edge_diff(visible, roster.friendships(relation)), f"{folder}/diff")
 
     stale = stored_graph.vid_edges(stored_graph.stale_edges(diff), new_id_map)
     missing = stored_graph.vid_edges(stored_graph.missing_edges(diff), new_id_map)
