@@ -41,13 +41,13 @@ def people(friendships: DataFrame, id_map: DataFrame) -> DataFrame:
 
 def one_degree(requests: DataFrame, friendships: DataFrame, people: DataFrame) -> DataFrame:
     """Requests whose candidate is a direct friend; with a self edge also the user."""
-    direct = _asks(requests).join(_direct(friendships), ASK, "left_semi")
+    direct = _asks(requests).join(_edges(friendships), _is_edge(), "left_semi")
     return _sized(direct, people).select(*ASK)
 
 
 def two_degree(requests: DataFrame, friendships: DataFrame, people: DataFrame) -> DataFrame:
     """Requests whose candidate is a friend's friend, no direct friend and not the user."""
-    others = _asks(requests).where(_not_oneself()).join(_direct(friendships), ASK, "left_anti")
+    others = _asks(requests).where(_not_oneself()).join(_edges(friendships), _is_edge(), "left_anti")
     return _middles(_sized(others, people), friendships).select(*ASK).distinct()
 
 
@@ -57,9 +57,9 @@ def friend_levels(requests: DataFrame, friendships: DataFrame, people: DataFrame
     A direct friend travels along with no middle to look for and passes the final edge
     check on its own pair, so the requests are shuffled and joined once for both levels.
     """
-    flagged = _asks(requests).join(_direct(friendships).withColumn("direct", F.lit(True)), ASK, "left")
-    is_direct = F.coalesce("direct", F.lit(False))
-    open_asks = _sized(flagged.withColumn("direct", is_direct), people).where(F.col("direct") | _not_oneself())
+    flagged = _asks(requests).join(_edges(friendships), _is_edge(), "left")
+    asks = flagged.select(*ASK, F.col("known").isNotNull().alias("direct"))
+    open_asks = _sized(asks.where(F.col("direct") | _not_oneself()), people)
     middles = _middles(open_asks, friendships, "direct", direct_for=people)
     level = F.when(F.col("direct"), 1).otherwise(2)
     return middles.select(*ASK, level.alias("level")).distinct()
@@ -110,8 +110,13 @@ def _not_oneself() -> Column:
     return F.col("user_id") != F.col("candidate_id")
 
 
-def _direct(friendships: DataFrame) -> DataFrame:
-    return friendships.select("user_id", F.col("friend_user_id").alias("candidate_id"))
+def _edges(friendships: DataFrame) -> DataFrame:
+    """The edges to look pairs up in; the same columns each time, so that one shuffle serves all look-ups."""
+    return friendships.select(F.col("user_id").alias("knower"), F.col("friend_user_id").alias("known"))
+
+
+def _is_edge() -> Column:
+    return (F.col("user_id") == F.col("knower")) & (F.col("candidate_id") == F.col("known"))
 
 
 def _sized(asks: DataFrame, people: DataFrame, user_registered: bool = True) -> DataFrame:
@@ -154,8 +159,7 @@ def _middles(asks: DataFrame, friendships: DataFrame, *carried: str, direct_for:
         F.when(via == IN, middle).otherwise(candidate).alias("known"),
         F.when(via == OUT, user).otherwise(candidate).alias("far"),
     )
-    edges = friendships.select(user.alias("knower"), F.col("friend_user_id").alias("known"))
-    return steps.join(edges, ["knower", "known"], "left_semi").select(
+    return steps.join(_edges(friendships), ["knower", "known"], "left_semi").select(
         F.when(via == OUT, F.col("far")).otherwise(F.col("knower")).alias("user_id"),
         F.when(via == OUT, F.col("known")).otherwise(F.col("far")).alias("candidate_id"),
         F.when(via == OUT, F.col("knower")).otherwise(F.col("known")).alias("middle"),
