@@ -31,7 +31,7 @@ def people(friendships: DataFrame, id_map: DataFrame) -> DataFrame:
     ends = friendships.select(F.inline(F.array(
         entry("user_id", False, 1, 0), entry("friend_user_id", False, 0, 1)
     )))
-    known = id_map.select(F.inline(F.array(entry("user_id", True, 0, 0))))
+    known = id_map.select(entry("user_id", True, 0, 0).alias("entry")).select("entry.*")
     return ends.unionByName(known).groupBy("user_id").agg(
         F.max("registered").alias("registered"),
         F.sum("out_degree").alias("out_degree"),

@@ -18,6 +18,7 @@ ADAPTIVE = {
 }
 SHUFFLE_BYTES_PER_PARTITION = 64 * 1024 * 1024
 MOST_PARTITIONS = 100_000
+UNKNOWN_BYTES = 2 ** 60
 INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 
 _own_folders: dict[str, str] = {}
@@ -36,16 +37,16 @@ def tune(spark: SparkSession, *inputs: DataFrame) -> None:
     """Turn on adaptive skew handling and size the shuffles for ``inputs``.
 
     Shuffles start with one partition per 64 MB of input, up to the number of map outputs
-    a driver can keep track of, and AQE merges what turns out small. They never start with
-    fewer than ``spark.sql.shuffle.partitions``; a start number the user has set stays.
+    a driver can keep track of, and AQE merges what turns out small. A larger number that
+    is already set stays. Inputs whose size Spark cannot know, as a database scan, do not count.
     """
     for key, value in ADAPTIVE.items():
         spark.conf.set(key, value)
-    if inputs and spark.conf.get(INITIAL_PARTITIONS, None) is None:
-        wanted = math.ceil(sum(map(planned_bytes, inputs)) / SHUFFLE_BYTES_PER_PARTITION)
-        wanted = min(wanted, MOST_PARTITIONS)
-        if wanted > int(spark.conf.get("spark.sql.shuffle.partitions")):
-            spark.conf.set(INITIAL_PARTITIONS, str(wanted))
+    known = [size for size in map(planned_bytes, inputs) if size < UNKNOWN_BYTES]
+    wanted = min(math.ceil(sum(known) / SHUFFLE_BYTES_PER_PARTITION), MOST_PARTITIONS)
+    current = spark.conf.get(INITIAL_PARTITIONS, None) or spark.conf.get("spark.sql.shuffle.partitions")
+    if wanted > int(current):
+        spark.conf.set(INITIAL_PARTITIONS, str(wanted))
 
 
 def planned_bytes(df: DataFrame) -> int:

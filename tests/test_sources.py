@@ -106,13 +106,23 @@ def test_a_cluster_must_name_its_folder():
     assert session.shared_folder(unconfigured("local[2]")) == session.shared_folder(unconfigured("local[2]"))
 
 
-def test_shuffles_are_sized_by_the_input(spark, monkeypatch):
+@pytest.mark.parametrize("sizes, partitions", [
+    ([10 * session.SHUFFLE_BYTES_PER_PARTITION], "10"),
+    ([6 * session.SHUFFLE_BYTES_PER_PARTITION, 2 ** 62], "6"),
+    ([10 ** 14], str(session.MOST_PARTITIONS)),
+    ([1000], None),
+])
+def test_shuffles_are_sized_by_the_input(spark, monkeypatch, sizes, partitions):
     other = spark.newSession()
-    monkeypatch.setattr(session, "planned_bytes", lambda df: 10 * session.SHUFFLE_BYTES_PER_PARTITION)
-    session.tune(other, spark.range(1))
-    assert other.conf.get(session.INITIAL_PARTITIONS) == "10"
+    sizes = iter(sizes + [0])
+    monkeypatch.setattr(session, "planned_bytes", lambda df: next(sizes))
+    session.tune(other, *[spark.range(1)] * 2)
+    assert other.conf.get(session.INITIAL_PARTITIONS, None) == partitions
+
+
+def test_a_larger_number_of_partitions_stays(spark, monkeypatch):
     other = spark.newSession()
-    monkeypatch.setattr(session, "planned_bytes", lambda df: 10 ** 14)
+    other.conf.set(session.INITIAL_PARTITIONS, "500")
+    monkeypatch.setattr(session, "planned_bytes", lambda df: 10 * session.SHUFFLE_BYTES_PER_PARTITION)
     session.tune(other, spark.range(1))
-    assert int(other.conf.get(session.INITIAL_PARTITIONS)) == session.MOST_PARTITIONS
-    assert spark.conf.get(session.INITIAL_PARTITIONS, None) is None
+    assert other.conf.get(session.INITIAL_PARTITIONS) == "500"
