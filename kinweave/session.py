@@ -7,13 +7,15 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 # Run-time settings the joins rely on: a join key that holds a large share of the
-# rows is split over many tasks, also when that costs one more shuffle later on.
+# rows is split over many tasks, also when that costs one more shuffle later on. The
+# threshold is low because rows of one key compress well and look small.
 # Small shuffles keep all cores busy, as a join can multiply their rows.
 ADAPTIVE = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64KB",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64MB",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 SHUFFLE_BYTES_PER_PARTITION = 64 * 1024 * 1024

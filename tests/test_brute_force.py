@@ -46,12 +46,12 @@ def as_rows(sets):
 
 
 @pytest.mark.parametrize("seed", [1, 2, 3])
-def test_random_graph(spark, tmp_path, seed):
+def test_random_graph(make, tmp_path, seed):
     edges, requests, registered = random_graph(seed)
-    edge_table = spark.createDataFrame(sorted(edges), schemas.FRIENDSHIPS)
-    id_map = spark.createDataFrame([(user, "v" + user) for user in registered], schemas.ID_MAP)
+    edge_table = make(schemas.FRIENDSHIPS, *sorted(edges))
+    id_map = make(schemas.ID_MAP, *[(user, "v" + user) for user in registered])
     people = write_table(neighbourhood.people(edge_table, id_map), str(tmp_path / "people"))
-    ask = (spark.createDataFrame(requests, schemas.REQUESTS), edge_table, people)
+    ask = (make(schemas.REQUESTS, *requests), edge_table, people)
     levels, common, pair = expected_answers(edges, requests, registered)
 
     def answers(question):

@@ -8,11 +8,11 @@ from test_brute_force import expected_answers, random_graph
 
 
 @pytest.fixture(scope="module")
-def asked(spark, tmp_path_factory):
+def asked(make, tmp_path_factory):
     folder = str(tmp_path_factory.mktemp("questions"))
     edges, requests, registered = random_graph(4)
-    friendships = write_table(spark.createDataFrame(sorted(edges), schemas.FRIENDSHIPS), f"{folder}/edges")
-    id_map = spark.createDataFrame([(user, "v" + user) for user in sorted(registered)], schemas.ID_MAP)
+    friendships = write_table(make(schemas.FRIENDSHIPS, *sorted(edges)), f"{folder}/edges")
+    id_map = make(schemas.ID_MAP, *[(user, "v" + user) for user in sorted(registered)])
     people = write_table(neighbourhood.people(friendships, id_map), f"{folder}/people")
     candidates = [candidate for user, candidate in requests if user == "p0"]
     answers = expected_answers(edges, [("p0", candidate) for candidate in candidates], registered)

@@ -7,11 +7,6 @@ from kinweave.operators import changes, idmap, neighbourhood, roster, stored_gra
 from kinweave.plans import load, sync
 
 
-@pytest.fixture
-def make(spark):
-    return lambda schema, *rows: spark.createDataFrame(list(rows), schema)
-
-
 def rows(df):
     return sorted(tuple(row) for row in df.collect())
 
