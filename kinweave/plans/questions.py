@@ -52,10 +52,9 @@ class FriendGraph:
 
     def narrowed(self, requests: DataFrame) -> tuple[DataFrame, DataFrame]:
         """Edges and people that can matter to the requests."""
-        asking = requests.select("user_id").distinct()
-        asked = requests.select(F.col("candidate_id").alias("friend_user_id")).distinct()
-        leaving = self.friendships.join(asking, "user_id", "left_semi")
-        entering = self.friendships.join(asked, "friend_user_id", "left_semi")
-        named = asking.union(asked).distinct()
-        edges = leaving.unionByName(entering).distinct()
-        return edges, self.people.join(named, "user_id", "left_semi")
+        asking = requests.select("user_id", F.lit(True).alias("leaves")).distinct()
+        asked = requests.select(F.col("candidate_id").alias("friend_user_id"), F.lit(True).alias("enters")).distinct()
+        marked = self.friendships.join(asking, "user_id", "left").join(asked, "friend_user_id", "left")
+        edges = marked.where(F.col("leaves").isNotNull() | F.col("enters").isNotNull())
+        named = requests.select(F.explode(F.array("user_id", "candidate_id")).alias("user_id")).distinct()
+        return edges.select("user_id", "friend_user_id"), self.people.join(named, "user_id", "left_semi")

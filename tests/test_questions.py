@@ -42,11 +42,12 @@ def test_empty_list_and_unknown_user(asked):
     assert rows(graph.common_friends("nobody", candidates)) == []
 
 
-def test_the_edge_table_is_filtered_before_any_shuffle(asked):
+def test_the_edge_table_is_scanned_once_and_not_shuffled(asked):
     graph, candidates, _ = asked
     edges, _ = graph.narrowed(requests_of(graph.friendships.sparkSession, "p0", candidates))
     plan = edges._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("LeftSemi, BuildRight") == 2 and "SortMergeJoin" not in plan
+    assert plan.count("LeftOuter, BuildRight") == 2 and plan.count("FileScan") == 1
+    assert "SortMergeJoin" not in plan
 
 
 def test_single_changes(asked):
