@@ -142,7 +142,7 @@ class Inputs:
         )
         return self._written("graph_edges", earlier.unionByName(strays))
 
-    @property
+    @cached_property
     def changes(self) -> DataFrame:
         """Adds and deletes from events, then everybody drops friends in debt."""
         in_debt = self.table("customer").where("c_acctbal < 0").select(
@@ -152,7 +152,7 @@ class Inputs:
             "user_id", "friend_user_id", F.lit("delete").alias("op"),
             (F.col("c_custkey") + 1000000000).alias("seq"),
         )
-        return event_changes(self.table("events")).unionByName(drops)
+        return self._written("changes", event_changes(self.table("events")).unionByName(drops))
 
     @property
     def id_map_updates(self) -> DataFrame:

@@ -62,20 +62,3 @@ def add_edges(spark: SparkSession, friendships: DataFrame, folder: str) -> None:
 
 def friendships_of(graph: GraphTables) -> DataFrame:
     return stored_graph.graph_friendships(graph.vid_edges, graph.id_map)
-
-
-def write_partitions(df: DataFrame, open_client, send) -> None:
-    """Hand rows to an outside store with one client per partition.
-
-    ``open_client()`` runs once per partition and its result is closed at the end;
-    ``send(client, row)`` must be safe to repeat, as a lost task runs again.
-    """
-    def deliver(rows):
-        client = open_client()
-        try:
-            for row in rows:
-                send(client, row)
-        finally:
-            client.close()
-
-    df.foreachPartition(deliver)

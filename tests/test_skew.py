@@ -87,3 +87,24 @@ def test_a_hub_costs_no_more_than_the_shorter_list(hot):
     listed = asks.agg(F.sum(F.least("out_degree", "in_degree"))).first()[0]
     one_sided = asks.agg(F.sum("out_degree")).first()[0]
     assert listed < 20 * ROWS < one_sided
+
+
+def test_answers_on_hot_keys_are_whole(hot):
+    knows, known_by = {}, {}
+    for user, friend in hot["edges"].collect():
+        knows.setdefault(user, set()).add(friend)
+        known_by.setdefault(friend, set()).add(user)
+    asks = set(map(tuple, hot["requests"].collect()))
+    common = {(u, c): knows.get(u, set()) & known_by.get(c, set()) for u, c in asks if u != c}
+    common = {ask: middles for ask, middles in common.items() if middles}
+    direct = {(u, c) for u, c in asks if c in knows.get(u, ())}
+    ask = (hot["requests"], hot["edges"], hot["people"])
+    counts = {(r.user_id, r.candidate_id): r.n_common for r in neighbourhood.common_friend_count(*ask).collect()}
+    assert counts == {pair: len(middles) for pair, middles in common.items()}
+    levels = {(r.user_id, r.candidate_id): r.level for r in neighbourhood.friend_levels(*ask).collect()}
+    assert levels == {**{pair: 2 for pair in common}, **{pair: 1 for pair in direct}}
+    chunks = {}
+    for row in neighbourhood.common_friends_set(*ask, max_set=100).collect():
+        chunks.setdefault((row.user_id, row.candidate_id), []).extend(row.common_ids.split(","))
+    assert {pair: sorted(middles) for pair, middles in chunks.items()} == {
+        pair: sorted(middles) for pair, middles in common.items()}

@@ -4,8 +4,8 @@ from types import SimpleNamespace
 import pytest
 
 from kinweave import schemas, session
-from kinweave.plans.load import write_partitions
 from kinweave.sources import index, roster, tables
+from kinweave.sources.outside import write_partitions
 
 
 class JdbcReader:
