@@ -27,7 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from kinweave.llm.tables import as_texts, map_texts, written
+from kinweave.llm.tables import as_texts, map_texts, ship_package, written
 
 CAPACITY = 4096
 SHARD_PIECES = 4096
@@ -37,7 +37,11 @@ FILLINGS = 6
 
 
 class WordEncoder:
-    """Ids of texts, word by word: the tokenizer drops white space, and no token spans it."""
+    """Ids of texts, word by word: the tokenizer drops white space, and no token spans it.
+
+    Most new words are letters with a comma or full stop at most. They are encoded in runs without
+    the mark, and the run's ids are cut behind every token that ends a word.
+    """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -45,21 +49,53 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        vocab = self.tokenizer.get_vocab()
+        self.ends_word = np.zeros(max(vocab.values()) + 1, bool)
+        self.ends_word[[i for token, i in vocab.items() if token.endswith("</w>")]] = True
+        self.marks = {mark: self._encode_each([mark])[0] for mark in ".,"}
         self.known: dict[str, bytes] = {}
+        self.plain: dict[str, bytes] = {}
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
         split = [(text.lower() if text.isascii() else text).replace("\n", " ").split(" ") for text in texts]
         if len(self.known) > CACHED_WORDS:
             self.known.clear()
-        new = list({word for words in split for word in words}.difference(self.known))
-        for at in range(0, len(new), 4096):
-            part = new[at:at + 4096]
-            for word, found in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                self.known[word] = np.array(found.ids, "<u4").tobytes()
+            self.plain.clear()
+        self._learn({word for words in split for word in words}.difference(self.known))
         known = self.known.__getitem__
         return [b"".join(map(known, words)) for words in split]
 
+    def _learn(self, new: set[str]) -> None:
+        marked, other = [], []
+        for word in new:
+            core, mark = (word[:-1], word[-1]) if word[-1:] in self.marks else (word, "")
+            # below U+0100 lower case and normal form are the same for a letter wherever it stands
+            if core.isalpha() and (core.isascii() or max(core) < "\u0100"):
+                marked.append((word, core.lower(), mark))
+            else:
+                other.append(word)
+        plain = list({core for _, core, _ in marked}.difference(self.plain))
+        for at in range(0, len(plain), 4096):
+            run = plain[at:at + 4096]
+            self.plain.update(zip(run, self._encode_run(run)))
+        for word, core, mark in marked:
+            self.known[word] = self.plain[core] + self.marks[mark] if mark else self.plain[core]
+        self.known.update(zip(other, self._encode_each(other)))
+
+    def _encode_run(self, words: list[str]) -> list[bytes]:
+        run = self.tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)
+        ids = np.array(run[0].ids, "<u4")
+        ends = np.flatnonzero(self.ends_word[ids]) + 1
+        if len(ends) != len(words):
+            return self._encode_each(words)
+        data, bounds = ids.tobytes(), [0, *(4 * ends).tolist()]
+        return [data[low:high] for low, high in zip(bounds, bounds[1:])]
+
+    def _encode_each(self, words: list[str]) -> list[bytes]:
+        found = self.tokenizer.encode_batch_fast(words, add_special_tokens=False) if words else []
+        return [np.array(word.ids, "<u4").tobytes() for word in found]
+
 
 @lru_cache(maxsize=2)
 def load_encoder(path: str) -> WordEncoder:
@@ -126,6 +162,7 @@ def pack_pieces(pieces: DataFrame, capacity: int = CAPACITY, shard_pieces: int =
         return table.drop_columns(["shard"]).append_column("sequence_id", pa.array(sequence)).append_column(
             "offset", pa.array(offset))
 
+    ship_package(pieces.sparkSession)
     packed = open_.groupBy("shard").applyInArrow(pack_shard, full.schema)
     return full.unionByName(packed)
 
