@@ -3,9 +3,10 @@
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from kinweave.llm import bpe, packing
+from kinweave.llm import bpe, langid, licenses, packing, toxicity
+from kinweave.llm.tables import held_out
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -20,6 +21,28 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digest_documents(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
 
 
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License phrases and short notices of every document."""
+    found = licenses.scan_documents(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score",
+                        F.size("notices").cast("long").alias("n_notices"))
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document by a lexicon learned from the labels."""
+    documents = table(spark, sf_dir, "documents")
+    scores = toxicity.score_documents(documents, toxicity.fit(documents, table(spark, sf_dir, "labels")))
+    return scores.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
+                         (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document."""
+    documents = table(spark, sf_dir, "documents")
+    found = langid.predict(documents, langid.fit(documents))
+    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "accepted")
+
+
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document in sequences of at most 4096 tokens."""
     return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
@@ -28,6 +51,9 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op2_byte_bpe": op2_byte_bpe,
+        "op4_license_scan": op4_license_scan,
+        "op7_toxicity": op7_toxicity,
+        "op9_language_id": op9_language_id,
         "op10_best_fit_packing": op10_best_fit_packing,
     }
 

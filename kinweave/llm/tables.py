@@ -2,7 +2,9 @@
 
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
@@ -11,6 +13,21 @@ BATCH_ROWS = 2000
 BATCH_BYTES = 8 << 20
 
 _own_folders: dict[str, str] = {}
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Let Python workers import this package: once a session it is sent to the executors as an archive."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    package = Path(__file__).resolve().parent.parent
+    archive = Path(tempfile.mkdtemp(prefix="llm-")) / f"{package.name}.zip"
+    with zipfile.ZipFile(archive, "w") as target:
+        for source in sorted(package.rglob("*.py")):
+            target.write(source, source.relative_to(package.parent))
+    context.addPyFile(str(archive))
+    _shipped.add(context.applicationId)
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -48,7 +65,7 @@ def small_batches(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         start += part.num_rows
 
 
-def map_texts(df: DataFrame, schema: str, start: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]]) -> DataFrame:
+def map_texts(df: DataFrame, schema, start: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]]) -> DataFrame:
     """Run a batch function over ``df`` on the executors, in Arrow batches of bounded size.
 
     ``start()`` runs once in each task and returns the batch function, so that vocabularies and
@@ -62,6 +79,7 @@ def map_texts(df: DataFrame, schema: str, start: Callable[[], Callable[[pa.Recor
                 if result is not None:
                     yield result
 
+    ship_package(df.sparkSession)
     return df.mapInArrow(run, schema)
 
 
