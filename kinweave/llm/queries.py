@@ -5,7 +5,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from kinweave.llm import bpe, langid, licenses, packing, toxicity
+from kinweave.llm import bpe, langid, licenses, packing, quality, sql, toxicity, urls
 from kinweave.llm.tables import held_out
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,6 +21,11 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digest_documents(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
 
 
+def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict on every page's URL by listed and mined rules."""
+    return urls.judge(table(spark, sf_dir, "pages"))
+
+
 def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """License phrases and short notices of every document."""
     found = licenses.scan_documents(table(spark, sf_dir, "documents"))
@@ -28,6 +33,11 @@ def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.size("notices").cast("long").alias("n_notices"))
 
 
+def op6_host_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality rules of every document and of its host."""
+    return quality.judge(table(spark, sf_dir, "documents"))
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every document by a lexicon learned from the labels."""
     documents = table(spark, sf_dir, "documents")
@@ -51,7 +61,9 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op2_byte_bpe": op2_byte_bpe,
+        "op3_url_filter": op3_url_filter,
         "op4_license_scan": op4_license_scan,
+        "op6_host_quality": op6_host_quality,
         "op7_toxicity": op7_toxicity,
         "op9_language_id": op9_language_id,
         "op10_best_fit_packing": op10_best_fit_packing,
@@ -59,4 +71,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return sql.oracle_sql()
