@@ -5,7 +5,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from kinweave.llm import bpe, langid, licenses, packing, quality, sql, toxicity, urls
+from kinweave.llm import bpe, langid, licenses, neardup, packing, quality, sql, topk, toxicity, urls
 from kinweave.llm.tables import held_out
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -15,6 +15,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best other vectors of every vector whose id is divisible by 100."""
+    vectors = table(spark, sf_dir, "embeddings")
+    return topk.top_k(vectors, vectors.where(F.col("vec_id") % 100 == 0))
+
+
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids and round trip of every document by the byte-level vocabulary."""
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -33,6 +39,11 @@ def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.size("notices").cast("long").alias("n_notices"))
 
 
+def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents with a similarity of 0.8 or more on shingles of four words."""
+    return neardup.find_components(table(spark, sf_dir, "documents"), words_each=4, percent=80)
+
+
 def op6_host_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality rules of every document and of its host."""
     return quality.judge(table(spark, sf_dir, "documents"))
@@ -60,9 +71,11 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_top_k": op1_top_k,
         "op2_byte_bpe": op2_byte_bpe,
         "op3_url_filter": op3_url_filter,
         "op4_license_scan": op4_license_scan,
+        "op5_near_duplicates": op5_near_duplicates,
         "op6_host_quality": op6_host_quality,
         "op7_toxicity": op7_toxicity,
         "op9_language_id": op9_language_id,
