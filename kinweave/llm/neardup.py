@@ -311,6 +311,12 @@ def _confirmed_links(table: pa.Table, percent: int) -> tuple[list[int], list[int
 
 
 def keep_one_of_each(documents: DataFrame, words_each: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """The documents, as they are, that stand for their group of near duplicates; copies under one id stay together."""
-    dropped = find_components(documents, words_each, percent).where(~F.col("kept")).select("doc_id").distinct()
-    return documents.join(dropped, "doc_id", "left_anti").select(*documents.columns)
+    """One document of each group of near duplicates, as it is. Of repeated rows one stays; rows without an id all stay."""
+    found = find_components(documents, words_each, percent).where(F.col("doc_id").isNotNull())
+    verdict = found.groupBy(F.col("doc_id").alias("judged_id")).agg(
+        F.max("kept").alias("stays"), F.count("*").alias("times")).where(~F.col("stays") | (F.col("times") > 1))
+    verdict = written(verdict, "near-verdict")
+    names = documents.columns
+    once = documents.join(verdict, F.col("doc_id").cast("long") == F.col("judged_id"), "left_anti")
+    repeated = documents.join(verdict.where("stays").select("judged_id"), F.col("doc_id").cast("long") == F.col("judged_id"))
+    return once.select(*names).unionByName(repeated.select(*names).dropDuplicates(["doc_id", "text"]))

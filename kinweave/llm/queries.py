@@ -5,7 +5,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from kinweave.llm import bpe, langid, licenses, neardup, packing, quality, sql, topk, toxicity, urls
+from kinweave.llm import bpe, extract, langid, licenses, neardup, packing, quality, sql, topk, toxicity, urls
 from kinweave.llm.tables import held_out
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -57,6 +57,11 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                          (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op8_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return extract.extract_pages(table(spark, sf_dir, "pages"))
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document."""
     documents = table(spark, sf_dir, "documents")
@@ -78,6 +83,7 @@ def queries() -> dict[str, Query]:
         "op5_near_duplicates": op5_near_duplicates,
         "op6_host_quality": op6_host_quality,
         "op7_toxicity": op7_toxicity,
+        "op8_main_text": op8_main_text,
         "op9_language_id": op9_language_id,
         "op10_best_fit_packing": op10_best_fit_packing,
     }
