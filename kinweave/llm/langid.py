@@ -76,7 +76,7 @@ def buckets_of(framed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         state = (state[:n] ^ framed[length - 1:]) * np.uint32(0x01000193)
         if length >= 3:
             inner = inner[:n] & ~blank[length - 2:length - 2 + n]
-        keep = inner[:n] & ~(blank[:n] & blank[length - 1:]) if length > 1 else ~blank
+        keep = ~blank if length == 1 else inner[:n] if length > 2 else ~(blank[:n] & blank[1:])
         mixed = state[keep] ^ (state[keep] >> np.uint32(15))
         found.append((mixed * np.uint32(0x2C1B3C6D)) >> np.uint32(32 - BUCKETS.bit_length() + 1))
         starts.append(place[:n][keep])

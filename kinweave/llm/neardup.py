@@ -241,7 +241,7 @@ def _estimated_links(table: pa.Table, percent: int, least: float) -> tuple[list[
     """Pairs of families that a sufficient estimate joins, as few as join them all."""
     lower, upper = _sides(table)
     family, n = np.asarray(table["family"]), np.asarray(table["n"])
-    words = np.asarray(table["planes"].combine_chunks().flatten()).reshape(-1, BITS, PLANE)
+    words = np.asarray(table["planes"].combine_chunks().flatten()).view(np.uint64).reshape(-1, BITS, PLANE)
     names, place = np.unique(family, return_inverse=True)
     sets, a, b = Sets(len(names)), [], []
     for x in lower:
@@ -316,7 +316,8 @@ def keep_one_of_each(documents: DataFrame, words_each: int = WORDS, percent: int
     verdict = found.groupBy(F.col("doc_id").alias("judged_id")).agg(
         F.max("kept").alias("stays"), F.count("*").alias("times")).where(~F.col("stays") | (F.col("times") > 1))
     verdict = written(verdict, "near-verdict")
-    names = documents.columns
-    once = documents.join(verdict, F.col("doc_id").cast("long") == F.col("judged_id"), "left_anti")
-    repeated = documents.join(verdict.where("stays").select("judged_id"), F.col("doc_id").cast("long") == F.col("judged_id"))
-    return once.select(*names).unionByName(repeated.select(*names).dropDuplicates(["doc_id", "text"]))
+    rows = documents.select(F.col("doc_id").cast("long").alias("judged_id"), F.col("text").alias("judged_text"),
+                            F.struct(*documents.columns).alias("row"))
+    once = rows.join(verdict, "judged_id", "left_anti")
+    repeated = rows.join(verdict.where("stays").select("judged_id"), "judged_id")
+    return once.unionByName(repeated.dropDuplicates(["judged_id", "judged_text"])).select("row.*")

@@ -1,0 +1,64 @@
+import pytest
+
+import corpus_pipeline
+from kinweave.llm import langid, neardup, toxicity
+from kinweave.llm.tables import written
+from rows import AWKWARD, DOCUMENTS
+from test_neardup import plain_components
+from test_packing import check_layout
+
+SF_DIR = "/root/testdata/sf0.01"
+
+
+@pytest.fixture(scope="module")
+def stages(spark):
+    """The documents and what each stage kept of them."""
+    docs = [spark.read.parquet(f"{SF_DIR}/documents.parquet")]
+    for _, stage in corpus_pipeline.STAGES:
+        docs.append(written(stage(spark, docs[-1], SF_DIR), "test-stage"))
+    return docs
+
+
+def test_stages_are_those_that_are_asked_for():
+    assert [name for name, _ in corpus_pipeline.STAGES] == ["language_id", "toxicity", "near_dedup", "packing"]
+
+
+def test_every_stage_follows_its_operator(spark, stages):
+    documents, spoken, clean, single, packed = stages
+    assert spoken.columns == clean.columns == single.columns == documents.columns
+
+    def ids(df):
+        return {row.doc_id for row in df.select("doc_id").collect()}
+
+    accepted = langid.predict(documents, langid.fit(documents)).where("accepted")
+    assert ids(spoken) == ids(accepted) and len(ids(documents) - ids(spoken)) < 0.02 * documents.count()
+    labels = spark.read.parquet(f"{SF_DIR}/labels.parquet")
+    scores = toxicity.score_documents(spoken, toxicity.fit(spoken, labels))
+    assert ids(clean) == ids(scores.where("score < 0.5"))
+    expected = plain_components([tuple(row) for row in clean.collect()], neardup.WORDS, 80)
+    assert ids(single) == set(expected.values()) and single.count() == len(set(expected.values()))
+    rows = packed.collect()
+    check_layout(rows, 4096)
+    assert {row.doc_id for row in rows} == ids(single)
+
+
+def test_the_rows_of_a_stage_are_unchanged(stages):
+    documents = {row.doc_id: row for row in stages[0].collect()}
+    for kept in stages[1:4]:
+        assert all(documents[row.doc_id] == row for row in kept.collect())
+
+
+def test_awkward_and_empty_tables(spark, tmp_path, awkward, nothing):
+    for name, df in (("awkward", awkward), ("nothing", nothing)):
+        folder = str(tmp_path / name)
+        df.select(*DOCUMENTS.fieldNames()).write.parquet(f"{folder}/documents.parquet")
+        spark.createDataFrame([(5, 1, 0), (None, 1, 1), (4, None, None)], "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+        rows = corpus_pipeline.run(spark, folder).collect()
+        check_layout(rows, 4096)
+        texts = {doc_id for doc_id, text, *_ in AWKWARD if any(c.isalpha() for c in text or "")}
+        assert {row.doc_id for row in rows} <= texts
+        docs = df
+        for _, stage in corpus_pipeline.STAGES[:3]:
+            docs = stage(spark, docs, folder)
+            assert docs.columns == df.columns
+            docs.collect()

@@ -1,0 +1,90 @@
+import zlib
+
+import numpy as np
+import pytest
+
+from kinweave.llm import langid
+from kinweave.llm.tables import held_out
+
+SF_DIR = "/root/testdata/sf0.01"
+
+
+@pytest.fixture(scope="module")
+def given(spark):
+    return spark.read.parquet(f"{SF_DIR}/documents.parquet")
+
+
+@pytest.fixture(scope="module")
+def model(given):
+    return langid.fit(given)
+
+
+def test_held_out_accuracy(given, model):
+    found = langid.predict(given, model).join(given.select("doc_id", "lang"), "doc_id")
+    rows = found.where(held_out(found["doc_id"]) & found["lang"].isNotNull()).collect()
+    assert len(rows) > 100
+    assert np.mean([row.lang_pred == row.lang for row in rows]) > 0.98
+    assert np.mean([row.accepted for row in rows]) > 0.98
+
+
+def test_the_held_out_fold_is_the_contract_s(given):
+    for row in given.select("doc_id", held_out(given["doc_id"]).alias("out")).collect():
+        assert row.out == (zlib.crc32(str(row.doc_id).encode()) % 5 == 0)
+
+
+def test_held_out_labels_are_never_learned(given):
+    spoiled = given.withColumn("lang", given["lang"])
+    from pyspark.sql import functions as F
+    spoiled = given.withColumn("lang", F.when(held_out(F.col("doc_id")), "xx").otherwise(F.col("lang")))
+    assert "xx" not in langid.fit(spoiled).languages
+
+
+def subwords(text):
+    """The subwords of a text, one by one."""
+    found, run = [], "".join(c if c.isalpha() else " " for c in text.lower())
+    for word in run.split():
+        framed = f" {word} "
+        for length in range(1, langid.MAX_GRAM + 1):
+            found += [gram for at in range(len(framed) - length + 1) if (gram := framed[at:at + length]).strip()]
+    return found
+
+
+@pytest.mark.parametrize("text", ["", "a", "ab cd", "Le chat, 12 chats!", "é" * 40, "x 🙂 y", "ab" * 300])
+def test_subwords_are_those_of_every_word(text, monkeypatch):
+    whole = langid.shares(text)
+    framed = langid.code_points(text)
+    assert len(langid.buckets_of(framed)[0]) == len(subwords(text))
+    monkeypatch.setattr(langid, "SEGMENT", 5)
+    for a, b in zip(whole, langid.shares(text)):
+        assert (a == b).all()
+
+
+def test_awkward_documents(awkward, nothing, model):
+    found = {row.doc_id: row for row in langid.predict(awkward, model).collect()}
+    assert awkward.count() == langid.predict(awkward, model).count()
+    for doc_id in (1, 2, 3, 10):
+        assert (found[doc_id].lang_pred, found[doc_id].score, found[doc_id].accepted) == ("und", 0.0, False)
+    for doc_id in (4, 5, 7, 8, 9):
+        assert found[doc_id].lang_pred in model.languages and 0 < found[doc_id].score <= 1
+    assert langid.predict(nothing, model).collect() == []
+
+
+def test_nothing_to_learn_from(awkward, nothing):
+    model = langid.fit(nothing)
+    assert {(row.lang_pred, row.score) for row in langid.predict(awkward, model).collect()} == {("und", 0.0)}
+    langid.fit(awkward)
+
+
+def test_a_rejected_text_goes_and_columns_stay(awkward, model):
+    kept = langid.keep_accepted(awkward, model)
+    assert kept.columns == awkward.columns
+    accepted = langid.predict(awkward, model).where("accepted")
+    assert kept.count() == accepted.count()
+    assert {row.doc_id for row in kept.collect()} == {row.doc_id for row in accepted.collect()}
+
+
+def test_calibration():
+    logits = np.array([[4.0, 0.0], [0.0, 4.0], [4.0, 0.0], [4.0, 0.0]])
+    temperature, below = langid.calibrate(logits, np.array([0, 1, 0, 1]))
+    assert temperature > 1 and 0 < below <= 0.5
+    assert langid.calibrate(np.zeros((0, 2)), np.zeros(0, int)) == (1.0, 0.0)

@@ -1,0 +1,81 @@
+import math
+import random
+
+import numpy as np
+import pytest
+
+from kinweave.llm import topk
+
+SCHEMA = "vec_id long, embedding array<float>, label int, score string, rank string, values string, run string"
+
+
+def brute_force(rows, queries, k):
+    """Best rows of every query by Python integers."""
+    def usable(vector):
+        return vector and all(x is not None and math.isfinite(x) for x in vector)
+
+    whole = [(i, [math.floor(1024.0 * x) for x in v]) for i, v in rows if i is not None and usable(v)]
+    found = set()
+    for own, query in {(i, tuple(v)) for i, v in ((i, [math.floor(1024.0 * x) for x in v]) for i, v in queries if i is not None and usable(v))}:
+        scores = ((max(-2 ** 63, min(2 ** 63 - 1, sum(a * b for a, b in zip(query, v)))), i)
+                  for i, v in whole if i != own and len(v) == len(query))
+        best = sorted(scores, key=lambda s: (-s[0], s[1]))[:k]
+        found |= {(own, rank, i, s) for rank, (s, i) in enumerate(best, 1)}
+    return found
+
+
+@pytest.fixture(scope="module")
+def vectors(spark):
+    def table(rows):
+        return spark.createDataFrame([(i, [None if x is None else float(np.float32(x)) for x in v] if v is not None else None, 0, "", "", "", "")
+                                      for i, v in rows], SCHEMA)
+    return table
+
+
+def stored(rows):
+    return [(i, None if v is None else [None if x is None else float(np.float32(x)) for x in v]) for i, v in rows]
+
+
+@pytest.mark.parametrize("shard, run", [(2048, 4), (7, 2)])
+def test_results_equal_brute_force_with_ties(vectors, monkeypatch, shard, run):
+    monkeypatch.setattr(topk, "SHARD_ROWS", shard)
+    monkeypatch.setattr(topk, "RUN_SHARDS", run)
+    monkeypatch.setattr(topk, "QUERY_ROWS", 3)
+    rng = random.Random(10)
+    rows = [(i, [rng.choice((-1, -0.5, 0, 0.25, rng.gauss(0, 1))) for _ in range(6)]) for i in range(200)]
+    rows += [(300 + i, [0.5, 0.5, 0.5, 0.5, 0.5, 0.5]) for i in range(30)]
+    df = vectors(rows)
+    found = topk.top_k(df, df.where("vec_id % 20 = 0"), k=5)
+    assert set(map(tuple, found.collect())) == brute_force(stored(rows), [r for r in stored(rows) if r[0] % 20 == 0], 5)
+
+
+def test_nulls_odd_vectors_and_an_empty_table(vectors):
+    nan, inf = float("nan"), float("inf")
+    rows = [(0, [1, 2]), (1, None), (2, []), (3, [1, None]), (4, [nan, 1]), (5, [1, inf]), (None, [1, 2]), (7, [1, 2, 3]),
+            (8, [-1, 0.001]), (9, [3, -2]), (9, [3, -2]), (0, [1, 2]), (100, [0, 0]), (200, [5])]
+    df = vectors(rows)
+    found = topk.top_k(df, df.where("vec_id % 100 = 0"), k=10).collect()
+    assert len(found) == len(set(map(tuple, found)))
+    assert {(r.query_id, r.vec_id, r.score) for r in found if r.query_id == 0} == {
+        (0, 9, -1024 * 1024), (0, 8, -1024 * 1024 + 2048 * 1), (0, 100, 0)}
+    assert [r.rank for r in sorted(found, key=lambda r: r.rank) if r.query_id == 0] == [1, 2, 3, 4]
+    assert not [r for r in found if r.query_id == 200]
+    assert topk.top_k(vectors([]), vectors([])).collect() == []
+
+
+def test_very_large_numbers_are_exact_or_clipped(vectors):
+    rows = [(0, [3e9, 1]), (1, [3e9, 2]), (2, [3e38, 1]), (3, [-3e38, 1]), (4, [3e9, 1])]
+    found = set(map(tuple, topk.top_k(vectors(rows), vectors(rows[:1])).collect()))
+    assert found == brute_force(stored(rows), stored(rows[:1]), 10)
+
+
+def test_maxscore_leaves_work_out():
+    rng = np.random.default_rng(11)
+    rows = np.floor(rng.normal(0, 1, (2000, 64)) * 1024 * np.geomspace(1, 0.01, 64))
+    query = rows[0]
+    best = topk.Best(10)
+    first = topk.search_shard(query, -1, np.arange(1000), rows[:1000], rows[:1000].min(axis=0), rows[:1000].max(axis=0), best)
+    second = topk.search_shard(query, -1, np.arange(1000, 2000), rows[1000:], rows[1000:].min(axis=0), rows[1000:].max(axis=0), best)
+    assert first == 64 * 1000 and second < first / 2
+    order = np.lexsort([np.arange(2000), -(rows @ query)])[:10]
+    assert best.ids.tolist() == order.tolist()
