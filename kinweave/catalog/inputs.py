@@ -5,26 +5,37 @@ orders (owner = ordering customer), with planted NULL users, self rows, alias ac
 unresolvable owners, self edges and unconfirmed rows.
 """
 
+import tempfile
 from functools import cached_property
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from kinweave import session
-from kinweave.operators import hot, idmap, neighbourhood, roster
-from kinweave.sources.index import documents_from_id_map
+from kinweave.operators import idmap, neighbourhood, roster
+from kinweave.plans import jobs, store
+from kinweave.sources.index import read_id_map_documents, write_id_map_documents
 from kinweave.sources.tables import write_table
 
 HOT_THRESHOLD = 12
 
-_by_session: dict[tuple[str, str], "Inputs"] = {}
+_by_session: WeakKeyDictionary = WeakKeyDictionary()
 
 
 def inputs(spark: SparkSession, sf_dir: str) -> "Inputs":
-    """The inputs of a data directory; tables written once are shared by all queries of a session."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _by_session:
-        _by_session[key] = Inputs(spark, sf_dir)
-    return _by_session[key]
+    """The inputs of a data directory; what was written once is shared by all queries of a session."""
+    of_session = _by_session.setdefault(spark, {})
+    if sf_dir not in of_session:
+        of_session[sf_dir] = Inputs(spark, sf_dir)
+    return of_session[sf_dir]
+
+
+def _folder_for_a_trial(spark: SparkSession) -> None:
+    """Let queries run on a local session that names no shared folder, as in a trial; no cluster gets one from here."""
+    context = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not named and context.master.startswith("local["):
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="kinweave-"))
 
 
 def _name(prefix: str, number: Column) -> Column:
@@ -33,9 +44,11 @@ def _name(prefix: str, number: Column) -> Column:
 
 class Inputs:
     def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark = spark
+        _folder_for_a_trial(spark)
         self.sf_dir = sf_dir
-        session.tune(spark, *map(self.table, ("orders", "customer", "supplier", "events", "lineitem")))
+        self.spark = spark
+        sized = [self.table(name) for name in ("orders", "customer", "supplier", "events", "lineitem")]
+        self.spark = session.tuned(spark, *sized)
 
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
@@ -94,9 +107,12 @@ class Inputs:
     def id_map(self) -> DataFrame:
         return idmap.with_vertex_ids(self.users)
 
-    @property
+    @cached_property
     def id_map_documents(self) -> DataFrame:
-        return documents_from_id_map(self.id_map)
+        """The id map as read back from the documents of an index."""
+        path = session.new_folder(self.spark, "documents")
+        write_id_map_documents(self.id_map, "parquet", path)
+        return read_id_map_documents(self.spark, "parquet", path)
 
     @cached_property
     def people(self) -> DataFrame:
@@ -152,7 +168,38 @@ class Inputs:
             "user_id", "friend_user_id", F.lit("delete").alias("op"),
             (F.col("c_custkey") + 1000000000).alias("seq"),
         )
-        return self._written("changes", event_changes(self.table("events")).unionByName(drops))
+        return self._written("changes", event_changes(self.table("events")).unionByName(drops).unionByName(self._no_calls))
+
+    @property
+    def _no_calls(self) -> DataFrame:
+        """Rows about existing edges of well-off customers that are no valid call."""
+        key = F.col("c_custkey")
+        rich = self.table("customer").where("c_acctbal > 8000").select(_name("u", key).alias("user_id"), "c_custkey")
+        known = self.friendships.join(rich, "user_id")
+        return known.select(
+            "user_id", F.when(key % 4 != 2, F.col("friend_user_id")).alias("friend_user_id"),
+            F.when(key % 4 == 0, "block").when(key % 4 == 1, "add").otherwise("delete").alias("op"),
+            F.when(key % 2 == 0, key + 2000000000).alias("seq"),
+        )
+
+    @cached_property
+    def loaded(self) -> store.Graph:
+        """The graph after the first load, as a job stores it."""
+        return jobs.reset_then_load(self.spark, self.relation, session.new_folder(self.spark, "graph"), hot_threshold=HOT_THRESHOLD)
+
+    @cached_property
+    def synced(self) -> store.Graph:
+        """The stored graph of the earlier roster after a sync; one sync serves all queries."""
+        root = session.new_folder(self.spark, "synced-graph")
+        jobs.import_edges(self.spark, self.graph_edges, self.graph_id_map, root)
+        return jobs.sync(self.spark, self.relation, root)
+
+    @cached_property
+    def changed(self) -> store.Graph:
+        """The loaded graph after the change calls."""
+        root = session.new_folder(self.spark, "changed-graph")
+        jobs.import_edges(self.spark, self.loaded.vid_edges, self.loaded.id_map, root)
+        return jobs.apply_changes(self.spark, self.changes, root)
 
     @property
     def id_map_updates(self) -> DataFrame:
@@ -169,10 +216,6 @@ class Inputs:
         unknown = self.table("supplier").select(_name("nobody", F.col("s_suppkey")).alias("user_id"))
         return in_debt.unionByName(unknown)
 
-    @property
-    def hot_flags(self) -> DataFrame:
-        return hot.hot_flags(self.friendships, HOT_THRESHOLD)
-
     @property
     def messy(self) -> DataFrame:
         return self.table("customer").select(
@@ -183,8 +226,12 @@ class Inputs:
 
     @property
     def maybe_prices(self) -> DataFrame:
-        price = F.col("o_totalprice")
-        prices = F.when(F.col("o_orderkey") % 7 == 0, F.array().cast("array<double>")).otherwise(F.array(price))
+        price, key = F.col("o_totalprice"), F.col("o_orderkey")
+        null = F.lit(None).cast("double")
+        prices = (
+            F.when(key % 7 == 0, F.array().cast("array<double>")).when(key % 7 == 1, F.array(null, price))
+            .when(key % 7 == 2, F.array(price, price + 1, null)).when(key % 7 != 3, F.array(price))
+        )
         return self.table("orders").select("o_orderkey", prices.alias("prices"))
 
 

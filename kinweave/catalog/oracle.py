@@ -104,12 +104,26 @@ _VIEWS = {
         UNION ALL
         SELECT f.user_id, f.friend_user_id, 'delete', 1000000000 + d.c_custkey
         FROM friendships f JOIN in_debt d ON d.user_id = f.friend_user_id""",
+    "no_calls": """
+        SELECT f.user_id, CASE WHEN c_custkey % 4 <> 2 THEN f.friend_user_id END AS friend_user_id,
+               CASE c_custkey % 4 WHEN 0 THEN 'block' WHEN 1 THEN 'add' ELSE 'delete' END AS op,
+               CASE WHEN c_custkey % 2 = 0 THEN 2000000000 + c_custkey END AS seq
+        FROM friendships f JOIN customer c ON 'u' || c.c_custkey = f.user_id WHERE c_acctbal > 8000""",
     "ranked_changes": """
         SELECT *, row_number() OVER (PARTITION BY user_id, friend_user_id ORDER BY seq DESC, op DESC) AS age
         FROM changes""",
     "ranked_event_changes": """
         SELECT *, row_number() OVER (PARTITION BY user_id, friend_user_id ORDER BY seq DESC, op DESC) AS age
         FROM event_changes""",
+    "after_changes": """
+        SELECT user_id, friend_user_id FROM friendships f
+        WHERE NOT EXISTS (SELECT 1 FROM changes c WHERE c.user_id = f.user_id AND c.friend_user_id = f.friend_user_id)
+        UNION
+        SELECT user_id, friend_user_id FROM ranked_changes WHERE age = 1 AND op = 'add'""",
+    "users_after": """
+        SELECT user_id FROM users
+        UNION SELECT user_id FROM changes WHERE op = 'add'
+        UNION SELECT friend_user_id FROM changes WHERE op = 'add'""",
     "ranked_updates": """
         SELECT userId AS user_id, md5(userId || '#' || rosterId) AS vertex_id,
                row_number() OVER (PARTITION BY userId ORDER BY rosterId DESC) AS age
@@ -119,17 +133,18 @@ _VIEWS = {
     "messy": """
         SELECT c_custkey, chr(9) || ' ' || c_name || '  ' AS s1, c_mktsegment || chr(10) AS s2 FROM customer""",
     "maybe_prices": """
-        SELECT o_orderkey, CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE o_totalprice END AS price FROM orders""",
+        SELECT o_orderkey, CASE WHEN o_orderkey % 7 IN (0, 3) THEN -1.0 WHEN o_orderkey % 7 <> 1 THEN o_totalprice END AS price
+        FROM orders""",
 }
 
 _TRIMMED = r"regexp_replace({}, '^[\x00-\x20]+|[\x00-\x20]+$', '', 'g')"
 
-_AFTER_CHANGES = """
+_AFTER_EVENTS = """
     SELECT user_id, friend_user_id FROM friendships f
-    WHERE NOT EXISTS (SELECT 1 FROM {log} c
+    WHERE NOT EXISTS (SELECT 1 FROM event_changes c
                       WHERE c.user_id = f.user_id AND c.friend_user_id = f.friend_user_id)
     UNION
-    SELECT user_id, friend_user_id FROM ranked_{log} WHERE age = 1 AND op = 'add'"""
+    SELECT user_id, friend_user_id FROM ranked_event_changes WHERE age = 1 AND op = 'add'"""
 
 _QUERIES = {
     "max_roster_id": "SELECT max(rosterID) AS max_roster_id FROM all_rosters",
@@ -185,28 +200,31 @@ _QUERIES = {
         SELECT user_id, candidate_id, count(*) AS n_common FROM common_friends GROUP BY user_id, candidate_id""",
     "common_friends": "SELECT * FROM common_friends",
     "common_friends_set": """
-        SELECT c.user_id, c.candidate_id,
-               CAST('0x' || substr(md5(c.common_id), 1, 8) AS BIGINT)
-                   % CAST(ceil(least(o.n_friends, i.n_friends) / 1000.0) AS BIGINT) AS chunk,
-               string_agg(c.common_id, ',' ORDER BY c.common_id) AS common_ids
-        FROM common_friends c JOIN out_degrees o ON o.user_id = c.user_id
-        JOIN in_degrees i ON i.user_id = c.candidate_id
-        GROUP BY ALL""",
+        SELECT user_id, candidate_id, CAST('0x' || substr(md5(common_id), 1, 8) AS BIGINT) % 4 AS chunk,
+               string_agg(common_id, ',' ORDER BY common_id) AS common_ids
+        FROM common_friends GROUP BY ALL""",
     "common_friends_pair": """
         SELECT h.* FROM two_hops h JOIN id_map m ON m.user_id = h.candidate_id""",
     "hot_users": """
-        SELECT user_id, n_friends FROM out_degrees WHERE n_friends >= 12
-        ORDER BY n_friends DESC, user_id LIMIT 10000""",
+        SELECT user_id, n_friends FROM out_degrees WHERE n_friends >= 12""",
     "hot_users_flagged": "SELECT user_id FROM out_degrees WHERE n_friends >= 12",
-    "edges_after_changes": _AFTER_CHANGES.format(log="changes"),
+    "friendships_by_view": "SELECT * FROM friendships",
+    "edges_after_changes": "SELECT * FROM after_changes",
+    "rejected_changes": """
+        SELECT *, CASE WHEN friend_user_id IS NULL THEN 'no user' WHEN op = 'block' THEN 'unknown op' ELSE 'no seq' END AS reason
+        FROM no_calls WHERE friend_user_id IS NULL OR op = 'block' OR seq IS NULL""",
+    "graph_after_changes": "SELECT md5(user_id) AS src_vid, md5(friend_user_id) AS dst_vid FROM after_changes",
+    "people_after_changes": """
+        SELECT u.user_id, TRUE AS registered, coalesce(o.n, 0) AS out_degree, coalesce(i.n, 0) AS in_degree
+        FROM users_after u
+        LEFT JOIN (SELECT user_id, count(*) AS n FROM after_changes GROUP BY ALL) o ON o.user_id = u.user_id
+        LEFT JOIN (SELECT friend_user_id, count(*) AS n FROM after_changes GROUP BY ALL) i ON i.friend_user_id = u.user_id""",
     "edges_after_delete": """
         SELECT user_id, friend_user_id FROM friendships
         EXCEPT SELECT user_id, friend_user_id FROM changes WHERE op = 'delete'""",
-    "users_after_changes": """
-        SELECT user_id FROM users
-        UNION SELECT user_id FROM changes WHERE op = 'add'
-        UNION SELECT friend_user_id FROM changes WHERE op = 'add'""",
-    "edges_after_change_stream": _AFTER_CHANGES.format(log="event_changes"),
+    "users_after_changes": "SELECT * FROM users_after",
+    "edges_after_change_stream": _AFTER_EVENTS,
+    "edges_after_compaction": _AFTER_EVENTS,
     "price_rounded": """
         SELECT l_orderkey, l_linenumber,
                CAST(round(CAST(l_extendedprice AS DECIMAL(20, 6)), 1) AS DOUBLE) AS price FROM lineitem""",
@@ -220,9 +238,8 @@ _QUERIES = {
         SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, {_TRIMMED.format('s1')} AS s1, {_TRIMMED.format('s2')} AS s2
         FROM messy""",
     "first_or_default": """
-        SELECT o_orderkey, coalesce(price, -1.0) AS price,
-               coalesce(CAST(trunc(price) AS INTEGER), -1) AS whole_price,
-               coalesce(CAST(round(CAST(price AS DECIMAL(20, 6)), 2) AS DOUBLE), -1.0) AS rounded_price
+        SELECT o_orderkey, price, CAST(trunc(price) AS INTEGER) AS whole_price,
+               CASE WHEN price = -1.0 THEN -1.0 ELSE CAST(round(CAST(price AS DECIMAL(20, 6)), 2) AS DOUBLE) END AS rounded_price
         FROM maybe_prices""",
 }
 

@@ -8,9 +8,11 @@ from kinweave import session
 from kinweave.catalog.inputs import HOT_THRESHOLD, Inputs, event_changes, inputs
 from kinweave.functions import scalars
 from kinweave.operators import changes, hot, idmap, neighbourhood, roster, stored_graph
-from kinweave.plans import load, sync
-from kinweave.sources.index import id_map_from_documents
-from kinweave.streaming.changes import current_edges, log_changes, read_log
+from kinweave.plans import jobs
+from kinweave.sources import tables
+from kinweave.streaming.changes import compact, current_edges, log_changes, read_log
+
+SET_CHUNKS = 4
 
 _registered: dict[str, Callable[[Inputs], DataFrame]] = {}
 
@@ -53,7 +55,7 @@ def friendships(i):
 
 @_query
 def id_map(i):
-    return id_map_from_documents(i.id_map_documents)
+    return i.id_map_documents
 
 
 @_query
@@ -130,28 +132,37 @@ def missing_edges(i):
 
 @_query
 def reset_then_load(i):
-    folder = session.new_folder(i.spark, "graph")
-    return load.friendships_of(load.reset_then_load(i.spark, i.relation, folder))
-
-
-def _sync(i):
-    return sync.sync(i.graph_edges, i.graph_id_map, i.relation, session.new_folder(i.spark, "sync"))
+    return i.loaded.by_user
 
 
 @_query
 def synced_users(i):
-    return _sync(i).id_map.select("user_id")
+    return i.synced.users
 
 
 @_query
 def synced_edges(i):
-    synced = _sync(i)
-    return stored_graph.graph_friendships(synced.vid_edges, synced.id_map)
+    return i.synced.by_friend
 
 
 @_query
 def synced_graph(i):
-    return _sync(i).vid_edges
+    return i.synced.vid_edges
+
+
+@_query
+def friendships_by_view(i):
+    """The owner self-join as SQL over a cached view of the relation, which is dropped once the plan stands."""
+    name = session.new_folder(i.spark, "relation").rsplit("-", 1)[1]
+    view = f"relation_{name}"
+    tables.register_views(**{view: i.relation})
+    tables.cache_view(i.spark, view)
+    found = i.spark.sql(f"""
+        SELECT DISTINCT o.userId AS user_id, r.userId AS friend_user_id FROM {view} r
+        JOIN (SELECT DISTINCT loginAccount, userId FROM {view}) o ON o.loginAccount = r.username""")
+    found = tables.write_table(found, session.new_folder(i.spark, "friendships-by-view"))
+    tables.drop_views(i.spark, view)
+    return found
 
 
 # Neighbourhood
@@ -183,7 +194,7 @@ def common_friends(i):
 
 @_query
 def common_friends_set(i):
-    return neighbourhood.common_friends_set(i.requests, i.friendships, i.people)
+    return neighbourhood.common_friends_set(i.requests, i.friendships, i.people, SET_CHUNKS)
 
 
 @_query
@@ -200,7 +211,7 @@ def hot_users(i):
 
 @_query
 def hot_users_flagged(i):
-    return hot.flagged_users(i.hot_flags)
+    return hot.flagged_users(i.loaded.hot_flags)
 
 
 # Changes
@@ -212,7 +223,7 @@ def edges_after_changes(i):
 
 @_query
 def edges_after_delete(i):
-    return changes.delete_edges(i.friendships, i.changes.where(F.col("op") == "delete"))
+    return changes.delete_edges(i.friendships, changes.valid(i.changes).where(F.col("op") == "delete"))
 
 
 @_query
@@ -221,11 +232,41 @@ def users_after_changes(i):
 
 
 @_query
-def edges_after_change_stream(i):
-    events = i.spark.readStream.schema(i.table("events").schema).parquet(f"{i.sf_dir}/events.parquet*")
+def rejected_changes(i):
+    return changes.rejected(i.changes)
+
+
+@_query
+def graph_after_changes(i):
+    return i.changed.vid_edges
+
+
+@_query
+def people_after_changes(i):
+    return i.changed.people
+
+
+def _logged(i):
+    """A log that a stream over the events has filled, and the folder it lies in."""
+    # a stream reads no single file by its path, so the table's name is a pattern that only it matches
+    events = i.spark.readStream.schema(i.table("events").schema).parquet(f"{i.sf_dir}/event[s].parquet")
     folder = session.new_folder(i.spark, "change-log")
     log_changes(event_changes(events), f"{folder}/log", f"{folder}/checkpoint").awaitTermination()
-    return current_edges(i.friendships, read_log(i.spark, f"{folder}/log"))
+    return f"{folder}/log"
+
+
+@_query
+def edges_after_change_stream(i):
+    return current_edges(i.friendships, read_log(i.spark, _logged(i)))
+
+
+@_query
+def edges_after_compaction(i):
+    """The log folded into a snapshot, and what the log holds behind it applied: the same edges."""
+    log, root = _logged(i), session.new_folder(i.spark, "compacted-graph")
+    jobs.import_edges(i.spark, i.loaded.vid_edges, i.loaded.id_map, root)
+    graph = compact(i.spark, log, root)
+    return current_edges(graph.by_user, read_log(i.spark, log, graph.applied_batch))
 
 
 # Column helpers

@@ -16,7 +16,6 @@ request asks for.
 from pyspark.sql import Column, DataFrame, functions as F
 
 ASK = ["user_id", "candidate_id"]
-MAX_SET = 1000
 OUT, IN, DIRECT = 1, 2, 3
 
 
@@ -77,22 +76,17 @@ def common_friends(requests: DataFrame, friendships: DataFrame, people: DataFram
     return _middles(asks, friendships).select(*ASK, F.col("middle").alias("common_id"))
 
 
-def common_friends_set(requests: DataFrame, friendships: DataFrame, people: DataFrame,
-                       max_set: int = MAX_SET) -> DataFrame:
-    """Common friends as sorted sets, in chunks of about ``max_set``.
+def common_friends_set(requests: DataFrame, friendships: DataFrame, people: DataFrame, chunks: int) -> DataFrame:
+    """Common friends as sorted sets; a pair's set is spread over ``chunks`` rows by a hash of the friend.
 
-    A pair of hubs can share millions of friends. The shorter of its two friend lists
-    bounds their number beforehand, and the set is spread over as many chunks by a hash
-    of the friend; all chunks of a pair together are the whole set. Small sets are one
-    row with chunk 0.
+    The number holds for all pairs alike: a pair has up to that many rows, numbered by ``chunk``, and all
+    of them together are the whole set. Choose it so that the largest set of one pair, a share of
+    the longest friend list, fits a task when it is divided by it; ``common_friends`` has no such limit.
     """
-    asks = _sized(_asks(requests).where(_not_oneself()), people)
-    chunks = F.ceil(F.least("out_degree", "in_degree") / max_set)
-    number = F.conv(F.substring(F.md5("middle"), 1, 8), 16, 10).cast("long")
-    chunk = F.pmod(number, F.col("chunks")).alias("chunk")
-    rows = _middles(asks.withColumn("chunks", chunks), friendships, "chunks").select(*ASK, chunk, "middle")
+    number = F.conv(F.substring(F.md5("common_id"), 1, 8), 16, 10).cast("long")
+    rows = common_friends(requests, friendships, people).withColumn("chunk", F.pmod(number, F.lit(chunks)))
     return rows.groupBy(*ASK, "chunk").agg(
-        F.array_join(F.sort_array(F.collect_set("middle")), ",").alias("common_ids")
+        F.array_join(F.sort_array(F.collect_set("common_id")), ",").alias("common_ids")
     )
 
 

@@ -34,6 +34,13 @@ VID_EDGES = T.StructType([
     T.StructField("dst_vid", T.StringType()),
 ])
 
+EDGES = T.StructType([
+    T.StructField("src_vid", T.StringType()),
+    T.StructField("dst_vid", T.StringType()),
+    T.StructField("user_id", T.StringType()),
+    T.StructField("friend_user_id", T.StringType()),
+])
+
 HOT_FLAGS = T.StructType([
     T.StructField("user_id", T.StringType()),
     T.StructField("is_cached", T.BooleanType()),
@@ -57,3 +64,9 @@ PEOPLE = T.StructType([
     T.StructField("out_degree", T.LongType()),
     T.StructField("in_degree", T.LongType()),
 ])
+
+SNAPSHOTS = T.StructType([
+    T.StructField("number", T.LongType()),
+    T.StructField("folder", T.StringType()),
+    T.StructField("applied_batch", T.LongType()),
+])

@@ -1,7 +1,6 @@
 """Session settings and the shared folder that jobs write their tables to."""
 
 import math
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,13 +17,10 @@ ADAPTIVE = {
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64MB",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
-SHUFFLE_BYTES_PER_PARTITION = 64 * 1024 * 1024
-MOST_PARTITIONS = 100_000
+BYTES_PER_PARTITION = 64 * 1024 * 1024
 UNKNOWN_BYTES = 2 ** 60
 INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 
-_own_folders: dict[str, str] = {}
-
 
 def build_session(app_name: str = "kinweave", master: str | None = None, **conf: str) -> SparkSession:
     builder = SparkSession.builder.appName(app_name)
@@ -35,20 +31,27 @@ def build_session(app_name: str = "kinweave", master: str | None = None, **conf:
     return builder.getOrCreate()
 
 
-def tune(spark: SparkSession, *inputs: DataFrame) -> None:
-    """Turn on adaptive skew handling and size the shuffles for ``inputs``.
+def tuned(spark: SparkSession, *inputs: DataFrame, bytes_per_partition: int = BYTES_PER_PARTITION) -> SparkSession:
+    """A session for jobs over ``inputs``: the caller's settings, skew handling, shuffles sized for the inputs.
 
-    Shuffles start with one partition per 64 MB of input, up to the number of map outputs
-    a driver can keep track of, and AQE merges what turns out small. A larger number that
-    is already set stays. Inputs whose size Spark cannot know, as a database scan, do not count.
+    The caller's session stays as it is; what is read through the new one runs under the new
+    settings. Shuffles start with one partition per ``bytes_per_partition`` of input, and AQE
+    merges what turns out small. Choose it for the cluster: the memory of a task bounds it from
+    above, the number of shuffle blocks the driver keeps track of from below. A larger
+    number of partitions that is already set stays.
     """
-    for key, value in ADAPTIVE.items():
-        spark.conf.set(key, value)
-    known = [size for size in map(planned_bytes, inputs) if size < UNKNOWN_BYTES]
-    wanted = min(math.ceil(sum(known) / SHUFFLE_BYTES_PER_PARTITION), MOST_PARTITIONS)
-    current = spark.conf.get(INITIAL_PARTITIONS, None) or spark.conf.get("spark.sql.shuffle.partitions")
+    sizes = [planned_bytes(df) for df in inputs]
+    if any(size >= UNKNOWN_BYTES for size in sizes):
+        raise ValueError("the size of an input is unknown; write it to a table first")
+    other = spark.newSession()
+    for key, value in {**spark.conf.getAll, **ADAPTIVE}.items():
+        if spark.conf.isModifiable(key):
+            other.conf.set(key, value)
+    wanted = math.ceil(sum(sizes) / bytes_per_partition)
+    current = other.conf.get(INITIAL_PARTITIONS, None) or other.conf.get("spark.sql.shuffle.partitions")
     if wanted > int(current):
-        spark.conf.set(INITIAL_PARTITIONS, str(wanted))
+        other.conf.set(INITIAL_PARTITIONS, str(wanted))
+    return other
 
 
 def planned_bytes(df: DataFrame) -> int:
@@ -57,23 +60,14 @@ def planned_bytes(df: DataFrame) -> int:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors can reach, as named by ``spark.checkpoint.dir``.
+    """The folder all executors can reach, as named by ``spark.checkpoint.dir``; it must be set.
 
-    Only a local-mode session, where driver and executors are one machine, may go
-    without the setting; it gets a temporary folder of its own.
+    A ``file:`` path is fine where all machines mount it; nothing can tell that from here.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    set_in_code = spark.sparkContext.getCheckpointDir()
-    if set_in_code:
-        return set_in_code.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not named:
         raise ValueError("set spark.checkpoint.dir to a folder shared by driver and executors")
-    app = spark.sparkContext.applicationId
-    if app not in _own_folders:
-        _own_folders[app] = tempfile.mkdtemp(prefix="kinweave-")
-    return _own_folders[app]
+    return named.rstrip("/")
 
 
 def new_folder(spark: SparkSession, label: str) -> str:

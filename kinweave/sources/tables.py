@@ -2,25 +2,6 @@
 
 from pyspark.sql import DataFrame, SparkSession, types as T
 
-from kinweave import schemas
-
-STORES = {
-    "users": schemas.USERS,
-    "id_map": schemas.ID_MAP,
-    "vid_edges": schemas.VID_EDGES,
-    "hot_flags": schemas.HOT_FLAGS,
-}
-
-
-def create_stores(spark: SparkSession, folder: str) -> None:
-    """Reset: every store becomes an empty table with its fixed schema."""
-    for name, schema in STORES.items():
-        spark.createDataFrame([], schema).write.mode("overwrite").parquet(f"{folder}/{name}")
-
-
-def read_store(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.schema(STORES[name]).parquet(f"{folder}/{name}")
-
 
 def write_table(df: DataFrame, path: str) -> DataFrame:
     """Write ``df`` to a new path and return a scan of it.

@@ -65,4 +65,4 @@ def test_random_graph(make, tmp_path, seed):
     assert answers(neighbourhood.common_friend_count) == {(*k, len(m)) for k, m in common.items()}
     assert answers(neighbourhood.common_friends) == as_rows(common)
     assert answers(neighbourhood.common_friends_pair) == as_rows(pair)
-    assert answers(neighbourhood.common_friends_set) == {(*k, 0, ",".join(sorted(m))) for k, m in common.items()}
+    assert answers(lambda *tables: neighbourhood.common_friends_set(*tables, chunks=1)) == {(*k, 0, ",".join(sorted(m))) for k, m in common.items()}

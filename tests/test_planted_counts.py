@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from kinweave.operators import changes, hot, idmap, neighbourhood, roster, stored_graph
-from kinweave.plans import sync
+from kinweave.plans import jobs
 from kinweave.sources.tables import write_table
 from survey_fixtures import Fixture
 
@@ -45,11 +45,11 @@ def test_neighbourhood(fx, graph):
     assert neighbourhood.friend_levels(*ask).count() == 68
     assert neighbourhood.common_friend_count(*ask).count() == 62
     assert neighbourhood.common_friends(*ask).count() == 68
-    assert neighbourhood.common_friends_set(*ask).count() == 62
+    assert neighbourhood.common_friends_set(*ask, chunks=1).count() == 62
     assert neighbourhood.common_friends_pair(*ask).count() == 70
 
 
-def test_stored_graph(fx, graph, tmp_path):
+def test_stored_graph(spark, fx, graph, tmp_path):
     relation, edges, _ = graph
     visible = stored_graph.graph_friendships(fx.graph_edges, fx.graph_id_map)
     diff = stored_graph.edge_diff(visible, edges)
@@ -62,8 +62,10 @@ def test_stored_graph(fx, graph, tmp_path):
     assert diff.count() == 363
     assert stored_graph.stale_edges(diff).count() == 82
     assert stored_graph.missing_edges(diff).count() == 281
-    synced = sync.sync(fx.graph_edges, fx.graph_id_map, relation, str(tmp_path / "snapshot"))
-    after = stored_graph.graph_friendships(synced.vid_edges, synced.id_map)
+    root = str(tmp_path / "graph")
+    jobs.import_edges(spark, fx.graph_edges, fx.graph_id_map, root)
+    synced = jobs.sync(spark, relation, root)
+    after = synced.by_user
     assert synced.id_map.count() == 151
     assert after.count() == 1167
     assert edges.subtract(after).isEmpty() and after.subtract(edges).isEmpty()
@@ -80,9 +82,9 @@ def test_id_map(fx, graph):
 
 
 def test_changes_and_hot_users(fx, graph):
-    relation, edges, _ = graph
+    relation, edges, people = graph
     assert changes.apply_changes(edges, fx.changes).count() == 1155
     assert changes.delete_edges(edges, fx.changes.where("op = 'delete'")).count() == 1092
     assert changes.users_after_changes(roster.users(relation), fx.changes).count() == 143
     assert hot.hot_users(edges, 12).count() == 22
-    assert hot.flagged_users(hot.hot_flags(edges, 12)).count() == 22
+    assert hot.flagged_users(hot.hot_flags(people, 12)).count() == 22

@@ -3,8 +3,9 @@
 import pytest
 
 from kinweave import schemas
-from kinweave.operators import changes, idmap, neighbourhood, roster, stored_graph
-from kinweave.plans import load, sync
+from kinweave.operators import changes, hot, idmap, neighbourhood, roster, stored_graph
+from kinweave.plans import jobs, store
+from kinweave.plans.questions import FriendGraph
 
 
 def rows(df):
@@ -110,7 +111,7 @@ def test_repeated_requests_count_once(ask):
 
 def test_empty_requests(ask):
     for question in (neighbourhood.friend_levels, neighbourhood.common_friends, neighbourhood.common_friends_pair,
-                     neighbourhood.common_friends_set, neighbourhood.common_friend_count):
+                     neighbourhood.common_friend_count, lambda *tables: neighbourhood.common_friends_set(*tables, chunks=2)):
         assert ask(question, DIRECT_AND_TWO_HOP, []) == []
 
 
@@ -121,13 +122,13 @@ def test_a_null_id_asks_nothing(ask, make):
     assert rows(neighbourhood.friend_levels(requests, edges, people)) == []
 
 
-def test_large_sets_come_in_chunks_that_make_up_the_whole(make):
+def test_sets_come_in_chunks_that_make_up_the_whole(make):
     middles = [f"m{i}" for i in range(40)]
     edges = make(schemas.FRIENDSHIPS, *[("u", m) for m in middles], *[(m, "c") for m in middles])
     id_map = make(schemas.ID_MAP, ("u", "1"), ("c", "2"))
     asked = make(schemas.REQUESTS, ("u", "c"))
-    found = neighbourhood.common_friends_set(asked, edges, neighbourhood.people(edges, id_map), max_set=10).collect()
-    assert 1 < len(found) <= 4
+    found = neighbourhood.common_friends_set(asked, edges, neighbourhood.people(edges, id_map), chunks=4).collect()
+    assert 1 < len(found) <= 4 and {row.chunk for row in found} <= set(range(4))
     assert sorted(m for row in found for m in row.common_ids.split(",")) == sorted(middles)
 
 
@@ -187,52 +188,148 @@ def test_duplicates_are_reported(make):
     assert rows(idmap.duplicate_edges(make(schemas.FRIENDSHIPS, ("a", "b"), ("a", "b"), ("b", "a")))) == [("a", "b", 2)]
 
 
+ODD_CALLS = [("u", "b", "block", 5), ("u", "b", "add", None), ("u", "b", "delete", None), (None, "b", "add", 6), ("u", None, "delete", 7),
+             ("u", "b", None, 8)]
+
+
+def test_rows_that_are_no_call_change_nothing_and_are_reported(applied, make):
+    assert applied([("u", "b")], *ODD_CALLS) == ([("u", "b")], ["b", "u"])
+    found = {(*row[:4],): row.reason for row in changes.rejected(make(schemas.CHANGES, *ODD_CALLS, ("x", "y", "add", 1))).collect()}
+    assert found == dict(zip(ODD_CALLS, ("unknown op", "no seq", "no seq", "no user", "no user", "unknown op")))
+
+
+def test_every_hot_user_is_found_however_many(spark):
+    edges = spark.range(12000).selectExpr("CAST(id AS STRING) AS user_id", "explode(array('a', 'b')) AS friend_user_id")
+    assert hot.hot_users(edges, 2).count() == 12000
+    assert rows(hot.hot_users_page(edges, 2, 2, offset=1)) == [("1", 2), ("10", 2)]
+
+
 def stored(make):
     id_map = make(schemas.ID_MAP, ("u1", "s1"), ("u2", "s2"), ("ghost", "sg"))
-    edges = make(schemas.VID_EDGES, ("s1", "s2"), ("sg", "s1"), ("lost", "s1"), ("s2", "lost"))
-    relation = roster.relation(roster_rows(make, ("a2", "a1", "u1", 3), ("a1", "a2", "u2", 3), ("a1", "a3", "u3", 3)))
-    return edges, id_map, relation
+    edges = make(schemas.VID_EDGES, ("s1", "s2"), ("s1", "s2"), ("sg", "s1"), ("lost", "s1"), ("s2", "lost"))
+    return edges, id_map, relation_of(make, ("a2", "a1", "u1", 3), ("a1", "a2", "u2", 3), ("a1", "a3", "u3", 3))
+
+
+def relation_of(make, *listed):
+    return roster.relation(roster_rows(make, *listed))
+
+
+def all_tables(graph):
+    return {name: rows(getattr(graph, name)) for name in store.TABLES}
+
+
+def check_whole(graph):
+    """The tables of a snapshot follow from its id map and edges."""
+    vertex = dict(rows(graph.id_map))
+    assert rows(graph.users) == [(user,) for user in sorted(vertex)]
+    names = {vid: user for user, vid in vertex.items()}
+    edges = sorted(map(tuple, graph.edges.collect()), key=str)
+    assert edges == sorted(((s, d, names.get(s), names.get(d)) for s, d in set(rows(graph.vid_edges))), key=str)
+    pairs = sorted((a, b) for *_, a, b in edges if a and b)
+    assert rows(graph.by_user) == rows(graph.by_friend) == pairs
+    people = {row.user_id: row for row in graph.people.collect()}
+    assert set(people) == set(vertex)
+    for user, row in people.items():
+        assert (row.registered, row.out_degree, row.in_degree) == (
+            True, sum(a == user for a, _ in pairs), sum(b == user for _, b in pairs))
+    return pairs
 
 
-def test_sync_reaches_the_roster_and_stays(make, tmp_path):
+@pytest.fixture
+def imported(spark, make, tmp_path):
     edges, id_map, relation = stored(make)
-    first = sync.sync(edges, id_map, relation, str(tmp_path / "1"))
-    assert [user for user, _ in rows(first.id_map)] == ["ghost", "u1", "u2", "u3"]
-    visible = stored_graph.graph_friendships(first.vid_edges, first.id_map)
-    assert rows(visible) == [("u1", "u2"), ("u1", "u3"), ("u2", "u1")]
+    root = str(tmp_path / "graph")
+    return root, jobs.import_edges(spark, edges, id_map, root), relation
+
+
+def test_sync_reaches_the_roster_and_stays(spark, imported):
+    root, before, relation = imported
+    first = jobs.sync(spark, relation, root)
+    assert check_whole(first) == [("u1", "u2"), ("u1", "u3"), ("u2", "u1")]
+    assert [user for user, in rows(first.users)] == ["ghost", "u1", "u2", "u3"]
     assert {("lost", "s1"), ("s2", "lost")} <= set(rows(first.vid_edges))
-    second = sync.sync(first.vid_edges, first.id_map, relation, str(tmp_path / "2"))
-    assert second.diff.isEmpty()
-    assert rows(second.vid_edges) == rows(first.vid_edges)
-    assert rows(second.id_map) == rows(first.id_map)
+    second = jobs.sync(spark, relation, root)
+    assert all_tables(second) == all_tables(first) and second.number == first.number + 1 == before.number + 2
+
+
+def test_a_sync_removes_repeated_edges(spark, make, tmp_path):
+    root = str(tmp_path / "graph")
+    edges, id_map, relation = stored(make)
+    twice = edges.unionByName(edges).unionByName(edges)
+    assert jobs.import_edges(spark, twice, id_map, root).edges.count() == 15
+    synced = rows(jobs.sync(spark, relation, root).vid_edges)
+    assert len(synced) == len(set(synced)) == 5
 
 
-def test_sync_of_a_user_whose_old_vertex_has_edges(make, tmp_path):
+def test_sync_of_a_user_whose_old_vertex_has_edges(spark, make, tmp_path):
     """A user lost from the id map gets its digest id back, and with it its old edges: they are synced too."""
     edges, id_map, relation = stored(make)
     old = idmap.with_vertex_ids(make(schemas.USERS, ("u3",))).first().vertex_id
-    edges = edges.unionByName(make(schemas.VID_EDGES, (old, "s1"), ("s1", old)))
-    synced = sync.sync(edges, id_map, relation, str(tmp_path / "1"))
-    visible = stored_graph.graph_friendships(synced.vid_edges, synced.id_map)
-    assert rows(visible) == [("u1", "u2"), ("u1", "u3"), ("u2", "u1")]
+    root = str(tmp_path / "graph")
+    jobs.import_edges(spark, edges.unionByName(make(schemas.VID_EDGES, (old, "s1"), ("s1", old))), id_map, root)
+    assert check_whole(jobs.sync(spark, relation, root)) == [("u1", "u2"), ("u1", "u3"), ("u2", "u1")]
+
+
+def test_the_source_of_the_relation_is_read_once(spark, make, tmp_path):
+    path, root = str(tmp_path / "relation"), str(tmp_path / "graph")
+    stored(make)[2].repartition(1).write.parquet(path)
+    read = spark.sparkContext.accumulator(0)
+    schema = schemas.RELATION
+
+    def counted(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    jobs.reset_then_load(spark, spark.read.schema(schema).parquet(path).mapInArrow(counted, schema), root)
+    assert read.value == 3
+
+
+def test_load_twice_adds_nothing_and_load_deletes_nothing(spark, make, tmp_path):
+    relation, root = stored(make)[2], str(tmp_path / "graph")
+    graph = jobs.reset_then_load(spark, relation, root)
+    assert check_whole(graph) == rows(roster.friendships(relation))
+    assert all_tables(jobs.load(spark, relation, root)) == all_tables(graph)
+    other = relation_of(make, ("a9", "a8", "u8", 3), ("a8", "a9", "u9", 3))
+    assert check_whole(jobs.load(spark, other, root)) == sorted([*rows(graph.by_user), ("u8", "u9"), ("u9", "u8")])
+    assert check_whole(jobs.reset_then_load(spark, other, root)) == [("u8", "u9"), ("u9", "u8")]
 
 
-def test_load_twice_adds_nothing(make, spark, tmp_path):
-    relation = stored(make)[2]
-    folder = str(tmp_path / "graph")
-    graph = load.reset_then_load(spark, relation, folder)
+def test_load_sync_open_change_sync(spark, make, tmp_path):
+    relation, root = stored(make)[2], str(tmp_path / "graph")
+    jobs.reset_then_load(spark, relation, root)
+    jobs.sync(spark, relation, root)
+    graph = store.open_graph(spark, root)
     expected = rows(roster.friendships(relation))
-    assert rows(load.friendships_of(graph)) == expected
-    load.add_users(spark, roster.users(relation), folder)
-    load.add_edges(spark, roster.friendships(relation), folder)
-    again = load.open_graph(spark, folder)
-    assert rows(load.friendships_of(again)) == expected
-    assert again.users.count() == again.id_map.count() == 3
-
-
-def test_load_reports_a_broken_uniqueness(make, spark, tmp_path):
-    folder = str(tmp_path / "graph")
-    load.reset_then_load(spark, stored(make)[2], folder)
-    make(schemas.USERS, ("u1",)).write.mode("append").parquet(f"{folder}/users")
-    with pytest.raises(load.NotUnique):
-        load.add_users(spark, make(schemas.USERS, ("u9",)), folder)
+    assert check_whole(graph) == expected
+    log = make(schemas.CHANGES, ("new", "u1", "add", 1), ("u1", "u2", "delete", 2), ("no", "body", "delete", 3), *ODD_CALLS)
+    changed = jobs.apply_changes(spark, log, root)
+    assert check_whole(changed) == sorted({*expected, ("new", "u1")} - {("u1", "u2")})
+    assert ("no",) not in rows(changed.users)
+    rejects = spark.read.parquet(changed.edges.inputFiles()[0].rsplit("/", 2)[0] + "/rejects")
+    assert rejects.count() == len(ODD_CALLS)
+    assert all_tables(jobs.apply_changes(spark, log, root)) == all_tables(changed)
+    assert rows(FriendGraph.open(spark, root).friend_levels("new", ["u1", "u3"])) == [("new", "u1", 1), ("new", "u3", 2)]
+    assert check_whole(jobs.sync(spark, relation, root)) == expected
+
+
+def test_an_unknown_end_that_becomes_known(spark, imported, make):
+    root, _, _ = imported
+    md5 = idmap.with_vertex_ids(make(schemas.USERS, ("late",))).first().vertex_id
+    edges = make(schemas.VID_EDGES, ("s1", md5), ("s1", "s2"))
+    jobs.import_edges(spark, edges, stored(make)[1], root)
+    graph = jobs.apply_changes(spark, make(schemas.CHANGES, ("late", "u1", "add", 1)), root)
+    assert check_whole(graph) == [("late", "u1"), ("u1", "late"), ("u1", "u2")]
+
+
+def test_a_broken_uniqueness_is_reported_and_not_published(spark, imported, make):
+    root, before, relation = imported
+    twice = make(schemas.ID_MAP, ("u1", "s1"), ("u1", "s1b"))
+    with pytest.raises(store.NotUnique):
+        jobs.import_edges(spark, stored(make)[0], twice, root)
+    assert store.open_graph(spark, root).number == before.number
+
+
+def test_no_snapshot(spark, tmp_path):
+    with pytest.raises(ValueError, match="no snapshot"):
+        store.open_graph(spark, str(tmp_path / "nothing"))

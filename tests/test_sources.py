@@ -4,6 +4,7 @@ from types import SimpleNamespace
 import pytest
 
 from kinweave import schemas, session
+from kinweave.plans import store
 from kinweave.sources import index, roster, tables
 from kinweave.sources.outside import write_partitions
 
@@ -55,11 +56,10 @@ def test_id_map_documents_round_trip(spark, tmp_path, fmt):
 
 
 def test_stores_start_empty_and_typed(spark, tmp_path):
-    folder = str(tmp_path / "g")
-    tables.create_stores(spark, folder)
-    for name, schema in tables.STORES.items():
-        store = tables.read_store(spark, folder, name)
-        assert store.isEmpty() and store.schema.fieldNames() == schema.fieldNames()
+    graph = store.create(spark, str(tmp_path / "g"))
+    for name, schema in store.TABLES.items():
+        table = getattr(graph, name)
+        assert table.isEmpty() and table.schema.fieldNames() == schema.fieldNames()
 
 
 def test_written_table_is_never_overwritten(spark, tmp_path):
@@ -84,7 +84,11 @@ def test_outside_sink_has_one_client_per_partition(spark, tmp_path):
     def open_client():
         return open(f"{folder}/{uuid.uuid4().hex}", "w")
 
-    write_partitions(spark.range(10).repartition(2), open_client, lambda client, row: client.write(f"{row.id}\n"))
+    def write_rows(client, batch):
+        assert len(batch) <= 3
+        client.write("".join(f"{row.id}\n" for row in batch))
+
+    write_partitions(spark.range(10).repartition(2), open_client, write_rows, batch_rows=3)
     files = list(tmp_path.iterdir())
     assert len(files) == 2
     assert sorted(int(line) for f in files for line in f.read_text().split()) == list(range(10))
@@ -100,29 +104,37 @@ def unconfigured(master):
     return SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: default), sparkContext=context)
 
 
-def test_a_cluster_must_name_its_folder():
-    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        session.shared_folder(unconfigured("spark://host:7077"))
-    assert session.shared_folder(unconfigured("local[2]")) == session.shared_folder(unconfigured("local[2]"))
+def test_a_folder_must_be_named():
+    for master in ("spark://host:7077", "local[2]"):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            session.shared_folder(unconfigured(master))
+
+
+SIZE = session.BYTES_PER_PARTITION
 
 
-@pytest.mark.parametrize("sizes, partitions", [
-    ([10 * session.SHUFFLE_BYTES_PER_PARTITION], "10"),
-    ([6 * session.SHUFFLE_BYTES_PER_PARTITION, 2 ** 62], "6"),
-    ([10 ** 14], str(session.MOST_PARTITIONS)),
-    ([1000], None),
-])
-def test_shuffles_are_sized_by_the_input(spark, monkeypatch, sizes, partitions):
-    other = spark.newSession()
-    sizes = iter(sizes + [0])
-    monkeypatch.setattr(session, "planned_bytes", lambda df: next(sizes))
-    session.tune(other, *[spark.range(1)] * 2)
+@pytest.mark.parametrize("sizes, each, partitions", [([10 * SIZE], SIZE, "10"), ([6 * SIZE, 1], SIZE, "7"),
+                                                     ([10 ** 14], SIZE, "1490117"), ([10 ** 14], 100 * SIZE, "14902"), ([1000], SIZE, None)])
+def test_shuffles_are_sized_by_the_input_in_a_session_of_their_own(spark, monkeypatch, sizes, each, partitions):
+    left = iter(sizes)
+    monkeypatch.setattr(session, "planned_bytes", lambda df: next(left))
+    before = dict(spark.conf.getAll)
+    other = session.tuned(spark, *[spark.range(1)] * len(sizes), bytes_per_partition=each)
     assert other.conf.get(session.INITIAL_PARTITIONS, None) == partitions
+    assert dict(spark.conf.getAll) == before
 
 
-def test_a_larger_number_of_partitions_stays(spark, monkeypatch):
-    other = spark.newSession()
-    other.conf.set(session.INITIAL_PARTITIONS, "500")
-    monkeypatch.setattr(session, "planned_bytes", lambda df: 10 * session.SHUFFLE_BYTES_PER_PARTITION)
-    session.tune(other, spark.range(1))
+def test_settings_are_taken_over_and_a_larger_number_of_partitions_stays(spark, monkeypatch):
+    caller = spark.newSession()
+    caller.conf.set(session.INITIAL_PARTITIONS, "500")
+    caller.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    monkeypatch.setattr(session, "planned_bytes", lambda df: 10 * SIZE)
+    other = session.tuned(caller, spark.range(1))
     assert other.conf.get(session.INITIAL_PARTITIONS) == "500"
+    assert other.conf.get("spark.sql.session.timeZone") == "Asia/Tokyo"
+
+
+def test_an_input_of_unknown_size_is_refused(spark, monkeypatch):
+    monkeypatch.setattr(session, "planned_bytes", lambda df: 2 ** 62)
+    with pytest.raises(ValueError, match="write it"):
+        session.tuned(spark, spark.range(1))
