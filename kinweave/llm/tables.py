@@ -53,19 +53,20 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))) % 5 == 0
 
 
-def small_batches(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-    """Runs of at most BATCH_ROWS rows and about BATCH_BYTES of data; a longer row stands alone."""
-    rows = min(BATCH_ROWS, max(1, BATCH_ROWS * BATCH_BYTES // max(1, batch.nbytes) if batch.num_rows > 1 else 1))
-    start = 0
-    while start < batch.num_rows:
-        part = batch.slice(start, rows)
-        while part.num_rows > 1 and part.get_total_buffer_size() and part.nbytes > 4 * BATCH_BYTES:
-            part = part.slice(0, part.num_rows // 2)
-        yield part
-        start += part.num_rows
-
-
-def map_texts(df: DataFrame, schema, start: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]]) -> DataFrame:
+def small_batches(batch: pa.RecordBatch, most_rows: int = BATCH_ROWS) -> Iterator[pa.RecordBatch]:
+    """Runs of at most ``most_rows`` rows and about BATCH_BYTES of data; a longer row stands alone."""
+    waiting = [batch.slice(at, most_rows) for at in reversed(range(0, batch.num_rows, most_rows))]
+    while waiting:
+        part = waiting.pop()
+        if part.num_rows > 1 and part.nbytes > BATCH_BYTES:
+            half = part.num_rows // 2
+            waiting += [part.slice(half), part.slice(0, half)]
+        else:
+            yield part
+
+
+def map_texts(df: DataFrame, schema, start: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]],
+              most_rows: int = BATCH_ROWS) -> DataFrame:
     """Run a batch function over ``df`` on the executors, in Arrow batches of bounded size.
 
     ``start()`` runs once in each task and returns the batch function, so that vocabularies and
@@ -74,10 +75,7 @@ def map_texts(df: DataFrame, schema, start: Callable[[], Callable[[pa.RecordBatc
     def run(batches):
         handle = start()
         for batch in batches:
-            for part in small_batches(batch):
-                result = handle(part)
-                if result is not None:
-                    yield result
+            yield from map(handle, small_batches(batch, most_rows))
 
     ship_package(df.sparkSession)
     return df.mapInArrow(run, schema)

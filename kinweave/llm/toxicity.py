@@ -38,6 +38,7 @@ MIN_FUZZY = 5
 FUZZY, QUOTED, ADDRESSED = 0.8, 0.3, 1.3
 MOST_COUNTED = 5.0
 WINDOW = 4
+COUNTED_ROWS = 100  # texts whose terms are counted at a time; their table is the largest a task holds
 EDGES = "\"'“”„«»‘’‚.,;:!?()[]{}<>|*_-–—…/\\`~#=+"
 QUOTES = "\"“”„«»"
 # Words of report and of address, in the languages of the corpus.
@@ -236,7 +237,7 @@ def fit(documents: DataFrame, labels: DataFrame, max_sample: int = MAX_SAMPLE, m
         return start
 
     def totals(rows: DataFrame, only: frozenset[str] | None, least: int) -> dict[str, int]:
-        counted = map_texts(rows, "unit string, n long", count_units(only)).groupBy("unit").agg(F.sum("n").alias("n"))
+        counted = map_texts(rows, "unit string, n long", count_units(only), COUNTED_ROWS).groupBy("unit").agg(F.sum("n").alias("n"))
         return {row["unit"]: row["n"] for row in counted.where(F.col("n") >= least).collect()}
 
     least = max(LEAST_SUPPORT, n_toxic // 100)
