@@ -263,7 +263,8 @@ def confirm(documents: DataFrame, families: DataFrame, words_each: int, percent:
     n_blocks = F.greatest(F.ceil(F.col("members") / BLOCK_NODES), F.ceil(F.col("volume") / BLOCK_SHINGLES))
     sizes = sizes.where("members > 1").select("family", n_blocks.alias("n_blocks"))
     chosen = families.join(sizes, "family").select(F.col("node").alias("doc_id"), "family", "n_blocks")
-    texts = documents.select(F.col("doc_id").cast("long"), "text").join(chosen, "doc_id")
+    # the chosen ids grow with the data, so they are never broadcast
+    texts = documents.select(F.col("doc_id").cast("long"), "text").join(chosen.hint("merge"), "doc_id")
 
     def start():
         def handle(batch):
