@@ -48,7 +48,11 @@ BOILERPLATE_NAMES = frozenset(
     "promotion nav navbar navigation menu menus breadcrumb breadcrumbs sidebar aside footer header masthead topbar "
     "toolbar cookie cookies consent gdpr notice notices notification alert popup modal overlay newsletter subscribe "
     "subscription signup login share sharing social related recommended recommendations widget widgets comment "
-    "comments respond reply replies discussion disqus pagination pager form search disclaimer copyright".split())
+    "comments respond reply replies discussion disqus pagination pager form search disclaimer copyright announcement "
+    "paywall skip".split())
+# Beginnings that mark a name of several words in one, as in cookiebar or commentlist.
+BOILERPLATE_STEMS = ("advert", "breadcrumb", "comment", "cookie", "newsletter", "popup", "promo", "sidebar", "sidenav", "sponsor",
+                     "subscri", "topnav")
 CONTENT_NAMES = frozenset("article content main post entry story text maintext".split())
 NOT_NAMES = frozenset("with has no without".split())
 
@@ -116,7 +120,8 @@ def own_leaning(tag: str, attributes: str, in_article: bool) -> int:
         elif name in ("class", "id"):
             for word in value.split():
                 names = [part.lower() for part in NAME.findall(word)]
-                bad = {n for at, n in enumerate(names) if n in BOILERPLATE_NAMES and not (at and names[at - 1] in NOT_NAMES)}
+                bad = {n for at, n in enumerate(names) if (n in BOILERPLATE_NAMES or n.startswith(BOILERPLATE_STEMS))
+                       and not (at and names[at - 1] in NOT_NAMES)}
                 good = CONTENT_NAMES.intersection(names)
                 if bad == {"header"} and (good or in_article):
                     bad = set()

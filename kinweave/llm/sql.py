@@ -47,5 +47,53 @@ FROM judged
 """
 
 
+TOP_K = """
+WITH usable AS (
+    SELECT row_number() OVER () AS row_id, vec_id, embedding FROM embeddings
+    WHERE vec_id IS NOT NULL AND len(embedding) > 0
+        AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)
+), parts AS (
+    SELECT row_id, vec_id, len(embedding) AS width, generate_subscripts(embedding, 1) AS i,
+        CAST(floor(1024 * CAST(unnest(embedding) AS DOUBLE)) AS BIGINT) AS x
+    FROM usable
+), scores AS (
+    SELECT q.vec_id AS query_id, c.row_id, c.vec_id, CAST(sum(q.x * c.x) AS BIGINT) AS score
+    FROM parts q JOIN parts c ON c.i = q.i AND c.width = q.width AND c.vec_id <> q.vec_id
+    WHERE q.vec_id % 100 = 0 GROUP BY q.vec_id, q.row_id, c.row_id, c.vec_id
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scores
+)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 10
+"""
+
+NEAR_DUPLICATES = r"""
+WITH RECURSIVE split AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x20\x09-\x0D]+') AS words
+    FROM documents
+), shingles AS (
+    SELECT DISTINCT doc_id, unnest(CASE WHEN len(words) >= 4
+        THEN list_transform(range(1, len(words) - 2), lambda i: array_to_string(words[i:i + 3], ' '))
+        WHEN len(words) > 0 THEN [array_to_string(words, ' ')] ELSE [] END) AS shingle
+    FROM split
+), sizes AS (
+    SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), shared AS (
+    SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n
+    FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY a.doc_id, b.doc_id
+), links AS (
+    SELECT shared.a, shared.b FROM shared JOIN sizes x ON x.doc_id = shared.a JOIN sizes y ON y.doc_id = shared.b
+    WHERE 100 * shared.n >= 80 * (x.n + y.n - shared.n)
+), reached AS (
+    SELECT doc_id, doc_id AS other FROM documents
+    UNION SELECT reached.doc_id, links.b FROM reached JOIN links ON links.a = reached.other
+), components AS (
+    SELECT doc_id, min(other) AS component_id FROM reached GROUP BY doc_id
+)
+SELECT d.doc_id, coalesce(sizes.n, 0) AS n_shingles, c.component_id, d.doc_id = c.component_id AS kept
+FROM documents d JOIN components c ON c.doc_id = d.doc_id LEFT JOIN sizes ON sizes.doc_id = d.doc_id
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op6_host_quality": QUALITY}
+    return {"op1_top_k": TOP_K, "op5_near_duplicates": NEAR_DUPLICATES, "op6_host_quality": QUALITY}
