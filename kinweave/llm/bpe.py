@@ -24,7 +24,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from kinweave.llm.tables import as_texts, map_texts
+from kinweave.llm.tables import as_texts, map_texts, worker_cache
 
 MATRIX_BYTES = 512
 MATRIX_CELLS = 1 << 20
@@ -88,7 +88,7 @@ class Codec:
         ]
         left, right, merged = (np.array(x, np.int64) for x in (zip(*pairs) if pairs else ((), (), ())))
         self.pairs = PairTable(left, right, merged.astype(np.int32))
-        self.known: dict[str, bytes] = {}
+        self.known: dict[str, bytes] = worker_cache("bpe")
 
     def encode(self, texts: Iterable[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
@@ -206,7 +206,7 @@ def encode_documents(documents: DataFrame, path: str, pattern: str) -> DataFrame
                 ["doc_id", "n_tokens", "ids", "decoded"])
         return handle
 
-    return map_texts(documents.select("doc_id", "text"), _schema(documents, "n_tokens long, ids binary, decoded binary"), start)
+    return map_texts(documents.select("doc_id", "text"), _schema(documents, "n_tokens long, ids binary, decoded binary"), start, cache="bpe")
 
 
 def digest_documents(documents: DataFrame, path: str, pattern: str) -> DataFrame:
@@ -226,7 +226,7 @@ def digest_documents(documents: DataFrame, path: str, pattern: str) -> DataFrame
         return handle
 
     return map_texts(documents.select("doc_id", "text"),
-                     _schema(documents, "n_tokens long, ids_sha256 string, decoded_sha256 string"), start)
+                     _schema(documents, "n_tokens long, ids_sha256 string, decoded_sha256 string"), start, cache="bpe")
 
 
 def _schema(documents: DataFrame, rest: str) -> str:

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from kinweave.llm.components import components
-from kinweave.llm.tables import as_bytes, map_texts, ship_package, written
+from kinweave.llm.tables import as_bytes, map_texts, ship_package, worker_cache, written
 
 WORDS = 5
 PERCENT = 80
@@ -39,11 +39,9 @@ KEPT, BITS = 192, 4
 MARGIN = 0.14
 PLANE = KEPT // 64
 BLOCK_NODES, BLOCK_SHINGLES = 256, 1 << 17
-CACHED_WORDS = 500_000
+CACHED_WORDS = 200_000
 PRIME = np.uint64(0x9E3779B97F4A7C15)
 
-_known_words: dict[bytes, int] = {}
-
 
 def _mix(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
@@ -60,11 +58,12 @@ def shingles(text: bytes, words_each: int) -> np.ndarray:
         return np.empty(0, np.uint64)
     if len(words) < words_each:
         return np.array([xxhash.xxh3_64_intdigest(b" ".join(words), seed=len(words))], np.uint64)
-    if len(_known_words) > CACHED_WORDS:
-        _known_words.clear()
-    for word in set(words).difference(_known_words):
-        _known_words[word] = xxhash.xxh3_64_intdigest(word)
-    hashes = np.fromiter(map(_known_words.__getitem__, words), np.uint64, len(words))
+    known = worker_cache("words")
+    if len(known) > CACHED_WORDS:
+        known.clear()
+    for word in set(words).difference(known):
+        known[word] = xxhash.xxh3_64_intdigest(word)
+    hashes = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
     n = len(words) - words_each + 1
     state = np.zeros(n, np.uint64)
     for k in range(words_each):
@@ -136,7 +135,7 @@ def signatures(documents: DataFrame, words_each: int) -> DataFrame:
         return handle
 
     return map_texts(documents.select(F.col("doc_id").cast("long"), "text"),
-                     "doc_id long, n_shingles long, digest binary, planes array<long>, bands array<long>", start)
+                     "doc_id long, n_shingles long, digest binary, planes array<long>, bands array<long>", start, cache="words")
 
 
 def find_components(documents: DataFrame, words_each: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -274,7 +273,7 @@ def confirm(documents: DataFrame, families: DataFrame, words_each: int, percent:
                 ["node", "family", "n_blocks", "hashes"])
         return handle
 
-    full = map_texts(texts, "node long, family long, n_blocks long, hashes binary", start)
+    full = map_texts(texts, "node long, family long, n_blocks long, hashes binary", start, cache="words")
     blocks = block_pairs(full, "family", F.col("n_blocks")).select("family", "lower", "upper", "block", "node", "hashes")
 
     def link(table: pa.Table) -> pa.Table:

@@ -27,11 +27,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from kinweave.llm.tables import as_texts, map_texts, ship_package, written
+from kinweave.llm.tables import as_texts, map_texts, ship_package, worker_cache, written
 
 CAPACITY = 4096
 SHARD_PIECES = 4096
 CACHED_WORDS = 500_000
+CACHED_TEXTS = 500  # texts whose words are looked up at a time
 STEPS_PER_BIN = 4
 FILLINGS = 6
 
@@ -53,15 +54,13 @@ class WordEncoder:
         self.ends_word = np.zeros(max(vocab.values()) + 1, bool)
         self.ends_word[[i for token, i in vocab.items() if token.endswith("</w>")]] = True
         self.marks = {mark: self._encode_each([mark])[0] for mark in ".,"}
-        self.known: dict[str, bytes] = {}
-        self.plain: dict[str, bytes] = {}
+        self.known: dict[str, bytes] = worker_cache("packing")
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
         split = [(text.lower() if text.isascii() else text).replace("\n", " ").split(" ") for text in texts]
         if len(self.known) > CACHED_WORDS:
             self.known.clear()
-            self.plain.clear()
         self._learn({word for words in split for word in words}.difference(self.known))
         known = self.known.__getitem__
         return [b"".join(map(known, words)) for words in split]
@@ -75,12 +74,12 @@ class WordEncoder:
                 marked.append((word, core.lower(), mark))
             else:
                 other.append(word)
-        plain = list({core for _, core, _ in marked}.difference(self.plain))
+        plain = list({core for _, core, _ in marked}.difference(self.known))
         for at in range(0, len(plain), 4096):
             run = plain[at:at + 4096]
-            self.plain.update(zip(run, self._encode_run(run)))
+            self.known.update(zip(run, self._encode_run(run)))
         for word, core, mark in marked:
-            self.known[word] = self.plain[core] + self.marks[mark] if mark else self.plain[core]
+            self.known[word] = self.known[core] + self.marks[mark] if mark else self.known[core]
         self.known.update(zip(other, self._encode_each(other)))
 
     def _encode_run(self, words: list[str]) -> list[bytes]:
@@ -125,7 +124,7 @@ def cut_documents(documents: DataFrame, path: str, capacity: int = CAPACITY, end
 
     kind = documents.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, piece int, start long, length long, ids_crc32 long" + ", ids binary" * with_ids
-    return map_texts(documents.select("doc_id", "text"), schema, start)
+    return map_texts(documents.select("doc_id", "text"), schema, start, CACHED_TEXTS, cache="packing")
 
 
 def pack_documents(documents: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = 1,

@@ -14,6 +14,7 @@ BATCH_BYTES = 8 << 20
 
 _own_folders: dict[str, str] = {}
 _shipped: set[str] = set()
+_caches: dict[str, dict] = {}
 
 
 def ship_package(spark: SparkSession) -> None:
@@ -65,14 +66,24 @@ def small_batches(batch: pa.RecordBatch, most_rows: int = BATCH_ROWS) -> Iterato
             yield part
 
 
+def worker_cache(name: str) -> dict:
+    """What an operator keeps between the tasks of a Python worker. The caches of other operators are emptied."""
+    for other, kept in _caches.items():
+        if other != name:
+            kept.clear()
+    return _caches.setdefault(name, {})
+
+
 def map_texts(df: DataFrame, schema, start: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]],
-              most_rows: int = BATCH_ROWS) -> DataFrame:
+              most_rows: int = BATCH_ROWS, cache: str = "") -> DataFrame:
     """Run a batch function over ``df`` on the executors, in Arrow batches of bounded size.
 
     ``start()`` runs once in each task and returns the batch function, so that vocabularies and
-    models are loaded there. No shuffle; a lost task is simply run again.
+    models are loaded there. No shuffle; a lost task is simply run again. ``cache`` names the
+    worker cache that the function uses, if any.
     """
     def run(batches):
+        worker_cache(cache)
         handle = start()
         for batch in batches:
             yield from map(handle, small_batches(batch, most_rows))
