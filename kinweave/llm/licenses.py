@@ -2,8 +2,9 @@
 
 A text is reduced to its lower-cased words joined by single spaces. A notice that may differ in k
 characters is split into k + 1 parts; at least one part of any place with at most k edits is
-unharmed, so an Aho-Corasick search for all parts locates every candidate. Around a candidate the
-regex library's bounded-error matching verifies the edits and gives the span.
+unharmed, so an Aho-Corasick search for all parts locates every candidate. Around a candidate,
+twice as many parts are looked for, of which k + 2 must stand there; then the regex library's
+bounded-error matching verifies the edits and gives the span.
 
 Defined cases: null text is empty: no words, no places, score 0. A phrase that stands many times
 counts at every place. Whole texts are searched, whatever their length; each row stands for itself,
@@ -73,6 +74,12 @@ NOTICES = (
 PLACES = pa.list_(pa.struct([("label", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("edits", pa.int32())]))
 
 
+def split_evenly(text: str, parts: int) -> list[tuple[int, str]]:
+    """(start, part) of a text cut into parts of about equal length."""
+    cuts = [part * len(text) // parts for part in range(parts + 1)]
+    return [(low, text[low:high]) for low, high in zip(cuts, cuts[1:])]
+
+
 class Scanner:
     def __init__(self, phrases: Sequence[tuple[str, str]], notices: Sequence[Notice]):
         import ahocorasick
@@ -86,10 +93,9 @@ class Scanner:
         ]
         seeds: dict[str, list[tuple[int, int]]] = {}
         for number, notice in enumerate(notices):
-            parts, length = notice.edits + 1, len(notice.words)
-            for part in range(parts):
-                start, end = part * length // parts, (part + 1) * length // parts
-                seeds.setdefault(notice.words[start:end], []).append((number, start))
+            for start, part in split_evenly(notice.words, notice.edits + 1):
+                seeds.setdefault(part, []).append((number, start))
+        self.halves = [[half for _, half in split_evenly(n.words, 2 * (n.edits + 1))] for n in notices]
         self.seeds = ahocorasick.Automaton()
         for seed, uses in seeds.items():
             self.seeds.add_word(seed, (len(seed), uses))
@@ -114,8 +120,11 @@ class Scanner:
             for number, offset in uses:
                 notice = self.notices[number]
                 start = end - length + 1 - offset
-                spans = windows.setdefault(number, [])
                 low, high = max(0, start - notice.edits), start + len(notice.words) + notice.edits
+                window = text[low:high]
+                if sum(half in window for half in self.halves[number]) < notice.edits + 2:
+                    continue
+                spans = windows.setdefault(number, [])
                 if spans and low <= spans[-1][1]:
                     spans[-1][1] = max(spans[-1][1], high)
                 else:
