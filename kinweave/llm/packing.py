@@ -25,14 +25,15 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from kinweave.llm.tables import as_texts, map_texts, ship_package, worker_cache, written
+from kinweave.llm.tables import map_texts, ship_package, worker_cache, written
 
 CAPACITY = 4096
 SHARD_PIECES = 4096
 CACHED_WORDS = 500_000
-CACHED_TEXTS = 500  # texts whose words are looked up at a time
+CACHED_TEXTS = 1000  # texts whose words are looked up at a time
 STEPS_PER_BIN = 4
 FILLINGS = 6
 
@@ -56,14 +57,28 @@ class WordEncoder:
         self.marks = {mark: self._encode_each([mark])[0] for mark in ".,"}
         self.known: dict[str, bytes] = worker_cache("packing")
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text as little-endian unsigned 32-bit integers."""
-        split = [(text.lower() if text.isascii() else text).replace("\n", " ").split(" ") for text in texts]
+    def encode(self, texts: pa.Array) -> list[bytes]:
+        """The ids of each text as little-endian unsigned 32-bit integers; null is empty.
+
+        Arrow splits the texts and numbers their distinct words; only those are looked up.
+        """
+        texts = pc.replace_substring(pc.fill_null(texts.cast(pa.large_string()), ""), "\n", " ")
+        split = pc.split_pattern(pc.if_else(pc.string_is_ascii(texts), pc.ascii_lower(texts), texts), " ")
+        coded = split.values.dictionary_encode()
+        words = coded.dictionary.to_pylist()
         if len(self.known) > CACHED_WORDS:
             self.known.clear()
-        self._learn({word for words in split for word in words}.difference(self.known))
-        known = self.known.__getitem__
-        return [b"".join(map(known, words)) for words in split]
+        self._learn(set(words).difference(self.known))
+        found = [self.known[word] for word in words]
+        ids, sizes = np.frombuffer(b"".join(found), "<u4"), np.fromiter(map(len, found), np.int64, len(found)) // 4
+        place = np.asarray(coded.indices)
+        lengths = sizes[place]
+        ends = np.cumsum(lengths)
+        # the ids of all words in order: each word's run begins where its distinct word's does
+        shift = np.repeat((np.cumsum(sizes) - sizes)[place] - (ends - lengths), lengths)
+        whole = ids[shift + np.arange(len(shift))]
+        bounds = np.append(0, ends)[np.asarray(split.offsets)].tolist()
+        return [whole[low:high].tobytes() for low, high in zip(bounds, bounds[1:])]
 
     def _learn(self, new: set[str]) -> None:
         marked, other = [], []
@@ -111,7 +126,7 @@ def cut_documents(documents: DataFrame, path: str, capacity: int = CAPACITY, end
 
         def handle(batch):
             rows = []
-            for doc_id, ids in zip(batch["doc_id"].to_pylist(), encoder.encode(as_texts(batch["text"]))):
+            for doc_id, ids in zip(batch["doc_id"].to_pylist(), encoder.encode(batch["text"])):
                 ids += end
                 for piece, at in enumerate(range(0, len(ids), 4 * capacity)):
                     part = ids[at:at + 4 * capacity]
