@@ -188,8 +188,9 @@ def find_families(nodes: DataFrame, percent: int) -> DataFrame:
     more = blocks.groupBy("band", "lower", "upper").applyInArrow(join_families, "a long, b long")
     joined = written(more.distinct(), "minhash-joins")
     merged = components(joined, "families")
-    alone = joined.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(first, "node", "left_anti")
-    families = first.unionByName(alone.select("node", F.col("node").alias("family")))
+    # a family that only now is joined is a node of its own name; of a node's two names the smaller is its family's
+    named_now = joined.select(F.explode(F.array("a", "b")).alias("node")).select("node", F.col("node").alias("family"))
+    families = first.unionByName(named_now).groupBy("node").agg(F.min("family").alias("family"))
     renamed = merged.select(F.col("node").alias("family"), "component")
     families = families.join(renamed, "family", "left").select("node", F.coalesce("component", "family").alias("family"))
     return written(families.join(signature.select("node", "n"), "node"), "minhash-all-families")
