@@ -198,7 +198,7 @@ class Inputs:
     def changed(self) -> store.Graph:
         """The loaded graph after the change calls."""
         root = session.new_folder(self.spark, "changed-graph")
-        jobs.import_edges(self.spark, self.loaded.vid_edges, self.loaded.id_map, root)
+        store.fork(self.spark, self.loaded, root)
         return jobs.apply_changes(self.spark, self.changes, root)
 
     @property

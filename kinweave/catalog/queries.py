@@ -8,7 +8,7 @@ from kinweave import session
 from kinweave.catalog.inputs import HOT_THRESHOLD, Inputs, event_changes, inputs
 from kinweave.functions import scalars
 from kinweave.operators import changes, hot, idmap, neighbourhood, roster, stored_graph
-from kinweave.plans import jobs
+from kinweave.plans import store
 from kinweave.sources import tables
 from kinweave.streaming.changes import compact, current_edges, log_changes, read_log
 
@@ -264,7 +264,7 @@ def edges_after_change_stream(i):
 def edges_after_compaction(i):
     """The log folded into a snapshot, and what the log holds behind it applied: the same edges."""
     log, root = _logged(i), session.new_folder(i.spark, "compacted-graph")
-    jobs.import_edges(i.spark, i.loaded.vid_edges, i.loaded.id_map, root)
+    store.fork(i.spark, i.loaded, root)
     graph = compact(i.spark, log, root)
     return current_edges(graph.by_user, read_log(i.spark, log, graph.applied_batch))
 

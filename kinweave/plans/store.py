@@ -18,7 +18,9 @@ not disturbed. One job at a time may write below a root.
 
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from kinweave import schemas, session
 from kinweave.operators import hot, idmap, neighbourhood
@@ -42,6 +44,7 @@ class Graph:
     """A snapshot. Its tables belong to a session of their own with the settings their joins need."""
 
     root: str
+    folder: str
     number: int
     applied_batch: int
     users: DataFrame
@@ -61,7 +64,7 @@ def create(spark: SparkSession, root: str) -> Graph:
     """Reset: the current snapshot becomes an empty one. Older ones stay for their readers."""
     folder = session.new_folder(spark, f"{_name(root)}-snapshot")
     for name, schema in TABLES.items():
-        spark.createDataFrame([], schema).write.parquet(f"{folder}/{name}")
+        spark.createDataFrame(pa.Table.from_pylist([], to_arrow_schema(schema)), schema).write.parquet(f"{folder}/{name}")
     return _publish(spark, root, folder, NO_BATCH)
 
 
@@ -72,7 +75,12 @@ def open_graph(spark: SparkSession, root: str, bytes_per_partition: int = sessio
     sized = [spark.read.schema(TABLES[name]).parquet(f"{current['folder']}/{name}") for name in ("edges", "id_map")]
     own = session.tuned(spark, *sized, bytes_per_partition=bytes_per_partition)
     tables = {name: own.read.schema(schema).parquet(f"{current['folder']}/{name}") for name, schema in TABLES.items()}
-    return Graph(root, current["number"], current["applied_batch"], **tables)
+    return Graph(root, current["folder"], current["number"], current["applied_batch"], **tables)
+
+
+def fork(spark: SparkSession, graph: Graph, root: str) -> Graph:
+    """Make a snapshot of one graph the current one of another. Snapshots never change, so nothing is copied."""
+    return _publish(spark, root, graph.folder, NO_BATCH)
 
 
 def write_snapshot(spark: SparkSession, root: str, folder: str, id_map: DataFrame, edges: DataFrame,
@@ -110,6 +118,7 @@ def _current(spark: SparkSession, root: str):
 
 def _publish(spark: SparkSession, root: str, folder: str, applied_batch: int) -> Graph:
     before = _current(spark, root)
-    row = (before["number"] + 1 if before else 0, folder, applied_batch)
-    spark.createDataFrame([row], schemas.SNAPSHOTS).coalesce(1).write.mode("append").parquet(f"{root}/snapshots")
+    row = {"number": before["number"] + 1 if before else 0, "folder": folder, "applied_batch": applied_batch}
+    pointer = pa.Table.from_pylist([row], to_arrow_schema(schemas.SNAPSHOTS))
+    spark.createDataFrame(pointer, schemas.SNAPSHOTS).coalesce(1).write.mode("append").parquet(f"{root}/snapshots")
     return open_graph(spark, root)

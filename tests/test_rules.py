@@ -330,6 +330,14 @@ def test_a_broken_uniqueness_is_reported_and_not_published(spark, imported, make
     assert store.open_graph(spark, root).number == before.number
 
 
+def test_a_forked_graph_goes_its_own_way(spark, imported, make, tmp_path):
+    root, graph, _ = imported
+    other = str(tmp_path / "other")
+    assert all_tables(store.fork(spark, graph, other)) == all_tables(graph)
+    jobs.apply_changes(spark, make(schemas.CHANGES, ("u1", "u2", "delete", 1)), other)
+    assert all_tables(store.open_graph(spark, root)) == all_tables(graph) != all_tables(store.open_graph(spark, other))
+
+
 def test_no_snapshot(spark, tmp_path):
     with pytest.raises(ValueError, match="no snapshot"):
         store.open_graph(spark, str(tmp_path / "nothing"))
