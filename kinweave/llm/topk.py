@@ -12,7 +12,7 @@ Queries and rows meet in blocks: rows form shards of SHARD_ROWS, shards form run
 queries visits each run once, carrying its thresholds from shard to shard. Each run gives at most k rows a query, which
 are merged by a window per query.
 
-Defined cases: a vector that is null, empty, or holds null or a non-finite number takes no part. Vectors
+Defined cases: a vector that is null, empty, or holds null or a number that is not finite when scaled takes no part. Vectors
 of another length than the query's are no candidates of it. Repeated rows are rows of their own; a
 query's own rows are all those with its id, and they are no candidates. Equal queries are one; queries of one id
 with different vectors share one list. Scores beyond the 64-bit range
@@ -33,9 +33,9 @@ PROBE = 8
 LONGEST = 2 ** 63 - 1
 
 
-def usable(vectors: DataFrame, id_column: str, vector_column: str) -> DataFrame:
+def usable(vectors: DataFrame, id_column: str, vector_column: str, scale: int) -> DataFrame:
     """(vec_id, values) of the vectors that take part."""
-    finite = F.forall(vector_column, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+    finite = F.forall(vector_column, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double") * float(scale)) < float("inf")))
     taking_part = F.col(id_column).isNotNull() & (F.size(vector_column) > 0) & finite
     return vectors.where(taking_part).select(
         F.col(id_column).cast("long").alias("vec_id"), F.col(vector_column).cast("array<double>").alias("values"))
@@ -133,9 +133,9 @@ def search_exactly(query: np.ndarray, own: int, ids: np.ndarray, rows: np.ndarra
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10, id_column: str = "vec_id",
           vector_column: str = "embedding", scale: int = 1024) -> DataFrame:
     """query_id, rank (from 1), vec_id, score: the k best other rows of every row of ``queries``."""
-    rows = usable(vectors, id_column, vector_column)
+    rows = usable(vectors, id_column, vector_column, scale)
     shards = written(in_blocks(rows, SHARD_ROWS, scale), "topk-shards")
-    wanted = usable(queries, id_column, vector_column).dropDuplicates(["vec_id", "values"])
+    wanted = usable(queries, id_column, vector_column, scale).dropDuplicates(["vec_id", "values"])
     asked = written(in_blocks(written(wanted, "topk-wanted"), QUERY_ROWS, scale), "topk-queries")
     runs = max(1, math.ceil(shards.count() / RUN_SHARDS))
     placed = shards.select("*", F.pmod(F.xxhash64("ids"), F.lit(runs)).alias("run"))

@@ -69,6 +69,11 @@ def test_very_large_numbers_are_exact_or_clipped(vectors):
     assert found == brute_force(stored(rows), stored(rows[:1]), 10)
 
 
+def test_numbers_that_overflow_when_scaled_take_no_part(spark):
+    df = spark.createDataFrame([(0, [1.0, 2.0]), (1, [1e307, 1.0]), (2, [2.0, 2.0])], "vec_id long, embedding array<double>")
+    assert [tuple(r) for r in topk.top_k(df, df.where("vec_id = 0")).collect()] == [(0, 1, 2, 6 * 1024 * 1024)]
+
+
 def test_maxscore_leaves_work_out():
     rng = np.random.default_rng(11)
     rows = np.floor(rng.normal(0, 1, (2000, 64)) * 1024 * np.geomspace(1, 0.01, 64))
