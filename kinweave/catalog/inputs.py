@@ -5,7 +5,6 @@ orders (owner = ordering customer), with planted NULL users, self rows, alias ac
 unresolvable owners, self edges and unconfirmed rows.
 """
 
-import tempfile
 from functools import cached_property
 from weakref import WeakKeyDictionary
 
@@ -30,21 +29,12 @@ def inputs(spark: SparkSession, sf_dir: str) -> "Inputs":
     return of_session[sf_dir]
 
 
-def _folder_for_a_trial(spark: SparkSession) -> None:
-    """Let queries run on a local session that names no shared folder, as in a trial; no cluster gets one from here."""
-    context = spark.sparkContext
-    named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
-    if not named and context.master.startswith("local["):
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="kinweave-"))
-
-
 def _name(prefix: str, number: Column) -> Column:
     return F.concat(F.lit(prefix), number.cast("string"))
 
 
 class Inputs:
     def __init__(self, spark: SparkSession, sf_dir: str):
-        _folder_for_a_trial(spark)
         self.sf_dir = sf_dir
         self.spark = spark
         sized = [self.table(name) for name in ("orders", "customer", "supplier", "events", "lineitem")]
