@@ -165,7 +165,8 @@ def find_families(nodes: DataFrame, percent: int) -> DataFrame:
 
     stars = members.select("node", F.explode(F.array("low", "high")).alias("leader")).where(F.col("node") != F.col("leader"))
     stars = stars.select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct()
-    signature = nodes.groupBy("node").agg(F.first("n").alias("n"), F.first("planes").alias("planes"))
+    # a written table, so that a hot leader's share of the joins below can be split
+    signature = written(nodes.dropDuplicates(["node"]).select("node", "n", "planes"), "minhash-planes")
 
     def side(name):
         return signature.select(F.col("node").alias(name), F.col("n").alias(f"n_{name}"), F.col("planes").alias(f"p_{name}"))
