@@ -3,8 +3,8 @@
 Subwords are the runs of 1 to MAX_GRAM letters of a word, with the blank before or behind it as a
 character; each is hashed into a bucket with an embedding. A text is the mean of the embeddings of
 all its subwords. Embeddings and softmax are trained by stochastic gradient descent in numpy on a
-bounded sample: about ``per_language`` labelled documents of each language, picked by a hash of the
-row, whole texts. Executors send the sample as bucket shares, so its size does not depend on how
+bounded sample: about ``per_language`` labelled documents of each language, and MAX_SAMPLE in all, picked
+by a hash of the row, whole texts. Executors send the sample as bucket shares, so its size does not depend on how
 long texts are. One sampled document in five is not trained on but calibrates the model: a
 temperature for the probabilities, and the probability below which a prediction is rejected.
 
@@ -26,7 +26,7 @@ from kinweave.llm.tables import as_texts, held_out, map_texts
 BUCKETS = 1 << 12
 MAX_GRAM = 4
 DIMENSIONS = 16
-PER_LANGUAGE = 800
+PER_LANGUAGE, MAX_SAMPLE = 800, 8000
 SEGMENT = 1 << 19
 UNKNOWN = "und"
 BLANK = 32
@@ -142,9 +142,10 @@ def fit(documents: DataFrame, per_language: int = PER_LANGUAGE, seed: int = 9) -
     if not sizes:
         return LanguageModel((), np.zeros((BUCKETS, 0)), np.zeros(0), 1.0, 0.0)
     languages = tuple(sorted(sizes))
+    each = min(per_language, MAX_SAMPLE / len(languages))
     share = F.lit(0.0)
     for language, size in sizes.items():
-        share = F.when(F.col("lang") == language, min(1.0, per_language / size)).otherwise(share)
+        share = F.when(F.col("lang") == language, min(1.0, each / size)).otherwise(share)
     draw = F.pmod(F.xxhash64("doc_id", "text", F.lit(seed)), F.lit(1_000_000)) / 1_000_000
     sample = labelled.where(F.col("text").isNotNull() & (draw < share)).select("lang", "text")
 
