@@ -76,8 +76,9 @@ class PairTable:
 class Codec:
     """Encoder and decoder of one vocabulary; ``vocab[id]`` is a token's bytes, and its id is its rank."""
 
-    def __init__(self, vocab: list[bytes], pattern: str):
+    def __init__(self, vocab: list[bytes], pattern: str, known: dict[str, bytes] | None = None):
         self.vocab = vocab
+        self.known = {} if known is None else known  # the ids of pieces seen before, with this vocabulary
         self.ids = {token: i for i, token in enumerate(vocab)}
         self.single = np.array([self.ids[bytes([b])] for b in range(256)], np.int32)
         self.pieces_of = regex.compile(pattern).findall
@@ -88,7 +89,6 @@ class Codec:
         ]
         left, right, merged = (np.array(x, np.int64) for x in (zip(*pairs) if pairs else ((), (), ())))
         self.pairs = PairTable(left, right, merged.astype(np.int32))
-        self.known: dict[str, bytes] = worker_cache("bpe")
 
     def encode(self, texts: Iterable[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
@@ -190,7 +190,7 @@ def load_codec(path: str, pattern: str) -> Codec:
         ranks = sorted((int(rank), base64.b64decode(token)) for token, rank in map(bytes.split, file))
     if [rank for rank, _ in ranks] != list(range(len(ranks))):
         raise ValueError(f"{path} has gaps or repeated ranks")
-    return Codec([token for _, token in ranks], pattern)
+    return Codec([token for _, token in ranks], pattern, worker_cache("bpe", path))
 
 
 def encode_documents(documents: DataFrame, path: str, pattern: str) -> DataFrame:

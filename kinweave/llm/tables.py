@@ -3,7 +3,7 @@
 import tempfile
 import uuid
 import zipfile
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Hashable, Iterator
 from pathlib import Path
 
 import pyarrow as pa
@@ -14,7 +14,7 @@ BATCH_BYTES = 8 << 20
 
 _own_folders: dict[str, str] = {}
 _shipped: set[str] = set()
-_caches: dict[str, dict] = {}
+_caches: dict[str, dict[Hashable, dict]] = {}
 
 
 def ship_package(spark: SparkSession) -> None:
@@ -66,12 +66,16 @@ def small_batches(batch: pa.RecordBatch, most_rows: int = BATCH_ROWS) -> Iterato
             yield part
 
 
-def worker_cache(name: str) -> dict:
-    """What an operator keeps between the tasks of a Python worker. The caches of other operators are emptied."""
-    for other, kept in _caches.items():
+def worker_cache(name: str, owner: Hashable = None) -> dict:
+    """What an operator keeps between the tasks of a Python worker, by ``owner``: whatever its content depends on.
+
+    The caches of other operators are emptied, so a worker holds those of one at a time.
+    """
+    for other, caches in _caches.items():
         if other != name:
-            kept.clear()
-    return _caches.setdefault(name, {})
+            for kept in caches.values():
+                kept.clear()
+    return _caches.setdefault(name, {}).setdefault(owner, {})
 
 
 def map_texts(df: DataFrame, schema, start: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]],
@@ -87,6 +91,8 @@ def map_texts(df: DataFrame, schema, start: Callable[[], Callable[[pa.RecordBatc
         handle = start()
         for batch in batches:
             yield from map(handle, small_batches(batch, most_rows))
+        # the executor's limit counts what a worker holds on to for its next task
+        pa.default_memory_pool().release_unused()
 
     ship_package(df.sparkSession)
     return df.mapInArrow(run, schema)

@@ -7,7 +7,7 @@ import public_tokenizers
 import pytest
 import tiktoken
 
-from kinweave.llm import bpe
+from kinweave.llm import bpe, tables
 from rows import AWKWARD
 
 PATH = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -47,6 +47,14 @@ def test_a_full_cache_starts_anew(codec, monkeypatch, library):
         assert np.frombuffer(codec.encode([text])[0], "<u4").tolist() == library.encode_ordinary(text)
 
 
+def test_caches_are_kept_apart_and_one_operator_s_at_a_time():
+    first, second = tables.worker_cache("a", 1), tables.worker_cache("a", 2)
+    first["x"] = 1
+    assert tables.worker_cache("a", 1) is first and "x" not in second
+    tables.worker_cache("b")
+    assert not first
+
+
 def test_a_gap_in_the_ranks_is_refused(tmp_path):
     (tmp_path / "ranks").write_text("YQ== 0\nYg== 2\n")
     with pytest.raises(ValueError, match="gaps"):
