@@ -55,7 +55,7 @@ class WordEncoder:
         self.ends_word = np.zeros(max(vocab.values()) + 1, bool)
         self.ends_word[[i for token, i in vocab.items() if token.endswith("</w>")]] = True
         self.marks = {mark: self._encode_each([mark])[0] for mark in ".,"}
-        self.known: dict[str, bytes] = worker_cache("packing")
+        self.known: dict[str, bytes] = worker_cache("packing", path)
 
     def encode(self, texts: pa.Array) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers; null is empty.
