@@ -41,8 +41,8 @@ FILLINGS = 6
 class WordEncoder:
     """Ids of texts, word by word: the tokenizer drops white space, and no token spans it.
 
-    Most new words are letters with a comma or full stop at most. They are encoded in runs without
-    the mark, and the run's ids are cut behind every token that ends a word.
+    Most new words are letters only. They are encoded in runs, and the run's ids are cut behind every
+    token that ends a word.
     """
 
     def __init__(self, path: str):
@@ -54,7 +54,6 @@ class WordEncoder:
         vocab = self.tokenizer.get_vocab()
         self.ends_word = np.zeros(max(vocab.values()) + 1, bool)
         self.ends_word[[i for token, i in vocab.items() if token.endswith("</w>")]] = True
-        self.marks = {mark: self._encode_each([mark])[0] for mark in ".,"}
         self.known: dict[str, bytes] = worker_cache("packing", path)
 
     def encode(self, texts: pa.Array) -> list[bytes]:
@@ -63,7 +62,9 @@ class WordEncoder:
         Arrow splits the texts and numbers their distinct words; only those are looked up.
         """
         texts = pc.replace_substring(pc.fill_null(texts.cast(pa.large_string()), ""), "\n", " ")
-        split = pc.split_pattern(pc.if_else(pc.string_is_ascii(texts), pc.ascii_lower(texts), texts), " ")
+        # below U+0100 the lower case of a letter is the tokenizer's; a mark between a letter and a blank is a token of its own
+        texts = pc.if_else(pc.match_substring_regex(texts, r"[^\x00-\xFF]"), texts, pc.utf8_lower(texts))
+        split = pc.split_pattern(pc.replace_substring_regex(texts, "([a-z])([.,]) ", r"\1 \2 "), " ")
         coded = split.values.dictionary_encode()
         words = coded.dictionary.to_pylist()
         if len(self.known) > CACHED_WORDS:
@@ -81,20 +82,11 @@ class WordEncoder:
         return [whole[low:high].tobytes() for low, high in zip(bounds, bounds[1:])]
 
     def _learn(self, new: set[str]) -> None:
-        marked, other = [], []
-        for word in new:
-            core, mark = (word[:-1], word[-1]) if word[-1:] in self.marks else (word, "")
-            # below U+0100 lower case and normal form are the same for a letter wherever it stands
-            if core.isalpha() and (core.isascii() or max(core) < "\u0100"):
-                marked.append((word, core.lower(), mark))
-            else:
-                other.append(word)
-        plain = list({core for _, core, _ in marked}.difference(self.known))
+        plain = [word for word in new if word.isalpha() and (word.isascii() or max(word) < "\u0100")]
+        other = list(new.difference(plain))
         for at in range(0, len(plain), 4096):
             run = plain[at:at + 4096]
             self.known.update(zip(run, self._encode_run(run)))
-        for word, core, mark in marked:
-            self.known[word] = self.known[core] + self.marks[mark] if mark else self.known[core]
         self.known.update(zip(other, self._encode_each(other)))
 
     def _encode_run(self, words: list[str]) -> list[bytes]:
