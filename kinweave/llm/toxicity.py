@@ -1,7 +1,7 @@
 """Toxicity: a learned lexicon, matched with Levenshtein automata on a trie, weighed by context.
 
-Learning. A bounded sample of ``max_sample`` labelled documents (hash-picked, near copies counted once)
-gives the lexicon: whole words and word beginnings that are much more frequent in toxic documents.
+Learning. A bounded sample of ``max_sample`` labelled documents (hash-picked, copies of a whole text counted
+once in a class; the model's ``used`` says how many rows that leaves) gives the lexicon: whole words and word beginnings that are much more frequent in toxic documents.
 A logistic regression on the weighted number of matches of each term gives the weights.
 
 Matching. Every distinct word of a batch is looked up once. Beginnings must match exactly; a whole
@@ -21,7 +21,7 @@ the label's are not.
 
 from collections import Counter
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pyarrow as pa
@@ -119,13 +119,14 @@ class ToxicityModel:
     intercept: float
     not_misspelled: frozenset[str] = frozenset()
     constant: float | None = None
+    used: tuple[int, int] = (0, 0)  # clean and toxic rows it was learned from
     lexicon: Lexicon = field(default=None, compare=False, repr=False)
 
     def __post_init__(self):
         object.__setattr__(self, "lexicon", Lexicon(self.terms, self.not_misspelled))
 
     def __reduce__(self):
-        return ToxicityModel, (self.terms, self.weights, self.rates, self.intercept, self.not_misspelled, self.constant)
+        return ToxicityModel, (self.terms, self.weights, self.rates, self.intercept, self.not_misspelled, self.constant, self.used)
 
     def score(self, texts: pa.Array) -> np.ndarray:
         if self.constant is not None:
@@ -215,10 +216,11 @@ def fit(documents: DataFrame, labels: DataFrame, max_sample: int = MAX_SAMPLE, m
     share = F.when(F.col("toxic") == 1, min(1.0, max_sample / 2 / sizes[1])).otherwise(min(1.0, max_sample / 2 / sizes[0]))
     draw = F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(1_000_000)) / 1_000_000
     picked = F.broadcast(marked.where(draw < share))  # about max_sample rows of two numbers
-    family = F.array_min(F.transform(
-        F.filter(F.split(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+"), lambda w: F.length(w) > 5), lambda w: F.xxhash64(w)))
-    taught = documents.select("doc_id", "text").join(picked, "doc_id").select("text", "toxic", family.alias("family"))
-    sample = written(taught.dropDuplicates(["family", "toxic"]).select("text", "toxic"), "toxicity-sample")
+    # 128 bits of the whole text: only true copies fall together
+    text = F.coalesce("text", F.lit(""))
+    digest = [F.xxhash64(text).alias("digest"), F.xxhash64(F.lit(seed), text).alias("digest_2")]
+    taught = documents.select("doc_id", "text").join(picked, "doc_id").select("text", "toxic", *digest)
+    sample = written(taught.dropDuplicates(["digest", "digest_2", "toxic"]).select("text", "toxic"), "toxicity-sample")
     n_toxic = sample.where("toxic = 1").count()
     n_clean = sample.count() - n_toxic
     if not n_toxic or not n_clean:
@@ -245,7 +247,7 @@ def fit(documents: DataFrame, labels: DataFrame, max_sample: int = MAX_SAMPLE, m
     in_clean = totals(sample.where("toxic = 0"), frozenset(in_toxic), 1)
     terms = choose_terms(in_toxic, in_clean, n_toxic, n_clean, max_terms)
     rows, not_misspelled = sample_matches(sample, terms)
-    return train(terms, rows, not_misspelled)
+    return replace(train(terms, rows, not_misspelled), used=(n_clean, n_toxic))
 
 
 def choose_terms(in_toxic: dict[str, int], in_clean: dict[str, int], n_toxic: int, n_clean: int,

@@ -79,3 +79,13 @@ def test_the_model_survives_pickling():
     from pyspark import cloudpickle
     copy = cloudpickle.loads(cloudpickle.dumps(model()))
     assert copy.score(pa.array(["you moron"])) == model().score(pa.array(["you moron"]))
+
+
+def test_only_whole_copies_are_dropped_from_the_sample(spark):
+    # all share "common", the smallest or only long word; the short ones have no long word at all
+    texts = [f"common a{n} b{n}" for n in range(60)] + [f"x{n} y{n}" for n in range(60)] + ["common a0 b0", None, ""]
+    documents = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    labels = documents.selectExpr("doc_id", "CAST(doc_id % 3 = 0 AS int) AS toxic")
+    taught = labels.where(~held_out(labels["doc_id"])).join(documents, "doc_id").collect()
+    expected = tuple(len({row.text or "" for row in taught if row.toxic == toxic}) for toxic in (0, 1))
+    assert toxicity.fit(documents, labels).used == expected
