@@ -2,7 +2,9 @@
 
 A page is read into text blocks: runs of text between block-level tags. A classifier gives every
 block odds of being content, from what its ancestors say of themselves (tag, class, id, role), its
-length and its share of link text. Neighbouring blocks of the same container and the same leaning
+length and its share of link text. A listed word in a class or id moves the odds by NAMED at most, and
+the less the less of the page's prose lies outside of it: layout names of wrappers tell no part of a
+page from another. Neighbouring blocks of the same container and the same leaning
 form one node. The costs of calling a node boilerplate or content are its capacities from the source
 and to the sink; edges between neighbours, and between nodes of the same container, cost what it
 takes to label them apart, more the more of their ancestors they share. The minimum cut labels
@@ -64,19 +66,26 @@ END_TAGS = {tag: re.compile(f"</{tag}[^>]*>", re.I) for tag in RAW_TAGS}
 
 CONTENT, OPEN, BOILERPLATE = 1, 0, -1
 CERTAIN, OUTSIDE = 6.0, 3.0
+NAMED, INNER = 4.0, 5.0  # against what a listed name is above; for an article or main below such a name
+PROSE_OUTSIDE = 0.25  # the share of the page's prose outside of a name that gives it its full weight
 NEIGHBOURS, SAME_CONTAINER = 0.5, 1.0
 
 
 class Element:
-    __slots__ = ("tag", "leaning", "in_article", "depth", "up")
+    __slots__ = ("tag", "leaning", "in_article", "depth", "up", "named")
 
-    def __init__(self, tag: str, up: "Element | None", own: int):
+    def __init__(self, tag: str, up: "Element | None", own: int, named: bool = False):
         self.tag, self.up = tag, up
         self.depth = up.depth + 1 if up else 0
         self.in_article = tag in CONTENT_TAGS or bool(up and up.in_article)
+        self.named: Element | None = self if named else up.named if up else None  # the nearest with a listed name
         outer = up.leaning if up else OPEN
         if own == BOILERPLATE or outer == BOILERPLATE and not (tag in CONTENT_TAGS and up.only_form()):
             self.leaning = BOILERPLATE
+        elif named:
+            self.leaning = OPEN
+        elif self.named and tag not in CONTENT_TAGS:
+            self.leaning = outer
         else:
             self.leaning = own or outer
 
@@ -92,20 +101,47 @@ class Element:
 
 
 class Block:
-    __slots__ = ("text", "place", "odds")
+    __slots__ = ("text", "place", "odds", "words")
 
     def __init__(self, text: str, place: Element, link_share: float):
         self.text, self.place = text, place
+        self.words = text.count(" ") + 1
         if place.leaning:
-            self.odds = CERTAIN * place.leaning
+            self.odds = INNER if place.leaning == CONTENT and place.named else CERTAIN * place.leaning
         else:
-            words = text.count(" ") + 1
-            self.odds = (min(words, 40) / 10 - 1 - 5 * link_share + (0.7 if text[-1] in ".!?…\"”»" else -0.5)
+            self.odds = (min(self.words, 40) / 10 - 1 - 5 * link_share + (0.7 if text[-1] in ".!?…\"”»" else -0.5)
                          + (0.8 if place.tag in ("h1", "h2", "h3", "p", "blockquote", "pre") else 0.0))
 
 
-def own_leaning(tag: str, attributes: str, in_article: bool) -> int:
-    """What an element says of itself."""
+def name_weights(blocks: list[Block]) -> dict[Element, float]:
+    """What each listed name takes from the odds of the blocks below it: of nested names the heaviest counts."""
+    prose: dict[Element, int] = {}
+    total = 0
+    for block in blocks:
+        said = block.words if block.odds > 0 else 0
+        total += said
+        if block.place.named:
+            prose[block.place.named] = prose.get(block.place.named, 0) + said
+    waiting = list(prose)
+    for name in waiting:
+        outer = name.up.named
+        if outer and outer not in prose:
+            prose[outer] = 0
+            waiting.append(outer)
+    names = sorted(prose, key=lambda name: -name.depth)
+    for name in names:
+        if name.up.named:
+            prose[name.up.named] += prose[name]
+    weights: dict[Element, float] = {}
+    for name in reversed(names):
+        outside = (total - prose[name]) / total if prose[name] else 1.0
+        weights[name] = max(NAMED * min(1.0, outside / PROSE_OUTSIDE), weights.get(name.up.named, 0.0))
+    return weights
+
+
+def own_leaning(tag: str, attributes: str, in_article: bool) -> tuple[int, bool]:
+    """What an element says of itself, and whether its class or id has a listed word."""
+    named = False
     against = tag in BOILERPLATE_TAGS or tag == "header" and not in_article
     speaks_for = tag in CONTENT_TAGS
     for name, value in ATTRIBUTE.findall(attributes) if attributes else ():
@@ -125,9 +161,9 @@ def own_leaning(tag: str, attributes: str, in_article: bool) -> int:
                 good = CONTENT_NAMES.intersection(names)
                 if bad == {"header"} and (good or in_article):
                     bad = set()
-                against |= bool(bad)
+                named |= bool(bad)
                 speaks_for |= bool(good) and not bad
-    return BOILERPLATE if against else CONTENT if speaks_for else OPEN
+    return BOILERPLATE if against else CONTENT if speaks_for else OPEN, named
 
 
 def read_blocks(page: str) -> list[Block]:
@@ -187,7 +223,7 @@ def read_blocks(page: str) -> list[Block]:
         if tag == "a":
             links += 1
         if tag not in VOID_TAGS and tag not in ("html", "body"):
-            place = Element(tag, place, own_leaning(tag, token.group(3), place.in_article))
+            place = Element(tag, place, *own_leaning(tag, token.group(3), place.in_article))
 
     token = TOKEN.search(page)
     while token:
@@ -283,11 +319,13 @@ def minimum_cut(n: int, from_source: list[float], to_sink: list[float], edges: l
 
 def main_text(page: str) -> str:
     blocks = read_blocks(page)
-    if any(block.place.leaning == CONTENT for block in blocks):
-        # the page says where its content is, so what lies elsewhere and says nothing is less likely content
-        for block in blocks:
-            if block.place.leaning == OPEN:
-                block.odds -= OUTSIDE
+    weights = name_weights(blocks)
+    against = [weights.get(block.place.named, 0.0) for block in blocks]
+    # the page says where its content is, so what lies elsewhere and says nothing is less likely content
+    says = any(block.place.leaning == CONTENT and weight < NAMED / 2 for block, weight in zip(blocks, against))
+    for block, weight in zip(blocks, against):
+        if block.place.leaning != BOILERPLATE:
+            block.odds -= weight + (OUTSIDE if says and (block.place.leaning == OPEN or weight >= NAMED / 2) else 0.0)
     nodes: list[list[Block]] = []
     for block in blocks:
         container = block.place.up or block.place

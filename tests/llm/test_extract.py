@@ -81,3 +81,19 @@ def test_nulls_repeated_rows_and_an_empty_table(spark):
     found = sorted(map(tuple, extract.extract_pages(spark.createDataFrame(rows, schema)).collect()), key=str)
     assert found == sorted([(None, None, "", 0), (1, "u", "", 0), (2, "u", ARTICLE, len(ARTICLE)), (2, "u", ARTICLE, len(ARTICLE))], key=str)
     assert extract.extract_pages(spark.createDataFrame([], schema)).collect() == []
+
+
+@pytest.mark.parametrize("name", ["sidebar-right", "page-header-visible", "layout cookie-accepted", "no-js promo-top"])
+def test_layout_names_of_wrappers_do_not_lose_the_article(name):
+    prose = f"<h1>Headline</h1><p>{ARTICLE}</p><p>{ARTICLE} {ARTICLE}</p><p>Short one.</p><p>{ARTICLE}</p>"
+    menu = "<nav><a href=x>Home</a></nav>"
+    for inside in (f"<article>{prose}</article>", f"<main>{prose}</main>", f"<div>{prose}</div>"):
+        found = main_text(f"<body><div class='{name}'>{menu}{inside}</div><footer>&copy; us. {ARTICLE}</footer></body>")
+        assert found.count(ARTICLE) == 4 and "Home" not in found and "us." not in found
+    # a name above a part of the page still speaks against that part
+    found = main_text(f"<div id='{name}'><main>{prose}</main><div class='comments'><p>{ARTICLE} No.</p></div></div>")
+    assert found.count(ARTICLE) == 4 and "No." not in found
+
+
+def test_an_article_outweighs_an_outer_name():
+    assert main_text("<div class='sidebar-right'><article>a<b>c</b>d</article></div><p>Some words outside of it.</p>").startswith("acd")
