@@ -2,7 +2,7 @@
 
 1. Every text becomes its set of word shingles (64-bit hashes), KEPT minima of it, their low BITS as
    bit planes in 64-bit words, and band keys of the full minima. Documents with equal sets are one
-   node, named by their smallest doc_id.
+   node, named by a 64-bit digest of the set, however many ids and rows it has.
 2. Nodes that share a band key are candidates. Each is held against the bucket's smallest and largest
    node by the bit counts of the planes, corrected for chance collisions; estimates of the
    threshold less MARGIN (about four standard deviations) make families.
@@ -11,7 +11,8 @@
    join families.
 4. Within a family all pairs are confirmed on full sets, in blocks again: families are split into
    blocks of bounded size, every pair of blocks is one group, and a group gives only the links
-   that join its parts. The components of the confirmed links are the result.
+   that join its parts. Links between the sets of one doc_id are added. The components are the
+   result, each named by its smallest doc_id.
 
 No group holds more than two blocks and no step lists all pairs of a group. Two sets at the
 threshold share no band with a probability of (1 - t^ROWS)^BANDS, 3e-6 at 0.8.
@@ -116,8 +117,12 @@ def _corrected(mismatches):
     return (1 - mismatches / KEPT - 2.0 ** -BITS) / (1 - 2.0 ** -BITS)
 
 
+def digest(found: np.ndarray) -> int:
+    return int.from_bytes(hashlib.blake2b(found.tobytes(), digest_size=8).digest(), "little", signed=True)
+
+
 def signatures(documents: DataFrame, words_each: int) -> DataFrame:
-    """doc_id, n_shingles, digest of the set, planes, bands; the last three null without shingles."""
+    """doc_id, n_shingles, node (digest of the set), planes, bands; the last three null without shingles."""
     def start():
         def handle(batch):
             rows = []
@@ -125,33 +130,38 @@ def signatures(documents: DataFrame, words_each: int) -> DataFrame:
                 found = shingles(text, words_each)
                 if len(found):
                     lowest = minima(found)
-                    rows.append((len(found), hashlib.blake2b(found.tobytes(), digest_size=16).digest(),
-                                 planes(lowest), band_keys(lowest)))
+                    rows.append((len(found), digest(found), planes(lowest), band_keys(lowest)))
                 else:
                     rows.append((0, None, None, None))
             longs = pa.list_(pa.int64())
-            columns = [pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.binary(), longs, longs))]
-            return pa.RecordBatch.from_arrays([batch["doc_id"], *columns], ["doc_id", "n_shingles", "digest", "planes", "bands"])
+            columns = [pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int64(), longs, longs))]
+            return pa.RecordBatch.from_arrays([batch["doc_id"], *columns], ["doc_id", "n_shingles", "node", "planes", "bands"])
         return handle
 
     return map_texts(documents.select(F.col("doc_id").cast("long"), "text"),
-                     "doc_id long, n_shingles long, digest binary, planes array<long>, bands array<long>", start, cache="words")
+                     "doc_id long, n_shingles long, node long, planes array<long>, bands array<long>", start, cache="words")
 
 
 def find_components(documents: DataFrame, words_each: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id, kept of every document: linked at 100 * shared >= percent * united."""
     signed = written(signatures(documents, words_each), "minhash")
     whole = signed.where((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull())
-    nodes = written(whole.groupBy("digest").agg(
-        F.min("doc_id").alias("node"), F.first("n_shingles").alias("n"), F.first("planes").alias("planes"),
+    nodes = written(whole.groupBy("node").agg(
+        F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"), F.first("planes").alias("planes"),
         F.first("bands").alias("bands")), "minhash-nodes")
     families = find_families(nodes, percent)
-    links = confirm(documents, families, words_each, percent)
-    linked = written(components(links, "links"), "near-components")
-    of_set = nodes.select("digest", "node").join(linked, "node", "left").select(
-        "digest", F.coalesce("component", "node").alias("component"))
-    found = signed.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("digest")).alias("digest"))
-    return found.join(of_set, "digest", "left").select(
+    links = confirm(documents, nodes, families, words_each, percent)
+    # the sets of one id are linked, as they are one document
+    of_id = written(whole.groupBy("doc_id").agg(F.min("node").alias("node"), F.max("node").alias("last")), "near-ids")
+    several = of_id.where(F.col("node") != F.col("last")).select("doc_id", F.col("node").alias("a"))
+    own = whole.select("doc_id", F.col("node").alias("b")).join(several, "doc_id").where(F.col("a") != F.col("b"))
+    linked = components(links.unionByName(own.select("a", "b").distinct()), "links")
+    linked = written(nodes.select("node", "doc_id").join(linked, "node", "left").select(
+        "node", "doc_id", F.coalesce("component", "node").alias("part")), "near-components")
+    named = linked.groupBy("part").agg(F.min("doc_id").alias("component"))
+    component = linked.join(named, "part").select("node", "component")
+    component = of_id.select("doc_id", "node").join(component, "node").select("doc_id", "component")
+    return signed.select("doc_id", "n_shingles").join(component, "doc_id", "left").select(
         "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"),
         F.coalesce("component", "doc_id").eqNullSafe(F.col("doc_id")).alias("kept"))
 
@@ -166,7 +176,7 @@ def find_families(nodes: DataFrame, percent: int) -> DataFrame:
     stars = members.select("node", F.explode(F.array("low", "high")).alias("leader")).where(F.col("node") != F.col("leader"))
     stars = stars.select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct()
     # a written table, so that a hot leader's share of the joins below can be split
-    signature = written(nodes.dropDuplicates(["node"]).select("node", "n", "planes"), "minhash-planes")
+    signature = written(nodes.select("node", "n", "planes"), "minhash-planes")
 
     def side(name):
         return signature.select(F.col("node").alias(name), F.col("n").alias(f"n_{name}"), F.col("planes").alias(f"p_{name}"))
@@ -258,24 +268,28 @@ def _estimated_links(table: pa.Table, percent: int, least: float) -> tuple[list[
     return a, b
 
 
-def confirm(documents: DataFrame, families: DataFrame, words_each: int, percent: int) -> DataFrame:
+def confirm(documents: DataFrame, nodes: DataFrame, families: DataFrame, words_each: int, percent: int) -> DataFrame:
     """Links (a, b) between nodes, confirmed on full sets: within each pair of blocks enough to join all that is linked."""
     sizes = families.groupBy("family").agg(F.count("*").alias("members"), F.sum("n").alias("volume"))
     n_blocks = F.greatest(F.ceil(F.col("members") / BLOCK_NODES), F.ceil(F.col("volume") / BLOCK_SHINGLES))
     sizes = sizes.where("members > 1").select("family", n_blocks.alias("n_blocks"))
-    chosen = families.join(sizes, "family").select(F.col("node").alias("doc_id"), "family", "n_blocks")
+    chosen = written(families.join(sizes, "family").select("node", "family", "n_blocks"), "near-chosen")
+    ids = chosen.join(nodes.select("node", "doc_id"), "node").select("doc_id").distinct()
     # the chosen ids grow with the data, so they are never broadcast
-    texts = documents.select(F.col("doc_id").cast("long"), "text").join(chosen.hint("merge"), "doc_id")
+    texts = documents.select(F.col("doc_id").cast("long"), "text").join(ids.hint("merge"), "doc_id").select("text")
 
     def start():
         def handle(batch):
-            found = [shingles(text, words_each).tobytes() for text in as_bytes(batch["text"])]
+            # a text without words has no node; the join with the chosen drops it
+            found = [shingles(text, words_each) for text in as_bytes(batch["text"])]
             return pa.RecordBatch.from_arrays(
-                [batch["doc_id"], batch["family"], batch["n_blocks"], pa.array(found, pa.binary())],
-                ["node", "family", "n_blocks", "hashes"])
+                [pa.array([digest(own) if len(own) else None for own in found], pa.int64()),
+                 pa.array([own.tobytes() for own in found], pa.binary())], ["node", "hashes"])
         return handle
 
-    full = map_texts(texts, "node long, family long, n_blocks long, hashes binary", start, cache="words")
+    # one row of each set before the blocks, however often its ids are repeated
+    sets = map_texts(texts, "node long, hashes binary", start, cache="words").where(F.col("node").isNotNull())
+    full = sets.groupBy("node").agg(F.first("hashes").alias("hashes")).join(chosen.hint("merge"), "node")
     blocks = block_pairs(full, "family", F.col("n_blocks")).select("family", "lower", "upper", "block", "node", "hashes")
 
     def link(table: pa.Table) -> pa.Table:

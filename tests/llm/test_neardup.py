@@ -145,3 +145,36 @@ def test_a_block_gives_no_more_links_than_join_it():
     table = pa.table({"family": [1] * 40, "lower": [0] * 40, "upper": [0] * 40, "block": [0] * 40,
                       "node": list(range(40)), "hashes": [hashes] * 40})
     assert len(neardup._confirmed_links(table, 80)[0]) == 39
+
+
+def test_one_id_with_several_texts_links_them(documents):
+    rng = random.Random(4)
+    base = [[f"b{k}w{rng.randrange(10 ** 6)}" for _ in range(60)] for k in range(3)]
+
+    def copy(k, at):
+        return " ".join(base[k][:at] + ["other"] + base[k][at + 1:])
+
+    texts = [(1, " ".join(base[0])), (1, " ".join(base[1])), (1, ""), (2, copy(0, 0)), (3, copy(1, 59)), (4, copy(2, 0)),
+             (5, " ".join(base[2])), (5, ""), (5, copy(1, 0)), (6, "quite something else than all of these")]
+    rows = [(doc_id, text, "en", "s", 0) for doc_id, text in texts]
+    expected = plain_components(rows, 5, 80)
+    assert expected == {1: 1, 2: 1, 3: 1, 4: 1, 5: 1, 6: 6}
+    found = neardup.find_components(documents(rows), 5, 80).collect()
+    assert len(found) == len(rows) and all(r.component_id == expected[r.doc_id] for r in found)
+
+
+def test_a_block_has_one_row_of_each_set(documents, monkeypatch):
+    """A block of more rows than BLOCK_NODES * 2 would be noticed here by its size."""
+    seen = neardup.block_pairs
+    tables = []
+
+    def noted(rows, group, n_blocks):
+        if "hashes" in rows.columns:
+            tables.append(rows.count())
+        return seen(rows, group, n_blocks)
+
+    monkeypatch.setattr(neardup, "block_pairs", noted)
+    words = [f"w{n}" for n in range(60)]
+    rows = [(1, " ".join(words), "en", "s", 0)] * 500 + [(2, " ".join(["other", *words[1:]]), "en", "s", 0)]
+    found = neardup.find_components(documents(rows), 5, 80).collect()
+    assert tables == [2] and {r.component_id for r in found} == {1}
