@@ -11,6 +11,7 @@ counts at every place. Whole texts are searched, whatever their length; each row
 so copies and ties need nothing special, and other columns are not read.
 """
 
+from bisect import bisect_left
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import lru_cache
@@ -115,7 +116,7 @@ class Scanner:
 
     def fuzzy(self, text: str) -> list[tuple[str, int, int, int]]:
         """(label, start, end, edits) of the notices in the joined words; places of one notice do not overlap."""
-        windows: dict[int, list[list[int]]] = {}
+        windows: dict[int, set[tuple[int, int]]] = {}
         for end, (length, uses) in self.seeds.iter(text):
             for number, offset in uses:
                 notice = self.notices[number]
@@ -124,17 +125,19 @@ class Scanner:
                 window = text[low:high]
                 if sum(half in window for half in self.halves[number]) < notice.edits + 2:
                     continue
-                spans = windows.setdefault(number, [])
-                if spans and low <= spans[-1][1]:
-                    spans[-1][1] = max(spans[-1][1], high)
-                else:
-                    spans.append([low, high])
+                windows.setdefault(number, set()).add((low, min(high, len(text))))
         found = []
         for number, spans in windows.items():
             notice, pattern = self.notices[number], self.patterns[number]
-            for low, high in spans:
-                for match in pattern.finditer(text, low, min(high, len(text))):
-                    found.append((notice.label, match.start(), match.end(), sum(match.fuzzy_counts)))
+            # each window by itself: in a longer one a better place would hide a weaker one before it
+            places = {(sum(match.fuzzy_counts), match.start(), match.end())
+                      for low, high in spans for match in pattern.finditer(text, low, high)}
+            kept: list[tuple[int, int, int]] = []
+            for edits, start, end in sorted(places):
+                at = bisect_left(kept, (start,))
+                if (at == len(kept) or end <= kept[at][0]) and (not at or kept[at - 1][1] <= start):
+                    kept.insert(at, (start, end, edits))
+            found += [(notice.label, *place) for place in kept]
         return found
 
 @lru_cache(maxsize=4)

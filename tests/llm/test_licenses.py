@@ -71,3 +71,14 @@ def test_labels_of_the_method_are_added(documents):
     assert (row.base_labels, row.labels, row.score) == ("apache", "apache,mit", 1.0)
     row = licenses.scan_documents(documents([(1, text[:-16], None, None, None)])).first()
     assert row.labels == "mit" and 0.9 < row.score < 1
+
+
+def test_a_weaker_notice_close_before_a_better_one_is_found():
+    scan = licenses.scanner(tuple(licenses.PHRASES), licenses.NOTICES)
+    notice = next(n for n in licenses.NOTICES if n.label == "lgpl")
+    weaker = notice.words.replace("lesser", "leser").replace("public", "pubic")
+    for first, second in ((weaker, notice.words), (notice.words, weaker), (weaker, weaker)):
+        text = f"zz {first} qq {second} kk"
+        found = sorted(place[1:] for place in scan.fuzzy(text) if place[0] == "lgpl")
+        assert len(found) == 2 and found[0][2] <= found[1][1]
+        assert [n for _, _, n in found] == [2 * (first == weaker), 2 * (second == weaker)]
