@@ -42,15 +42,18 @@ class WordEncoder:
     """Ids of texts, word by word: the tokenizer drops white space, and no token spans it.
 
     Most new words are letters only. They are encoded in runs, and the run's ids are cut behind every
-    token that ends a word.
+    token that ends a word. A text that holds the string of a special token takes the library's plain
+    call as a whole.
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
+        self.whole_texts = Tokenizer.from_file(path)
+        self.special = [token.content for token in self.whole_texts.get_added_tokens_decoder().values() if token.special]
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.tokenizer.encode_special_tokens = True  # a word may be one in lower case only
         vocab = self.tokenizer.get_vocab()
         self.ends_word = np.zeros(max(vocab.values()) + 1, bool)
         self.ends_word[[i for token, i in vocab.items() if token.endswith("</w>")]] = True
@@ -61,7 +64,8 @@ class WordEncoder:
 
         Arrow splits the texts and numbers their distinct words; only those are looked up.
         """
-        texts = pc.replace_substring(pc.fill_null(texts.cast(pa.large_string()), ""), "\n", " ")
+        given = pc.fill_null(texts.cast(pa.large_string()), "")
+        texts = pc.replace_substring(given, "\n", " ")
         # below U+0100 the lower case of a letter is the tokenizer's; a mark between a letter and a blank is a token of its own
         texts = pc.if_else(pc.match_substring_regex(texts, r"[^\x00-\xFF]"), texts, pc.utf8_lower(texts))
         split = pc.split_pattern(pc.replace_substring_regex(texts, "([a-z])([.,]) ", r"\1 \2 "), " ")
@@ -79,7 +83,12 @@ class WordEncoder:
         shift = np.repeat((np.cumsum(sizes) - sizes)[place] - (ends - lengths), lengths)
         whole = ids[shift + np.arange(len(shift))]
         bounds = np.append(0, ends)[np.asarray(split.offsets)].tolist()
-        return [whole[low:high].tobytes() for low, high in zip(bounds, bounds[1:])]
+        encoded = [whole[low:high].tobytes() for low, high in zip(bounds, bounds[1:])]
+        for string in self.special:
+            for at in np.flatnonzero(pc.match_substring(given, string)).tolist():
+                found = self.whole_texts.encode(given[at].as_py(), add_special_tokens=False)
+                encoded[at] = np.array(found.ids, "<u4").tobytes()
+        return encoded
 
     def _learn(self, new: set[str]) -> None:
         plain = [word for word in new if word.isalpha() and (word.isascii() or max(word) < "\u0100")]

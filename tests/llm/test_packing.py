@@ -17,14 +17,13 @@ PATH = public_tokenizers.path("word_bpe_49k.json")
 @pytest.fixture(scope="module")
 def library():
     tokenizer = Tokenizer.from_file(PATH)
-    tokenizer.encode_special_tokens = True
     return lambda text: tokenizer.encode(text, add_special_tokens=False).ids
 
 
 def test_words_in_runs_give_the_ids_of_whole_texts(library):
     rng = random.Random(3)
-    texts = ["á b, c. d\u0085f\x1cg", "<|endoftext|> x", "İstanbul ΣΑΣ ΣΑΣ.", "don't we'll 's", "\n\n \t x\ty", "́a ́", "a.. b,. .,", "Ünï CŒUR Ǆ ß."]
-    texts += ["".join(rng.choice("abTé1,. \n'ß中") for _ in range(rng.randint(0, 300))) for _ in range(200)]
+    texts = ["á b, c. d\u0085f\x1cg", "<|endoftext|> x", "a<|startoftext|>B <|ENDOFTEXT|>\n<|endoftext|><|endoftext|>", "<|StartOfText|>", "İstanbul ΣΑΣ ΣΑΣ.", "don't we'll 's", "\n\n \t x\ty", "́a ́", "a.. b,. .,", "Ünï CŒUR Ǆ ß."]
+    texts += ["".join(rng.choice([*"abTé1,. \n'ß中", "<|endoftext|>"]) for _ in range(rng.randint(0, 300))) for _ in range(200)]
     for text, ids in zip(texts, packing.load_encoder(PATH).encode(pa.array([*texts]))):
         assert np.frombuffer(ids, "<u4").tolist() == library(text)
 
