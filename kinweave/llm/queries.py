@@ -5,7 +5,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from kinweave.llm import bpe, extract, langid, licenses, neardup, packing, quality, sql, topk, toxicity, urls
+from kinweave.llm import bpe, extract, langid, licenses, neardup, packing, quality, shortestpack, sql, topk, toxicity, urls
 from kinweave.llm.tables import held_out
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -74,6 +74,11 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op11_shortest_pack_first(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document in sequences of at most 4096 tokens without padding."""
+    return shortestpack.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_top_k": op1_top_k,
@@ -86,6 +91,7 @@ def queries() -> dict[str, Query]:
         "op8_main_text": op8_main_text,
         "op9_language_id": op9_language_id,
         "op10_best_fit_packing": op10_best_fit_packing,
+        "op11_shortest_pack_first": op11_shortest_pack_first,
     }
 
 
