@@ -5,7 +5,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from kinweave.llm import alignment, bpe, extract, langid, licenses, neardup, packing, quality, shortestpack, sql, topk, toxicity, urls
+from kinweave.llm import alignment, bpe, extract, langid, licenses, neardup, packing, quality, shortestpack, sql, topk, toxicity, urls, variants
 from kinweave.llm.tables import held_out
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -79,6 +79,11 @@ def op11_shortest_pack_first(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shortestpack.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents with their near words and the frequent forms they may stand for."""
+    return variants.group_variants(table(spark, sf_dir, "documents"))
+
+
 def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How the tokens of two vocabularies lie over each other in every document."""
     return alignment.score_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
@@ -98,6 +103,7 @@ def queries() -> dict[str, Query]:
         "op9_language_id": op9_language_id,
         "op10_best_fit_packing": op10_best_fit_packing,
         "op11_shortest_pack_first": op11_shortest_pack_first,
+        "op12_spelling_variants": op12_spelling_variants,
         "op13_token_alignment": op13_token_alignment,
     }
 

@@ -95,5 +95,52 @@ FROM documents d JOIN components c ON c.doc_id = d.doc_id LEFT JOIN sizes ON siz
 """
 
 
+SPELLING_VARIANTS = r"""
+WITH RECURSIVE crc_table AS (
+    SELECT list(list_reduce(range(8), lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, n) ORDER BY n) AS t
+    FROM range(256) AS r(n)
+), runs AS (
+    SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS doc, unnest(regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z\x{C0}-\x{FF}]+')) AS run
+    FROM documents
+), counted AS (
+    SELECT doc, run, count(*) AS n, hex(encode(doc || ':' || run)) AS bytes FROM runs WHERE length(run) >= 7 GROUP BY doc, run
+), digests AS (
+    SELECT run, n, xor(list_reduce(list_transform(range(1, length(bytes), 2),
+            lambda i: CAST(instr('0123456789ABCDEF', bytes[i]) * 16 + instr('0123456789ABCDEF', bytes[i + 1]) - 17 AS BIGINT)),
+        lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]), 4294967295), 4294967295) AS h
+    FROM counted, crc_table
+), results AS (
+    SELECT CASE WHEN h % 31 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, n
+    FROM digests
+), words AS (
+    SELECT word, CAST(sum(n) AS BIGINT) AS n FROM results WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2
+), less AS (
+    SELECT DISTINCT word, n, i, substr(word, 1, i) || substr(word, i + 2) AS rest
+    FROM (SELECT word, n, unnest(range(length(word))) AS i FROM words)
+), near AS (
+    SELECT a.word, b.word AS other, b.n AS other_n FROM less a JOIN less b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+        AND length(a.word) = length(b.word)
+    UNION SELECT a.word, b.word, b.n FROM less a JOIN words b ON b.word = a.rest
+    UNION SELECT b.word, a.word, a.n FROM less a JOIN words b ON b.word = a.rest
+), ranked AS (
+    SELECT word, other, other_n, count(*) OVER (PARTITION BY word) AS n_near,
+        row_number() OVER (PARTITION BY word ORDER BY other_n DESC, encode(other)) AS place
+    FROM near
+), formed AS (
+    SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN other_n >= 10 * n THEN other END AS form,
+        CASE WHEN other_n >= 10 * n THEN other_n END AS form_n
+    FROM words w LEFT JOIN ranked r ON r.word = w.word AND place = 1
+), chains AS (
+    SELECT word, word AS root FROM words
+    UNION ALL SELECT c.word, f.form FROM chains c JOIN formed f ON f.word = c.root WHERE f.form IS NOT NULL
+), lasts AS (
+    SELECT c.word, c.root FROM chains c JOIN formed f ON f.word = c.root WHERE f.form IS NULL
+)
+SELECT f.word, f.form, l.root, f.n, f.n_near, f.form_n FROM formed f JOIN lasts l ON l.word = f.word
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_top_k": TOP_K, "op5_near_duplicates": NEAR_DUPLICATES, "op6_host_quality": QUALITY}
+    return {"op1_top_k": TOP_K, "op5_near_duplicates": NEAR_DUPLICATES, "op6_host_quality": QUALITY,
+            "op12_spelling_variants": SPELLING_VARIANTS}

@@ -1,0 +1,124 @@
+import random
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from kinweave.llm import variants
+from rows import AWKWARD, CLASHING
+
+COLUMNS = ["word", "form", "root", "n", "n_near", "form_n"]
+
+
+def is_letter(c):
+    return "a" <= c <= "z" or "A" <= c <= "Z" or "À" <= c <= "ÿ"
+
+
+def plain_counts(rows):
+    found = Counter()
+    for doc_id, text in rows:
+        run = ""
+        for c in (text or "") + " ":
+            if is_letter(c):
+                run += c.lower() if c.isascii() else c
+            elif run:
+                h = zlib.crc32(f"{'' if doc_id is None else doc_id}:{run}".encode())
+                at = h % len(run)
+                found[run[:at] + run[at + 1:] if h % 31 == 0 else run] += 1
+                run = ""
+    return {word: n for word, n in found.items() if len(word) >= 7 and n >= 2}
+
+
+def edits(word, letters):
+    out = {word[:i] + word[i + 1:] for i in range(len(word))}
+    out |= {word[:i] + c + word[i + 1:] for i in range(len(word)) for c in letters}
+    out |= {word[:i] + c + word[i:] for i in range(len(word) + 1) for c in letters}
+    return out - {word}
+
+
+def plain(rows):
+    """The contract by every edit of every word."""
+    words = plain_counts(rows)
+    letters = sorted({c for word in words for c in word})
+    near = {word: edits(word, letters) & words.keys() if len(word) < 500 else
+            {other for other in words if abs(len(other) - len(word)) < 2 and distance_is_one(word, other)} for word in words}
+    form = {}
+    for word, n in words.items():
+        best = min(near[word], key=lambda other: (-words[other], other), default=None)
+        form[word] = best if best and words[best] >= 10 * n else None
+    out = Counter()
+    for word, n in words.items():
+        root = word
+        while form[root]:
+            root = form[root]
+        out[word, form[word], root, n, len(near[word]), form[word] and words[form[word]]] += 1
+    return out
+
+
+def distance_is_one(a, b):
+    if len(a) > len(b):
+        a, b = b, a
+    at = next((i for i in range(len(a)) if a[i] != b[i]), len(a))
+    return a != b and (a[at + 1:] == b[at + 1:] if len(a) == len(b) else a[at:] == b[at + 1:])
+
+
+def some_rows(seed, n):
+    rng = random.Random(seed)
+    bases = ["".join(rng.choice("abeéßz") for _ in range(rng.randint(6, 9))) for _ in range(15)] + ["x" * 70, "ab" * 40]
+
+    def variant(word):
+        kind, at, c = rng.randint(0, 6), rng.randrange(len(word)), rng.choice("abeéßzÀÿ")
+        return {0: word[:at] + word[at + 1:], 1: word[:at] + c + word[at + 1:], 2: word[:at] + c + word[at:]}.get(kind, word)
+
+    rows = []
+    for doc_id in range(n):
+        weight = [1 / (1 + i) ** 2 for i in range(len(bases))]
+        text = rng.choice([" ", "-", "Æ 1", "\n"]).join(variant(variant(word)) for word in rng.choices(bases, weight, k=40))
+        rows.append((doc_id, text.upper() if rng.random() < 0.2 else text))
+    chain = [(2000 + i, "chainabc " * 30 + "chainabd " * 2 + "chainaed " * (i < 3)) for i in range(30)]
+    return rows + chain
+
+
+@pytest.mark.parametrize("symbols", [None, 2, 5])
+def test_words_forms_and_roots_equal_every_edit_of_every_word(documents, symbols):
+    rows = some_rows(3, 120) + [(7, "aabbeeéé aabbeeéé")] * 90 + [(None, "abezabez abezabez"), (1000, None)]
+    found = variants.group_variants(documents([(*row, "en", "a", 1) for row in rows]).repartition(4), symbols)
+    assert found.columns == COLUMNS
+    expected = plain(rows)
+    assert sum(1 for row in expected if row[1]) > 20 and any(row[1] and row[2] != row[1] for row in expected)
+    assert Counter(map(tuple, found.collect())) == expected
+
+
+@pytest.mark.parametrize("symbols", [2, 4, 7])
+def test_keys_meet_for_all_words_within_one_edit_of_each_other(symbols):
+    rng = random.Random(symbols)
+    for _ in range(300):
+        word = "".join(rng.choice("abcdé") for _ in range(rng.randint(7, 12)))
+        other = rng.choice(sorted(edits(word, "abcdéz")))
+        key = {w: variants.reduced_keys([w], symbols)[0] for w in (word, other)}
+        hits = Counter()
+        for mine, its in ((word, other), (other, word)):
+            for _, keys, own in variants.neighbour_keys([mine], symbols):
+                hits[own] += int(np.count_nonzero(keys == key[its]))
+        assert hits in (Counter({True: 2, False: 0}), Counter({True: 0, False: 1}))
+
+
+def test_awkward_rows_no_rows_and_clashing_names(documents, awkward, nothing):
+    rows = [(row[0], row[1]) for row in AWKWARD]
+    assert Counter(map(tuple, variants.group_variants(awkward).collect())) == plain(rows)
+    assert variants.group_variants(nothing).collect() == []
+    long = "q" * 30_000
+    rows = [(1, f"{long} {long}x {long} {long}x {long[1:]} {long[1:]}"), (2, "short words only")] * 2
+    df = documents([(*row, "en", "a", 1) for row in rows])
+    for name in (*CLASHING, "word", "n", "key", "own", "name", "a", "b", "n_near"):
+        df = df.withColumn(name, df["doc_id"])
+    found = {row.word: row for row in variants.group_variants(df).collect()}
+    assert {len(word): row.n_near for word, row in found.items()} == {len(w): n for (w, _, _, _, n, _) in plain(rows)}
+
+
+def test_more_words_take_more_symbols(spark):
+    few = spark.createDataFrame([("abcdefg", 2)], "word string, n long")
+    assert variants.choose_symbols(few) == variants.FEWEST
+    many = spark.range(200_000).selectExpr("concat('abcd', lpad(cast(id as string), 6, '0')) as word", "2L as n")
+    assert variants.FEWEST < variants.choose_symbols(many) < variants.MOST
