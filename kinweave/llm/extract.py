@@ -10,14 +10,18 @@ and to the sink; edges between neighbours, and between nodes of the same contain
 takes to label them apart, more the more of their ancestors they share. The minimum cut labels
 the page: what stays with the source is content.
 
+An article or main inside what speaks against a place by its tag, role or ``hidden`` weighs against that as against a
+listed name; only below navigation, footers and controls it does not.
+
 Defined cases: null or empty html gives empty text, and so does a page without content. Tags may be
-unclosed or unopened; a comment, script or style that does not end takes the rest of the page. Whole
-pages are read. Repeated rows are pages like others; columns other than page_id, url and html are not read.
+unclosed or unopened; a ``<`` whose tag never ends is text; a comment, script or style that does not end takes the rest of
+the page. Whole pages are read, in time linear in their length however broken they are. Repeated rows are pages like others; columns other than page_id, url and html are not read.
 """
 
 import html as entities
 import math
 import re
+from bisect import bisect_left
 from collections import deque
 
 import pyarrow as pa
@@ -43,6 +47,9 @@ CONTAINERS = frozenset("ul ol dl table select menu body article div section".spl
 BOILERPLATE_TAGS = frozenset(
     "nav footer aside form menu dialog head title button select option fieldset legend search label".split())
 CONTENT_TAGS = frozenset(("article", "main"))
+# Of what speaks against a place, the tags that never hold an article.
+CERTAIN_TAGS = frozenset("nav footer menu head title button select option legend search label".split())
+LEVEL_TAGS = frozenset("li dt dd tr td th option".split())
 BOILERPLATE_ROLES = frozenset(
     "navigation banner contentinfo complementary search dialog alertdialog alert menu menubar toolbar form".split())
 BOILERPLATE_NAMES = frozenset(
@@ -58,8 +65,10 @@ BOILERPLATE_STEMS = ("advert", "breadcrumb", "comment", "cookie", "newsletter",
 CONTENT_NAMES = frozenset("article content main post entry story text maintext".split())
 NOT_NAMES = frozenset("with has no without".split())
 
-TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:"[^"]*"|'[^']*'|[^'">])*)>""", re.S)
-ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden|style|aria-hidden)\b\s*(?:=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
+# How a comment, a declaration and a tag begin; what stands between a tag's name and its end; one attribute.
+BEGIN = re.compile(r"<(?:(!--)|([!?])|(/?)([a-zA-Z][^\s/><]*))")
+REST = re.compile(r"""(?:"[^"]*"|'[^']*'|[^'">])*+>""")
+ATTRIBUTE = re.compile(r"""([^\s/>][^\s/>=]*)\s*(?:=\s*("[^"]*"|'[^']*'|[^\s>]*))?""")
 NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 END_TAGS = {tag: re.compile(f"</{tag}[^>]*>", re.I) for tag in RAW_TAGS}
@@ -72,33 +81,33 @@ NEIGHBOURS, SAME_CONTAINER = 0.5, 1.0
 
 
 class Element:
-    __slots__ = ("tag", "leaning", "in_article", "depth", "up", "named")
+    __slots__ = ("tag", "leaning", "in_article", "depth", "up", "named", "certain", "soft", "block", "scope")
 
     def __init__(self, tag: str, up: "Element | None", own: int, named: bool = False):
         self.tag, self.up = tag, up
         self.depth = up.depth + 1 if up else 0
         self.in_article = tag in CONTENT_TAGS or bool(up and up.in_article)
         self.named: Element | None = self if named else up.named if up else None  # the nearest with a listed name
+        self.block: Element = self if tag in BLOCK_TAGS or not up else up.block  # the nearest block-level element
+        # the nearest element at which the search for an open element of the same list may end
+        self.scope: Element = self if not up or tag in CONTAINERS or tag in LEVEL_TAGS else up.scope
+        against = own == BOILERPLATE
+        self.certain = against and tag in CERTAIN_TAGS or bool(up and up.certain)
+        self.soft: Element | None = self if against and tag not in CERTAIN_TAGS else up.soft if up else None
         outer = up.leaning if up else OPEN
-        if own == BOILERPLATE or outer == BOILERPLATE and not (tag in CONTENT_TAGS and up.only_form()):
+        inside = outer == BOILERPLATE and tag in CONTENT_TAGS and not self.certain
+        if against or outer == BOILERPLATE and not inside:
             self.leaning = BOILERPLATE
         elif named:
             self.leaning = OPEN
+        elif inside:
+            # an article or main below an aside, form, dialog or a role weighs against that as against a name
+            self.leaning, self.named = CONTENT, up.soft
         elif self.named and tag not in CONTENT_TAGS:
             self.leaning = outer
         else:
             self.leaning = own or outer
 
-    def only_form(self) -> bool:
-        """Whether all that speaks against the place is a form, which some pages wrap around everything."""
-        element, form = self, False
-        while element and element.leaning == BOILERPLATE:
-            form = element.tag == "form"
-            if not form and (not element.up or element.up.leaning != BOILERPLATE):
-                return False
-            element = element.up
-        return form
-
 
 class Block:
     __slots__ = ("text", "place", "odds", "words")
@@ -144,7 +153,7 @@ def own_leaning(tag: str, attributes: str, in_article: bool) -> tuple[int, bool]
     named = False
     against = tag in BOILERPLATE_TAGS or tag == "header" and not in_article
     speaks_for = tag in CONTENT_TAGS
-    for name, value in ATTRIBUTE.findall(attributes) if attributes else ():
+    for name, value in ATTRIBUTE.findall(attributes) if attributes and not attributes.isspace() else ():
         name, value = name.lower(), value.strip("\"'")
         if name == "hidden" or name == "aria-hidden" and value == "true":
             against = True
@@ -166,12 +175,51 @@ def own_leaning(tag: str, attributes: str, in_article: bool) -> tuple[int, bool]
     return BOILERPLATE if against else CONTENT if speaks_for else OPEN, named
 
 
+class TagEnds:
+    """Where tags of a page end: at the first ``>`` outside of quotes. Linear over all tags of a page, however broken."""
+
+    def __init__(self, page: str):
+        self.page, self.last = page, page.rfind(">")
+        self.marks: list[int] | None = None
+
+    def simple(self, at: int) -> int:
+        """The end of a declaration, quotes or not; -1 if it has none."""
+        return self.page.find(">", at) + 1 if at <= self.last else -1
+
+    def tag(self, at: int) -> int:
+        """The end of a tag whose name ends at ``at``; -1 if it has none."""
+        if at > self.last:
+            return -1
+        if self.marks is None:
+            found = REST.match(self.page, at)
+            if found:
+                return found.end()
+            self._look_ahead()
+        return self.ends[bisect_left(self.marks, at)]
+
+    def _look_ahead(self) -> None:
+        """From the page's end: where a tag ends that goes on, outside of quotes, at each quote or ``>``."""
+        self.marks = [mark.start() for mark in re.finditer("[\"'>]", self.page)]
+        outside, in_double, in_single = -1, -1, -1
+        self.ends = [-1] * (len(self.marks) + 1)
+        for number in range(len(self.marks) - 1, -1, -1):
+            mark = self.page[self.marks[number]]
+            if mark == ">":
+                outside = self.marks[number] + 1
+            elif mark == '"':
+                outside, in_double = in_double, outside
+            else:
+                outside, in_single = in_single, outside
+            self.ends[number] = outside
+
+
 def read_blocks(page: str) -> list[Block]:
     """The text blocks of a page in order, with white space made single."""
     root = Element("html", None, OPEN)
     place, blocks = root, []
     texts: list[str] = []
     link_texts: list[str] = []
+    open_tags: dict[str, int] = {}
     links, at = 0, 0
 
     def close(block_place):
@@ -185,64 +233,81 @@ def read_blocks(page: str) -> list[Block]:
             texts = []
         link_texts = []
 
-    def holder(element):
-        """The nearest block-level element."""
-        while element.up and element.tag not in BLOCK_TAGS:
-            element = element.up
-        return element
-
     def take_text(low, high):
         texts.append(page[low:high])
         if links:
             link_texts.append(page[low:high])
 
-    def read_tag(tag, token):
-        nonlocal place, links
+    def leave(element):
+        """Go to ``element``, an ancestor: what lies below is closed."""
+        nonlocal place
+        while place is not element:
+            open_tags[place.tag] -= 1
+            place = place.up
+
+    def end_tag(tag):
+        nonlocal links
         if tag in BLOCK_TAGS:
-            close(holder(place))
-        if token.group(1):
-            if tag == "a":
-                links = max(0, links - 1)
+            close(place.block)
+        if tag == "a":
+            links = max(0, links - 1)
+        if open_tags.get(tag):
             element = place
-            while element.up and element.tag != tag:
+            while element.tag != tag:
                 element = element.up
-            place = element.up or place
-            return
+            leave(element.up)
+
+    def start_tag(tag, attributes):
+        nonlocal place, links
+        if tag in BLOCK_TAGS:
+            close(place.block)
         if place.tag == "head" and tag not in HEAD_TAGS:
-            place = place.up
+            leave(place.up)
         if tag in CLOSED_BY_BLOCK:
-            element = holder(place)
-            if element.up and element.tag == "p":
-                place = element.up
+            if place.block.up and place.block.tag == "p":
+                leave(place.block.up)
         elif tag in SAME_LEVEL:
-            element = place
+            element = place.scope
             while element.up and element.tag not in CONTAINERS and element.tag not in SAME_LEVEL[tag]:
-                element = element.up
+                element = element.up.scope
             if element.up and element.tag in SAME_LEVEL[tag]:
-                place = element.up
+                leave(element.up)
         if tag == "a":
             links += 1
         if tag not in VOID_TAGS and tag not in ("html", "body"):
-            place = Element(tag, place, *own_leaning(tag, token.group(3), place.in_article))
+            place = Element(tag, place, *own_leaning(tag, attributes, place.in_article))
+            open_tags[tag] = open_tags.get(tag, 0) + 1
 
-    token = TOKEN.search(page)
+    ends = TagEnds(page)
+    token = BEGIN.search(page)
     while token:
-        start, tag = token.start(), token.group(2)
+        start, behind = token.span()
+        comment, declaration, slash, tag = token.groups()
+        if comment:
+            found = page.find("-->", behind)
+            end = found + 3 if found >= 0 else len(page)
+        else:
+            end = ends.simple(behind) if declaration else ends.tag(behind)
+        if end < 0:  # no tag, but text
+            token = BEGIN.search(page, behind)
+            continue
         if start > at:
             take_text(at, start)
-        at = token.end()
+        at = end
         if tag:
-            tag = tag.lower()
-            if not token.group(1) and tag in RAW_TAGS and not token.group(3).endswith("/"):
+            tag, attributes = tag.lower(), page[behind:end - 1]
+            if not slash and tag in RAW_TAGS and not attributes.endswith("/"):
                 # what looks like tags inside is none: go on behind the end tag
-                end = END_TAGS[tag].search(page, at)
-                at = end.end() if end else len(page)
+                found = END_TAGS[tag].search(page, at) if at <= ends.last else None
+                at = found.end() if found else len(page)
+            elif slash:
+                end_tag(tag)
             else:
-                read_tag(tag, token)
-        token = TOKEN.search(page, at)
+                start_tag(tag, attributes)
+        token = BEGIN.search(page, at)
     if at < len(page):
         take_text(at, len(page))
-    close(holder(place))
+    close(place.block)
     return blocks
 
 

@@ -1,6 +1,7 @@
 import html
 import random
 import re
+import time
 from itertools import product
 
 import pytest
@@ -97,3 +98,34 @@ def test_layout_names_of_wrappers_do_not_lose_the_article(name):
 
 def test_an_article_outweighs_an_outer_name():
     assert main_text("<div class='sidebar-right'><article>a<b>c</b>d</article></div><p>Some words outside of it.</p>").startswith("acd")
+
+
+@pytest.mark.parametrize("start", [
+    '<article data-state="not hidden">', '<article data-title="a hidden gem" data-id="comments-7">', "<article title='the role=form question'>",
+    '<article title="what class=ad means" data-class=ad x-role=form>', '<article title = "a > b" class=\'x y\'>', "<article =hidden a==hidden>",
+])
+def test_attributes_are_read_as_pairs(start):
+    text = f"{start}<p title='the role=form question' data-hidden>{ARTICLE}</p><p data-title=\"a hidden gem\">{ARTICLE}</p></article>"
+    assert main_text(text) == f"{ARTICLE}\n{ARTICLE}"
+    assert main_text(f"<article><p>{ARTICLE}</p><p HIDDEN>no</p><p role='Dialog'>no</p><p aria-hidden = true>no</p></article>") == ARTICLE
+
+
+@pytest.mark.parametrize("outer", ["<aside>", "<aside class='layout'>", "<div role=dialog>", "<div hidden>", "<div style='display: none'>", "<form><fieldset>"])
+def test_an_article_below_what_speaks_against_a_place_is_kept(outer):
+    menu, prose = "<nav><a href=x>Home</a></nav>", f"<h1>Headline</h1><p>{ARTICLE}</p><p>{ARTICLE}</p>"
+    assert main_text(f"{menu}{outer}{menu}<article>{prose}</article></div>") == f"Headline\n{ARTICLE}\n{ARTICLE}"
+    # not where the page has its prose elsewhere, nor below navigation
+    assert main_text(f"<main>{prose}</main>{outer}<article><p>{ARTICLE} No.</p></article></div>") == f"Headline\n{ARTICLE}\n{ARTICLE}"
+    assert main_text(f"<main>{prose}</main><nav>{outer}<article><p>{ARTICLE} No.</p></article></nav>") == f"Headline\n{ARTICLE}\n{ARTICLE}"
+
+
+@pytest.mark.parametrize("broken", [
+    "<a " * 350_000, "<div>" * 100_000 + "</x>" * 100_000, "<a \"" * 250_000, "<a '\"" * 200_000, "<!" * 500_000, "<a<b" * 250_000, "</script" * 120_000,
+    "<script>" + "</script" * 120_000, "<b>" * 150_000 + "<p>x" * 100_000, "<b>" * 100_000 + "<li>x" * 100_000, "<!--" * 250_000,
+    "<form>" * 100_000 + "<article>x" * 50_000, "<div>x" * 150_000, "<aside><article>x" * 40_000, "<td><dt><li><tr><option>" * 30_000,
+])
+def test_a_megabyte_of_broken_markup_takes_seconds(broken):
+    start = time.monotonic()
+    main_text(broken)
+    main_text(f"<article>{ARTICLE}{broken}")
+    assert time.monotonic() - start < 30
