@@ -9,8 +9,11 @@ are then probed in the non-essential dimensions, largest bound first, and leave
 cannot. Rows that could tie stay, so ties are decided by id alone.
 
 Queries and rows meet in blocks: rows form shards of SHARD_ROWS, shards form runs, and a block of
-queries visits each run once, carrying its thresholds from shard to shard. Each run gives at most k rows a query, which
-are merged by a window per query.
+queries visits each run once, carrying its thresholds from shard to shard. So that no visit begins without a threshold,
+each block first meets one shard: a query's k-th best score there is the floor of all its visits, as more rows can only
+raise it. Then it visits about the square root of the runs, whose merged k-th best scores are the floors for all other runs. A visit gives
+only rows that reach its query's threshold, at most k of them, which are merged by a window per query: of R runs
+that is in the order of k * sqrt(R) rows a query. Visits count the products of components they compute (``top_k_and_work``).
 
 Defined cases: a vector that is null, empty, or holds null or a number that is not finite when scaled takes no part. Vectors
 of another length than the query's are no candidates of it. Repeated rows are rows of their own; a
@@ -30,7 +33,9 @@ from kinweave.llm.tables import ship_package, written
 SHARD_ROWS, QUERY_ROWS = 2048, 256
 RUN_SHARDS = 4
 PROBE = 8
-LONGEST = 2 ** 63 - 1
+LONGEST, EXACT = 2 ** 63 - 1, 2 ** 53
+SEEDED = pa.schema([("block", pa.int64()), ("width", pa.int32()), ("ids", pa.binary()), ("data", pa.binary()), ("floors", pa.list_(pa.float64()))])
+FOUND = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64())])
 
 
 def usable(vectors: DataFrame, id_column: str, vector_column: str, scale: int) -> DataFrame:
@@ -73,12 +78,13 @@ def _matrix(ids: bytes, data: bytes) -> tuple[np.ndarray, np.ndarray]:
 class Best:
     """The k best (score, id) of one query so far: by score, then by smaller id."""
 
-    def __init__(self, k: int):
-        self.k, self.scores, self.ids = k, np.empty(0), np.empty(0, np.int64)
+    def __init__(self, k: int, floor: float = -math.inf):
+        self.k, self.floor, self.scores, self.ids = k, floor, np.empty(0), np.empty(0, np.int64)
 
     @property
     def threshold(self) -> float:
-        return self.scores[-1] if len(self.scores) == self.k else -math.inf
+        """What a row must reach: rows below it cannot be among the k best, ties with it can."""
+        return max(self.floor, self.scores[-1]) if len(self.scores) == self.k else self.floor
 
     def add(self, scores: np.ndarray, ids: np.ndarray) -> None:
         scores, ids = np.concatenate([self.scores, scores]), np.concatenate([self.ids, ids])
@@ -130,23 +136,70 @@ def search_exactly(query: np.ndarray, own: int, ids: np.ndarray, rows: np.ndarra
     best.ids = np.array([i for _, i in merged], np.int64)
 
 
-def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10, id_column: str = "vec_id",
-          vector_column: str = "embedding", scale: int = 1024) -> DataFrame:
-    """query_id, rank (from 1), vec_id, score: the k best other rows of every row of ``queries``."""
-    rows = usable(vectors, id_column, vector_column, scale)
-    shards = written(in_blocks(rows, SHARD_ROWS, scale), "topk-shards")
-    wanted = usable(queries, id_column, vector_column, scale).dropDuplicates(["vec_id", "values"])
-    asked = written(in_blocks(written(wanted, "topk-wanted"), QUERY_ROWS, scale), "topk-queries")
-    runs = max(1, math.ceil(shards.count() / RUN_SHARDS))
-    placed = shards.select("*", F.pmod(F.xxhash64("ids"), F.lit(runs)).alias("run"))
-    visiting = asked.select("width", F.col("ids").alias("query_ids"), F.col("data").alias("query_data"),
-                            F.explode(F.expr(f"sequence(0L, {runs - 1}L)")).alias("run"))
-    # each query block meets the shards of a run one after the other; in another order thresholds would
-    # only start anew more often
-    met = visiting.join(placed, ["run", "width"]).select("run", "query_ids", "query_data", "ids", "data")
+def search_block(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, rows: np.ndarray, best: list[Best]) -> int:
+    """Add what one shard has for a block of queries; returns how many products of components were computed."""
+    low, high = rows.min(axis=0), rows.max(axis=0)
+    size = max(np.abs(rows).max(), 1) * max(np.abs(queries).max(), 1) * rows.shape[1]
+    work = 0
+    for at, query in enumerate(queries):
+        if size < 2.0 ** 52 and best[at].scores.dtype != object:
+            work += search_shard(query, query_ids[at], ids, rows, low, high, best[at])
+        else:
+            search_exactly(query, query_ids[at], ids, rows, best[at])
+            work += rows.size
+    return work
+
+
+def with_floors(asked: DataFrame, shards: DataFrame, k: int) -> DataFrame:
+    """block, width, ids, data, floors: blocks of queries with each query's k-th best score in one shard of its width."""
+    first = shards.groupBy("width").agg(F.min_by(F.struct("ids", "data"), F.xxhash64("ids")).alias("first"))
+    met = asked.withColumn("block", F.monotonically_increasing_id()).join(
+        first.select("width", F.col("first.ids").alias("some_ids"), F.col("first.data").alias("some_data")), "width", "left")
+
+    def seed(batches):
+        for batch in batches:
+            for row in batch.to_pylist():
+                query_ids, queries = _matrix(row["ids"], row["data"])
+                best = [Best(k) for _ in query_ids]
+                if row["some_ids"] is not None:
+                    search_block(query_ids, queries, *_matrix(row["some_ids"], row["some_data"]), best)
+                # scores beyond the range of exact doubles set no floor
+                row["floors"] = [float(b.threshold) if b.scores.dtype != object else -math.inf for b in best]
+                yield pa.RecordBatch.from_pylist([row], SEEDED)
+
+    ship_package(asked.sparkSession)
+    return met.mapInArrow(seed, "block long, width int, ids binary, data binary, floors array<double>")
+
+
+def raised_floors(asked: DataFrame, hits: DataFrame, k: int) -> DataFrame:
+    """``asked`` with floors raised to the k-th best score of each query's hits so far."""
+    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id"))
+    reached = hits.withColumn("rank", rank).where((F.col("rank") == k) & F.col("score").between(-EXACT, EXACT)).select(
+        "query_id", F.col("score").cast("double").alias("reached"))
+
+    def name(batches):
+        for batch in batches:
+            for block, ids, floors in zip(*(batch[c].to_pylist() for c in ("block", "ids", "floors"))):
+                yield pa.RecordBatch.from_arrays([
+                    pa.array([block] * len(floors), pa.int64()), pa.array(range(len(floors)), pa.int32()),
+                    pa.array(np.frombuffer(ids, "<i8")), pa.array(floors, pa.float64())], ["block", "place", "query_id", "floor"])
+
+    named = asked.select("block", "ids", "floors").mapInArrow(name, "block long, place int, query_id long, floor double")
+    raised = named.join(reached, "query_id", "left").select("block", F.struct("place", F.greatest("floor", "reached").alias("floor")).alias("f"))
+    lists = raised.groupBy("block").agg(F.transform(F.sort_array(F.collect_list("f")), lambda f: f["floor"]).alias("floors"))  # QUERY_ROWS each
+    return asked.drop("floors").join(lists, "block")
+
+
+def visits(asked: DataFrame, placed: DataFrame, k: int, runs: str) -> DataFrame:
+    """(query_id, vec_id, score) of what each block of queries finds in each run of ``runs``, SQL for an array, and rows without id of its work."""
+    visiting = asked.select("width", F.col("ids").alias("query_ids"), F.col("data").alias("query_data"), "floors",
+                            F.explode(F.expr(runs)).alias("run"))
+    # A merge join streams the query blocks, so that each meets the shards of a run one after the other. In another order
+    # thresholds would begin at their floors more often, and nothing else would change.
+    met = visiting.hint("merge").join(placed, ["run", "width"]).select("run", "query_ids", "query_data", "floors", "ids", "data")
 
     def visit(batches):
-        current, blocks, best = None, None, []
+        current, blocks, best, work, possible = None, None, [], 0, 0
         for batch in batches:
             for row in batch.to_pylist():
                 if (row["run"], row["query_ids"]) != current:
@@ -154,23 +207,46 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10, id_column: str =
                         yield _found(blocks[0], best)
                     current = row["run"], row["query_ids"]
                     blocks = _matrix(row["query_ids"], row["query_data"])
-                    best = [Best(k) for _ in blocks[0]]
+                    best = [Best(k, floor) for floor in row["floors"]]
                 ids, rows = _matrix(row["ids"], row["data"])
-                low, high = rows.min(axis=0), rows.max(axis=0)
-                size = max(np.abs(rows).max(), 1) * max(np.abs(blocks[1]).max(), 1) * rows.shape[1]
-                for at, query in enumerate(blocks[1]):
-                    if size < 2.0 ** 52 and best[at].scores.dtype != object:
-                        search_shard(query, blocks[0][at], ids, rows, low, high, best[at])
-                    else:
-                        search_exactly(query, blocks[0][at], ids, rows, best[at])
+                work += search_block(*blocks, ids, rows, best)
+                possible += len(blocks[0]) * rows.size
         if current:
             yield _found(blocks[0], best)
+            yield pa.RecordBatch.from_pylist([{"query_id": None, "vec_id": work, "score": possible}], FOUND)
 
-    ship_package(vectors.sparkSession)
-    found = met.mapInArrow(visit, "query_id long, vec_id long, score long")
+    ship_package(asked.sparkSession)
+    return met.mapInArrow(visit, "query_id long, vec_id long, score long")
+
+
+def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10, id_column: str = "vec_id",
+          vector_column: str = "embedding", scale: int = 1024) -> DataFrame:
+    """query_id, rank (from 1), vec_id, score: the k best other rows of every row of ``queries``."""
+    return top_k_and_work(vectors, queries, k, id_column, vector_column, scale)[0]
+
+
+def top_k_and_work(vectors: DataFrame, queries: DataFrame, k: int = 10, id_column: str = "vec_id",
+                   vector_column: str = "embedding", scale: int = 1024) -> tuple[DataFrame, DataFrame]:
+    """The result of ``top_k``, and one row of what it cost: products computed and possible, and rows given to the merge."""
+    rows = usable(vectors, id_column, vector_column, scale)
+    shards = written(in_blocks(rows, SHARD_ROWS, scale), "topk-shards")
+    wanted = usable(queries, id_column, vector_column, scale).dropDuplicates(["vec_id", "values"])
+    blocks = written(in_blocks(written(wanted, "topk-wanted"), QUERY_ROWS, scale), "topk-queries")
+    asked = written(with_floors(blocks, shards, k), "topk-floors")
+    runs = max(1, math.ceil(shards.count() / RUN_SHARDS))
+    step = math.isqrt(runs)
+    placed = shards.select("*", F.pmod(F.xxhash64("ids"), F.lit(runs)).alias("run"))
+    found = written(visits(asked, placed, k, f"sequence(0L, {runs - 1}L, {step}L)"), "topk-found")
+    if step > 1:
+        raised = written(raised_floors(asked, found.where(F.col("query_id").isNotNull()), k), "topk-floors")
+        others = written(visits(raised, placed, k, f"filter(sequence(0L, {runs - 1}L), run -> run % {step} <> 0)"), "topk-found")
+        found = found.unionByName(others)
+    hits = found.where(F.col("query_id").isNotNull())
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id"))
-    return found.withColumn("rank", rank).where(F.col("rank") <= k).select(
+    result = hits.withColumn("rank", rank).where(F.col("rank") <= k).select(
         "query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+    cost = found.where(F.col("query_id").isNull()).agg(F.sum("vec_id").alias("products"), F.sum("score").alias("possible"))
+    return result, cost.crossJoin(hits.agg(F.count("*").alias("merged")))
 
 
 def _found(query_ids: np.ndarray, best: list[Best]) -> pa.RecordBatch:
@@ -178,4 +254,4 @@ def _found(query_ids: np.ndarray, best: list[Best]) -> pa.RecordBatch:
         pa.array(np.repeat(query_ids, [len(b.ids) for b in best]), pa.int64()),
         pa.array([int(i) for b in best for i in b.ids], pa.int64()),
         pa.array([int(s) for b in best for s in b.scores], pa.int64()),
-    ], ["query_id", "vec_id", "score"])
+    ], schema=FOUND)

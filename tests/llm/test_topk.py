@@ -84,3 +84,18 @@ def test_maxscore_leaves_work_out():
     assert first == 64 * 1000 and second < first / 2
     order = np.lexsort([np.arange(2000), -(rows @ query)])[:10]
     assert best.ids.tolist() == order.tolist()
+
+
+def test_maxscore_leaves_work_out_of_a_whole_search_with_several_query_blocks(spark, monkeypatch):
+    monkeypatch.setattr(topk, "SHARD_ROWS", 125)
+    monkeypatch.setattr(topk, "RUN_SHARDS", 1)
+    monkeypatch.setattr(topk, "QUERY_ROWS", 20)
+    rng = np.random.default_rng(12)
+    values = rng.normal(0, 1, (2000, 64)).astype(np.float32) * np.geomspace(1, 0.01, 64).astype(np.float32)
+    rows = [(i, [float(x) for x in row]) for i, row in enumerate(values)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    found, cost = topk.top_k_and_work(df, df.where("vec_id % 33 = 0"))
+    assert set(map(tuple, found.collect())) == brute_force(rows, rows[::33], 10)
+    cost = cost.first()
+    assert cost.possible == 61 * 2000 * 64 and cost.products < cost.possible / 2
+    assert 61 * 10 <= cost.merged < 61 * 10 * 16 / 2
