@@ -170,8 +170,10 @@ def find_families(nodes: DataFrame, percent: int) -> DataFrame:
     """(node, family, n) of the nodes that may have a link; every linked pair that shares a bucket is in one family."""
     least = percent / 100 - MARGIN
     buckets = nodes.select("node", F.explode("bands").alias("band"))
+    # both sides of the joins on a band are plain shuffles, so that a hot band can be split
     ends = buckets.groupBy("band").agg(F.min("node").alias("low"), F.max("node").alias("high"), F.count("*").alias("size"))
-    members = written(buckets.join(ends.where(F.col("low") < F.col("high")), "band"), "minhash-buckets")
+    ends = written(ends.where(F.col("low") < F.col("high")), "minhash-ends")
+    members = written(buckets.join(ends, "band"), "minhash-buckets")
 
     stars = members.select("node", F.explode(F.array("low", "high")).alias("leader")).where(F.col("node") != F.col("leader"))
     stars = stars.select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct()
@@ -188,8 +190,9 @@ def find_families(nodes: DataFrame, percent: int) -> DataFrame:
 
     named = members.select("band", "size", "node").join(first, "node", "left").select(
         "band", "size", "node", F.coalesce("family", "node").alias("family"))
+    named = written(named, "minhash-named")
     mixed = named.groupBy("band").agg(F.min("family").alias("low"), F.max("family").alias("high"))
-    open_ = named.join(mixed.where(F.col("low") < F.col("high")).select("band"), "band")
+    open_ = named.join(written(mixed.where(F.col("low") < F.col("high")).select("band"), "minhash-mixed"), "band")
     blocks = block_pairs(open_.join(signature, "node"), "band", F.ceil(F.col("size") / BLOCK_NODES))
 
     def join_families(table: pa.Table) -> pa.Table:
