@@ -124,7 +124,8 @@ def judge(documents: DataFrame, host_limit: float = HOST_LIMIT) -> DataFrame:
     judged = found.select("*", *[failed.alias(f"fails_{name}") for name, failed in rules().items()])
     rates = host_rates(judged)
     worst = F.greatest(*[F.col(f"rate_{name}") for name in rules()])
-    failing = rates.where(worst > host_limit).select("source", F.lit(True).alias("host_failed"))
+    # a written table, so that both sides of the join are plain shuffles and a hot host's documents can be split
+    failing = written(rates.where(worst > host_limit).select("source", F.lit(True).alias("host_failed")), "quality-failing")
     base_failed = F.col("fails_too_short") | F.col("fails_repetitive")
     return judged.join(failing, "source", "left").select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
