@@ -5,6 +5,7 @@ import uuid
 import zipfile
 from collections.abc import Callable, Hashable, Iterator
 from pathlib import Path
+from weakref import WeakSet
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
@@ -12,15 +13,14 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 BATCH_ROWS = 2000
 BATCH_BYTES = 8 << 20
 
-_own_folders: dict[str, str] = {}
-_shipped: set[str] = set()
+_shipped: WeakSet = WeakSet()
 _caches: dict[str, dict[Hashable, dict]] = {}
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Let Python workers import this package: once a session it is sent to the executors as an archive."""
+    """Let Python workers import this package: once a Spark context it is sent to the executors as an archive."""
     context = spark.sparkContext
-    if context.applicationId in _shipped:
+    if context in _shipped:
         return
     package = Path(__file__).resolve().parent.parent
     archive = Path(tempfile.mkdtemp(prefix="llm-")) / f"{package.name}.zip"
@@ -28,17 +28,15 @@ def ship_package(spark: SparkSession) -> None:
         for source in sorted(package.rglob("*.py")):
             target.write(source, source.relative_to(package.parent))
     context.addPyFile(str(archive))
-    _shipped.add(context.applicationId)
+    _shipped.add(context)
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder ``spark.checkpoint.dir`` names; a local session without one, as in tests, gets its own."""
+    """The folder that ``spark.checkpoint.dir`` names; it must be set."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if named:
-        return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local["):
+    if not named:
         raise ValueError("set spark.checkpoint.dir to a folder shared by driver and executors")
-    return _own_folders.setdefault(spark.sparkContext.applicationId, tempfile.mkdtemp(prefix="llm-"))
+    return named.rstrip("/")
 
 
 def written(df: DataFrame, label: str) -> DataFrame:
@@ -54,6 +52,11 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))) % 5 == 0
 
 
+def drawn(share: float, *columns: Column) -> Column:
+    """True for a share of all rows, by the 64 bits of a hash of ``columns``."""
+    return F.lit(True) if share >= 1 else F.xxhash64(*columns) < F.lit(int(share * 2.0 ** 64) - 2 ** 63)
+
+
 def small_batches(batch: pa.RecordBatch, most_rows: int = BATCH_ROWS) -> Iterator[pa.RecordBatch]:
     """Runs of at most ``most_rows`` rows and about BATCH_BYTES of data; a longer row stands alone."""
     waiting = [batch.slice(at, most_rows) for at in reversed(range(0, batch.num_rows, most_rows))]

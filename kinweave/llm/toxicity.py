@@ -28,7 +28,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from kinweave.llm.tables import held_out, map_texts, written
+from kinweave.llm.tables import drawn, held_out, map_texts, written
 
 MAX_SAMPLE = 6000
 MAX_TERMS = 300
@@ -213,9 +213,8 @@ def fit(documents: DataFrame, labels: DataFrame, max_sample: int = MAX_SAMPLE, m
     if not sizes.get(0) or not sizes.get(1):
         return ToxicityModel((), np.zeros(0), np.zeros(0), 0.0, constant=0.0)
     # half of the sample may be toxic; a class that is rarer than that is taken whole
-    share = F.when(F.col("toxic") == 1, min(1.0, max_sample / 2 / sizes[1])).otherwise(min(1.0, max_sample / 2 / sizes[0]))
-    draw = F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(1_000_000)) / 1_000_000
-    picked = F.broadcast(marked.where(draw < share))  # about max_sample rows of two numbers
+    pick = [drawn(max_sample / 2 / sizes[toxic], F.col("doc_id"), F.lit(seed)) for toxic in (0, 1)]
+    picked = F.broadcast(marked.where(F.when(F.col("toxic") == 1, pick[1]).otherwise(pick[0])))  # about max_sample rows of two numbers
     # 128 bits of the whole text: only true copies fall together
     text = F.coalesce("text", F.lit(""))
     digest = [F.xxhash64(text).alias("digest"), F.xxhash64(F.lit(seed), text).alias("digest_2")]
@@ -246,8 +245,9 @@ def fit(documents: DataFrame, labels: DataFrame, max_sample: int = MAX_SAMPLE, m
     in_toxic = totals(sample.where("toxic = 1"), None, least)
     in_clean = totals(sample.where("toxic = 0"), frozenset(in_toxic), 1)
     terms = choose_terms(in_toxic, in_clean, n_toxic, n_clean, max_terms)
-    rows, not_misspelled = sample_matches(sample, terms)
-    return replace(train(terms, rows, not_misspelled), used=(n_clean, n_toxic))
+    # first the forms of all clean documents, then the matches with all of them: no batch has its own
+    not_misspelled = clean_forms(sample, terms)
+    return replace(train(terms, sample_matches(sample, terms, not_misspelled), not_misspelled), used=(n_clean, n_toxic))
 
 
 def choose_terms(in_toxic: dict[str, int], in_clean: dict[str, int], n_toxic: int, n_clean: int,
@@ -269,28 +269,37 @@ def choose_terms(in_toxic: dict[str, int], in_clean: dict[str, int], n_toxic: in
     return tuple(sorted(sorted(kept, key=lambda u: (-scored[u], u))[:max_terms]))
 
 
-def sample_matches(sample: DataFrame, terms: tuple[str, ...]) -> tuple[list, frozenset[str]]:
-    """(toxic, words, matched terms, their counts) of each sampled document; misspelled forms in clean ones."""
+def clean_forms(sample: DataFrame, terms: tuple[str, ...]) -> frozenset[str]:
+    """Words of clean sampled documents that the automata take for misspelled terms."""
     lexicon = Lexicon(terms)
 
     def start():
         def handle(batch):
-            forms = [
-                sorted({word for word in words if word not in lexicon.words and any(w == FUZZY for _, w in lexicon.find(word))})
-                if not toxic else [] for toxic, words in _rows(batch)
-            ]
-            own = frozenset(form for row in forms for form in row)
-            hits, n_words = matches(batch["text"], Lexicon(terms, own))
-            found = [hits.get(row, {}) for row in range(batch.num_rows)]
+            words = {word for _, counts in _rows(batch) for word in counts if word not in lexicon.words}
+            return pa.RecordBatch.from_arrays([pa.array(sorted(
+                word for word in words if any(w == FUZZY for _, w in lexicon.find(word))), pa.string())], ["form"])
+        return handle
+
+    rows = map_texts(sample.where("toxic = 0"), "form string", start).distinct().collect()
+    return frozenset(row["form"] for row in rows)
+
+
+def sample_matches(sample: DataFrame, terms: tuple[str, ...], not_misspelled: frozenset[str]) -> list:
+    """(toxic, words, matched terms, their counts) of each sampled document, in an order of their own."""
+    lexicon = Lexicon(terms, not_misspelled)
+
+    def start():
+        def handle(batch):
+            hits, n_words = matches(batch["text"], lexicon)
+            found = [sorted(hits.get(row, {}).items()) for row in range(batch.num_rows)]
             return pa.RecordBatch.from_arrays(
-                [batch["toxic"], pa.array(n_words, pa.int64()), pa.array([list(x) for x in found], pa.list_(pa.int32())),
-                 pa.array([list(x.values()) for x in found], pa.list_(pa.float64())), pa.array(forms, pa.list_(pa.string()))],
-                ["toxic", "n_words", "terms", "counts", "forms"])
+                [batch["toxic"], pa.array(n_words, pa.int64()), pa.array([[t for t, _ in x] for x in found], pa.list_(pa.int32())),
+                 pa.array([[n for _, n in x] for x in found], pa.list_(pa.float64()))], ["toxic", "n_words", "terms", "counts"])
         return handle
 
-    schema = "toxic int, n_words long, terms array<int>, counts array<double>, forms array<string>"
-    rows = map_texts(sample, schema, start).collect()
-    return rows, frozenset(form for row in rows for form in row["forms"])
+    rows = map_texts(sample, "toxic int, n_words long, terms array<int>, counts array<double>", start).collect()
+    # sums of floating numbers depend on their order, so it must not depend on partitions
+    return sorted(rows, key=lambda row: (row["toxic"], row["n_words"], row["terms"], row["counts"]))
 
 
 def train(terms: tuple[str, ...], rows: list, not_misspelled: frozenset[str], steps: int = 600,

@@ -89,3 +89,55 @@ def test_only_whole_copies_are_dropped_from_the_sample(spark):
     taught = labels.where(~held_out(labels["doc_id"])).join(documents, "doc_id").collect()
     expected = tuple(len({row.text or "" for row in taught if row.toxic == toxic}) for toxic in (0, 1))
     assert toxicity.fit(documents, labels).used == expected
+
+
+def plain_score(fitted, text):
+    """A model's score by edit distance against every term and the context of each word."""
+    words = (text or "").lower().split()
+    whole = {term[:-1]: n for n, term in enumerate(fitted.terms) if term.endswith("$")}
+    stems = {term: n for n, term in enumerate(fitted.terms) if not term.endswith("$")}
+    found = {}
+    for at, word in enumerate(words):
+        bare = word.strip(toxicity.EDGES)
+        hits = [(n, 1.0) for stem, n in stems.items() if bare.startswith(stem) and len(bare) > len(stem)]
+        if bare in whole:
+            hits.append((whole[bare], 1.0))
+        elif bare not in fitted.not_misspelled:
+            hits += [(n, toxicity.FUZZY) for term, n in whole.items() if len(term) >= toxicity.MIN_FUZZY and distance(bare, term) == 1]
+        if hits:
+            around = toxicity.context_weight(words[max(0, at - toxicity.WINDOW):at], word, words[at + 1:at + 1 + toxicity.WINDOW])
+            for n, weight in hits:
+                found[n] = found.get(n, 0.0) + weight * around
+    logit = fitted.intercept + sum(fitted.weights[n] * min(x, toxicity.MOST_COUNTED) / (1 + fitted.rates[n] * len(words)) for n, x in found.items())
+    return 1 / (1 + np.exp(-min(30.0, max(-30.0, logit))))
+
+
+@pytest.fixture(scope="module")
+def small(spark):
+    return tuple(spark.read.parquet(f"/root/testdata/sf0.01/{name}.parquet") for name in ("documents", "labels"))
+
+
+@pytest.fixture(scope="module")
+def fitted(small):
+    return toxicity.fit(*small)
+
+
+def test_scores_equal_a_plain_scorer(small, fitted):
+    documents, labels = small
+    toxic = documents.join(labels.where("toxic = 1").select("doc_id"), "doc_id").limit(15)
+    some = documents.select("doc_id", "text").limit(25).unionByName(toxic.select("doc_id", "text")).where("length(text) < 4000").collect()
+    assert fitted.terms and len(some) > 20
+    scores = fitted.score(pa.array([row.text for row in some], pa.string()))
+    assert max(scores) > 0.5
+    for row, score in zip(some, scores):
+        assert score == pytest.approx(plain_score(fitted, row.text), abs=1e-9)
+
+
+def test_the_model_does_not_depend_on_partitions_and_batches(small, fitted, monkeypatch):
+    documents, labels = small
+    from kinweave.llm import tables
+    monkeypatch.setattr(toxicity, "COUNTED_ROWS", 1)
+    monkeypatch.setattr(tables.map_texts, "__defaults__", (3, ""))
+    other = toxicity.fit(documents.repartition(5), labels.repartition(3))
+    assert other.terms == fitted.terms and other.not_misspelled == fitted.not_misspelled and other.used == fitted.used
+    assert (other.weights == fitted.weights).all() and (other.rates == fitted.rates).all() and other.intercept == fitted.intercept
