@@ -6,7 +6,8 @@ all its subwords. Embeddings and softmax are trained by stochastic gradient desc
 bounded sample: about ``per_language`` labelled documents of each language, and MAX_SAMPLE in all, picked
 by a hash of the row, whole texts. Executors send the sample as bucket shares, so its size does not depend on how
 long texts are. One sampled document in five is not trained on but calibrates the model: a
-temperature for the probabilities, and the probability below which a prediction is rejected.
+temperature for the probabilities, and the probability below which a prediction is rejected, between those of
+right predictions and those of wrong ones, of renamed subwords and of random letters.
 
 Defined cases: null text and text without a letter is ``und`` with score 0, and so is every text
 if no document is labelled. Whole texts are read, whatever their length. Repeated rows count as
@@ -138,16 +139,18 @@ class LanguageModel:
 def fit(documents: DataFrame, per_language: int = PER_LANGUAGE, seed: int = 9) -> LanguageModel:
     """Train on a hash-picked sample of the documents that have a language and are not held out."""
     labelled = documents.where(F.col("lang").isNotNull() & ~held_out(F.col("doc_id")))
-    sizes = {row["lang"]: row["count"] for row in labelled.groupBy("lang").count().collect()}
+    # a dirty column may hold any number of values; no more than the sample has rows can be learned
+    common = labelled.groupBy("lang").count().orderBy(F.col("count").desc(), "lang").limit(MAX_SAMPLE)
+    sizes = {row["lang"]: row["count"] for row in common.collect()}
     if not sizes:
         return LanguageModel((), np.zeros((BUCKETS, 0)), np.zeros(0), 1.0, 0.0)
     languages = tuple(sorted(sizes))
     each = min(per_language, MAX_SAMPLE / len(languages))
-    share = F.lit(0.0)
-    for language, size in sizes.items():
-        share = F.when(F.col("lang") == language, min(1.0, each / size)).otherwise(share)
-    draw = F.pmod(F.xxhash64("doc_id", "text", F.lit(seed)), F.lit(1_000_000)) / 1_000_000
-    sample = labelled.where(F.col("text").isNotNull() & (draw < share)).select("lang", "text")
+    spark = documents.sparkSession
+    bounds = [(language, size, min(2 ** 63 - 1, int(each / size * 2.0 ** 64) - 2 ** 63)) for language, size in sizes.items()]
+    shares_of = F.broadcast(spark.createDataFrame(bounds, "lang string, size long, bound long"))  # a row a language
+    drawn = (F.col("size") <= each) | (F.xxhash64("doc_id", "text", F.lit(seed)) < F.col("bound"))
+    sample = labelled.select("doc_id", "text", "lang").join(shares_of, "lang").where(F.col("text").isNotNull() & drawn).select("lang", "text")
 
     def start():
         def handle(batch):
@@ -192,14 +195,17 @@ def train(languages: tuple[str, ...], features: np.ndarray, target: np.ndarray,
             embeddings[touched] -= step * np.clip(x[:, touched].T @ back, -1, 1)
     table = (scale * (embeddings @ weights)).astype(np.float64)
     logits, truth = features[aside] @ table + bias, target[aside]
-    temperature, reject_below = calibrate(logits, truth)
+    foreign = foreign_features(features[aside], random) @ table + bias
+    temperature, reject_below = calibrate(logits, truth, foreign)
     return LanguageModel(languages, table, bias.astype(np.float64), temperature, reject_below)
 
 
-def calibrate(logits: np.ndarray, truth: np.ndarray, lost: float = 0.001) -> tuple[float, float]:
-    """Temperature of least log loss, and the score that at most ``lost`` of the right predictions miss.
+def calibrate(logits: np.ndarray, truth: np.ndarray, foreign: np.ndarray, lost: float = 0.001) -> tuple[float, float]:
+    """Temperature of least log loss, and the score below which a prediction is rejected.
 
-    The score is at most 1 / 2: a language with more than half of the probability is never rejected.
+    The threshold lies above what all but a hundredth of the ``foreign`` logits and of the wrong predictions
+    reach, where it can: at most ``lost`` of the right predictions may lie below it. It is halfway between
+    the two where they leave a gap.
     """
     if not len(truth):
         return 1.0, 0.0
@@ -211,8 +217,26 @@ def calibrate(logits: np.ndarray, truth: np.ndarray, lost: float = 0.001) -> tup
 
     temperature = float(min(grid, key=loss))
     odds = _softmax(logits / temperature)
-    right = odds.max(axis=1)[odds.argmax(axis=1) == truth]
-    return temperature, float(min(0.5, np.quantile(right, lost))) if len(right) else 0.0
+    hit = odds.argmax(axis=1) == truth
+    if not hit.any():
+        return temperature, 0.0
+    scores = odds.max(axis=1)
+    least_right = np.quantile(scores[hit], lost)
+    others = np.concatenate([_softmax(foreign / temperature).max(axis=1), scores[~hit]])
+    most_foreign = np.quantile(others, 0.99) if len(others) else 0.0
+    return temperature, float(min(least_right, (least_right + most_foreign) / 2) if most_foreign < least_right else least_right)
+
+
+def foreign_features(aside: np.ndarray, random: np.random.Generator) -> np.ndarray:
+    """Features of texts of no learned language: those set aside with their subwords renamed, and random letters."""
+    renamed = aside[:, random.permutation(BUCKETS)]
+    junk = np.zeros((min(400, max(50, len(aside))), BUCKETS), np.float32)
+    for row in junk:
+        lengths = random.integers(2, 12, random.integers(5, 120))
+        text = " ".join("".join(map(chr, random.integers(97, 123, length))) for length in lengths)
+        used, part = shares(text)
+        row[used] = part
+    return np.concatenate([renamed, junk])
 
 
 def _softmax(logits: np.ndarray) -> np.ndarray:

@@ -85,6 +85,57 @@ def test_a_rejected_text_goes_and_columns_stay(awkward, model):
 
 def test_calibration():
     logits = np.array([[4.0, 0.0], [0.0, 4.0], [4.0, 0.0], [4.0, 0.0]])
-    temperature, below = langid.calibrate(logits, np.array([0, 1, 0, 1]))
-    assert temperature > 1 and 0 < below <= 0.5
-    assert langid.calibrate(np.zeros((0, 2)), np.zeros(0, int)) == (1.0, 0.0)
+    none = np.zeros((0, 2))
+    temperature, below = langid.calibrate(logits, np.array([0, 1, 0, 1]), none)
+    assert temperature > 1 and 0 < below < 0.8
+    assert langid.calibrate(np.zeros((0, 2)), np.zeros(0, int), none) == (1.0, 0.0)
+    # between foreign texts and right predictions where they leave a gap, and never above the right ones
+    right, truth = np.array([[9.0, 0.0], [0.0, 9.0]] * 20), np.array([0, 1] * 20)
+    temperature, below = langid.calibrate(right, truth, np.full((50, 2), 1.0))
+    assert 0.5 < below < 1 / (1 + np.exp(-9 / temperature))
+    temperature, above = langid.calibrate(right, truth, np.array([[30.0, 0.0]] * 50))
+    assert above == pytest.approx(1 / (1 + np.exp(-9 / temperature)))
+
+
+def bucket(gram):
+    """The bucket of one subword, by whole numbers."""
+    state = 0
+    for c in gram:
+        state = (state ^ ord(c)) * 0x01000193 % 2 ** 32
+    return ((state ^ state >> 15) * 0x2C1B3C6D % 2 ** 32) >> 33 - langid.BUCKETS.bit_length()
+
+
+def test_predictions_equal_a_plain_scorer(given, model):
+    rows = given.select("doc_id", "text").limit(60).collect()
+    for row, (languages, scores) in ((row, model.predict([row.text])) for row in rows):
+        grams = subwords(row.text or "")
+        if not grams:
+            assert languages == [langid.UNKNOWN]
+            continue
+        logits = np.mean([model.table[bucket(gram)] for gram in grams], axis=0) + model.bias
+        odds = np.exp((logits - logits.max()) / model.temperature)
+        assert languages == [model.languages[odds.argmax()]] and scores[0] == pytest.approx(odds.max() / odds.sum(), abs=1e-9)
+
+
+def test_texts_of_no_learned_language_are_rejected_with_two_languages(given):
+    two = given.where("lang IN ('en', 'de')")
+    learned = langid.fit(two)
+    assert learned.languages == ("de", "en")
+    own = langid.predict(two.where(held_out(two["doc_id"])), learned).collect()
+    assert np.mean([row.accepted for row in own]) > 0.97
+    rng = np.random.default_rng(3)
+    junk = [" ".join("".join(map(chr, rng.integers(97, 123, rng.integers(3, 10)))) for _ in range(60)) for _ in range(40)]
+    junk += [" ".join("".join(map(chr, rng.integers(0x430, 0x450, rng.integers(3, 10)))) for _ in range(60)) for _ in range(40)]
+    _, scores = learned.predict(junk)
+    assert np.mean(scores < learned.reject_below) > 0.9
+
+
+def test_the_model_does_not_depend_on_partitions(given, model):
+    other = langid.fit(given.repartition(7))
+    assert other.languages == model.languages and (other.table == model.table).all() and other.reject_below == model.reject_below
+
+
+def test_a_dirty_language_column(documents, monkeypatch):
+    monkeypatch.setattr(langid, "MAX_SAMPLE", 20)
+    rows = [(n, f"text {n}", f"l{n}", "a", 1) for n in range(100)] + [(200 + n, "common text", "en", "a", 1) for n in range(30)]
+    assert len(langid.fit(documents(rows)).languages) == 20 and "en" in langid.fit(documents(rows)).languages
