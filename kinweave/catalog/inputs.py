@@ -160,6 +160,10 @@ class Inputs:
         )
         return self._written("changes", event_changes(self.table("events")).unionByName(drops).unionByName(self._no_calls))
 
+    @cached_property
+    def written_event_changes(self) -> DataFrame:
+        return self._written("event-changes", event_changes(self.table("events")))
+
     @property
     def _no_calls(self) -> DataFrame:
         """Rows about existing edges of well-off customers that are no valid call."""

@@ -225,6 +225,15 @@ _QUERIES = {
     "users_after_changes": "SELECT * FROM users_after",
     "edges_after_change_stream": _AFTER_EVENTS,
     "edges_after_compaction": _AFTER_EVENTS,
+    "edges_after_two_compactions": _AFTER_EVENTS,
+    "edges_after_live_calls": _AFTER_EVENTS,
+    "degrees_after_two_logs": """
+        SELECT u.user_id, coalesce(o.n, 0) AS out_degree, coalesce(i.n, 0) AS in_degree
+        FROM users_after u
+        LEFT JOIN (SELECT user_id, count(*) AS n FROM after_changes GROUP BY ALL) o ON o.user_id = u.user_id
+        LEFT JOIN (SELECT friend_user_id, count(*) AS n FROM after_changes GROUP BY ALL) i ON i.friend_user_id = u.user_id""",
+    "hot_users_after_changes": """
+        SELECT user_id FROM after_changes GROUP BY user_id HAVING count(*) >= 12""",
     "price_rounded": """
         SELECT l_orderkey, l_linenumber,
                CAST(round(CAST(l_extendedprice AS DECIMAL(20, 6)), 1) AS DOUBLE) AS price FROM lineitem""",

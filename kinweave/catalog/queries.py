@@ -4,13 +4,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from kinweave import session
+from kinweave import schemas, session
 from kinweave.catalog.inputs import HOT_THRESHOLD, Inputs, event_changes, inputs
 from kinweave.functions import scalars
-from kinweave.operators import changes, hot, idmap, neighbourhood, roster, stored_graph
-from kinweave.plans import store
+from kinweave.operators import changes, hot, idmap, neighbourhood, roster, stored_graph, versions
+from kinweave.plans import jobs, store
 from kinweave.sources import tables
-from kinweave.streaming.changes import compact, current_edges, log_changes, read_log
+from kinweave.streaming.changes import compact, current_edges, edges_behind, log_changes, read_log
+from kinweave.streaming.live import accepted, log_judged
 
 SET_CHUNKS = 4
 
@@ -266,7 +267,45 @@ def edges_after_compaction(i):
     log, root = _logged(i), session.new_folder(i.spark, "compacted-graph")
     store.fork(i.spark, i.loaded, root)
     graph = compact(i.spark, log, root)
-    return current_edges(graph.by_user, read_log(i.spark, log, graph.applied_batch))
+    return edges_behind(graph, read_log(i.spark, log, graph.applied_batch))
+
+
+@_query
+def edges_after_two_compactions(i):
+    """The log in three parts, each with calls older than those before it: two folded into snapshots, one on top."""
+    log = i.written_event_changes
+    third = F.crc32(F.col("seq").cast("string")) % 3
+    root = session.new_folder(i.spark, "twice-compacted-graph")
+    store.fork(i.spark, i.loaded, root)
+    jobs.apply_changes(i.spark, log.where(third == 2), root)
+    graph = jobs.apply_changes(i.spark, log.where(third == 0), root)
+    return edges_behind(graph, log.where(third == 1))
+
+
+@_query
+def edges_after_live_calls(i):
+    """The events in four micro-batches, each with calls older than those before it, judged as they arrive."""
+    folder = session.new_folder(i.spark, "live-calls")
+    i.written_event_changes.repartition(4, F.crc32(F.col("seq").cast("string"))).write.parquet(f"{folder}/calls")
+    calls = i.spark.readStream.schema(schemas.CHANGES).option("maxFilesPerTrigger", 1).parquet(f"{folder}/calls")
+    log_judged(calls, f"{folder}/log", f"{folder}/checkpoint").awaitTermination()
+    return versions.apply_changes(versions.of_edges(i.friendships), accepted(i.spark, f"{folder}/log"))
+
+
+@_query
+def degrees_after_two_logs(i):
+    """Degrees kept up to date by the steps of two logs; ``people_after_changes`` and its kin count them anew."""
+    root = session.new_folder(i.spark, "stepped-graph")
+    store.fork(i.spark, i.loaded, root)
+    late = F.crc32(F.col("seq").cast("string")) % 2 == 0
+    jobs.apply_changes(i.spark, i.changes.where(late), root)
+    return jobs.apply_changes(i.spark, i.changes.where(~late), root).people.where("registered").select("user_id", "out_degree", "in_degree")
+
+
+@_query
+def hot_users_after_changes(i):
+    """Flags kept up to date by the steps of the degrees."""
+    return hot.flagged_users(i.changed.hot_flags)
 
 
 # Column helpers

@@ -1,22 +1,29 @@
-"""Jobs over the stored graph: load, sync with the roster, change calls. Each writes the next snapshot.
+"""Jobs over the stored graph: load, sync with the roster, change calls. Each publishes the next snapshot.
 
-All three merge the stored edges with new information about pairs in one grouping. An end is keyed by
-its user id, an end that nobody knows by its vertex id, and the vertex ids travel along, so
-stored edges are never translated again and repeated ones collapse. The result is written
-once, with its flags; what stays, goes and comes are filters on it, and only what comes is
-translated to vertices.
+A job finds the edges that come and go and publishes those as deltas; what it writes follows the change, not the graph.
+
+* Load and sync compare digests of the edges of each bucket with those of the relation first. Equal buckets are neither
+  read nor joined; in the others stored and wanted pairs meet in one grouping.
+* Change calls only read the buckets of the pairs they name. Versions keep the last calls of a pair, so a late call of an
+  older seq changes nothing, whichever log it comes in.
+
+Edges with an end that nobody knows are kept as vertex pairs; when new users make both ends known they become edges of users.
 """
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from functools import reduce
+from operator import and_
 
-from kinweave import session
-from kinweave.operators import changes as calls, idmap, roster
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+
+from kinweave import schemas, session
+from kinweave.operators import changes as calls, idmap, roster, versions
 from kinweave.plans import store
-from kinweave.plans.store import Graph
+from kinweave.plans.parts import bucket_of
+from kinweave.plans.store import PAIR, Graph, named_edges
 from kinweave.sources.tables import write_table
 
-EDGE = ("src_vid", "dst_vid", "user_id", "friend_user_id")
-
 
 def reset_then_load(spark: SparkSession, relation: DataFrame, root: str, **options) -> Graph:
     """Empty the stored graph and fill it from the relation."""
@@ -37,92 +44,113 @@ def sync(spark: SparkSession, relation: DataFrame, root: str, **options) -> Grap
     return _follow_roster(spark, relation, root, True, **options)
 
 
-def import_edges(spark: SparkSession, vid_edges: DataFrame, id_map: DataFrame, root: str, **options) -> Graph:
+def import_edges(spark: SparkSession, vid_edges: DataFrame, id_map: DataFrame, root: str,
+                 hot_threshold: int = store.HOT_THRESHOLD, buckets: int | None = None) -> Graph:
     """Make a graph that is stored elsewhere, as vertex pairs and an id map, the current snapshot."""
     folder = session.new_folder(spark, "import")
-    id_map = write_table(id_map.select("user_id", "vertex_id"), f"{folder}/id_map")
-    edges = write_table(named_edges(vid_edges, id_map), f"{folder}/edges")
-    return store.write_snapshot(spark, root, folder, id_map, edges, **options)
-
-
-def named_edges(vid_edges: DataFrame, id_map: DataFrame) -> DataFrame:
-    """Vertex pairs with the user ids of their ends, NULL where a vertex is unknown."""
-    source = id_map.select(F.col("vertex_id").alias("src_vid"), "user_id")
-    target = id_map.select(F.col("vertex_id").alias("dst_vid"), F.col("user_id").alias("friend_user_id"))
-    return vid_edges.select("src_vid", "dst_vid").join(source, "src_vid", "left").join(target, "dst_vid", "left").select(*EDGE)
+    id_map = write_table(id_map.select("user_id", "vertex_id"), f"{folder}/given-id-map")
+    edges = write_table(named_edges(vid_edges, id_map), f"{folder}/given-edges")
+    return store.import_graph(spark, root, folder, id_map, edges, hot_threshold, buckets)
 
 
 def _follow_roster(spark, relation, root, delete_stale, bytes_per_partition=session.BYTES_PER_PARTITION,
-                   hot_threshold=store.HOT_THRESHOLD) -> Graph:
-    graph = store.open_graph(spark, root, bytes_per_partition)
+                   hot_threshold=store.HOT_THRESHOLD, buckets=None) -> Graph:
     folder = session.new_folder(spark, "sync" if delete_stale else "load")
+    graph = store.collapsed(store.open_graph(spark, root, bytes_per_partition), folder)
     # the source is read once: users and edges come from one state of it
     path = f"{folder}/relation"
-    own = session.tuned(spark, write_table(relation, path), graph.edges, graph.id_map, bytes_per_partition=bytes_per_partition)
+    own = session.tuned(spark, write_table(relation, path), *_sized(graph), bytes_per_partition=bytes_per_partition)
     relation = own.read.parquet(path)
-    id_map = _with_new_users(graph, roster.users(relation), folder)
-    wanted = roster.owner_friend_pairs(relation).select("user_id", "friend_user_id", F.lit(True).alias("wanted"))
-    merged = _merge(_stored(graph, id_map), wanted, [F.max("wanted").alias("wanted")], f"{folder}/diff")
-    if delete_stale:
-        stays = F.col("wanted").isNotNull() | F.col("user_id").isNull() | F.col("friend_user_id").isNull()
+    if graph.parts:
+        buckets = graph.buckets
     else:
-        stays = F.lit(True)
-    edges = _next_edges(merged, stays, F.lit(True), id_map, folder)
-    return store.write_snapshot(own, root, folder, id_map, edges, hot_threshold, graph.applied_batch)
+        buckets = buckets or store.buckets_for(relation)
+    new_users = write_table(idmap.with_vertex_ids(idmap.missing_users(roster.users(relation), graph.id_map)), f"{folder}/new-users")
+    opened = _opened(graph, new_users, folder)
+    wanted = roster.friendships(relation)
+    if not delete_stale:
+        wanted = wanted.unionByName(opened.select(*PAIR)).distinct()
+    wanted = write_table(wanted, f"{folder}/wanted")
+    apart = store.unequal_buckets(graph, wanted, buckets)
+    diff = write_table(_difference(graph, wanted, apart, buckets, delete_stale), f"{folder}/diff")
+    news = diff.select(*PAIR, (F.lit(2 * (graph.epoch + 1)).cast("long") + (F.col("step") > 0).cast("long")).alias("forced"),
+                       "upto", *[F.lit(None).cast("long").alias(name) for name in ("added", "deleted")])
+    return store.publish_changes(graph, folder, news, diff.select(*PAIR, "step"), new_users, opened, graph.applied_batch, hot_threshold, buckets)
+
+
+def _difference(graph: Graph, wanted: DataFrame, apart: list[int], buckets: int, delete_stale: bool) -> DataFrame:
+    """Pairs of the given buckets that come (step 1) or go (step -1), with the last call known of them.
+
+    Stored versions and wanted pairs meet in one grouping of numbers: one shuffle, no sort, no hot key.
+    """
+    stored = graph.stored("by_user", apart).select(*PAIR, *versions.VALUES, F.lit(0).alias("wanted"))
+    given = wanted if len(apart) == buckets else wanted.where(bucket_of(F.col("user_id"), buckets).isin(apart))
+    both = stored.unionByName(given.select(*PAIR, F.lit(1).alias("wanted")), allowMissingColumns=True)
+    pairs = both.groupBy(*PAIR).agg(*[F.max(name).alias(name) for name in (*versions.VALUES, "wanted")])
+    there, asked = versions.is_present(), F.col("wanted") == 1
+    step = F.when(asked & ~there, 1).when(F.lit(delete_stale) & there & ~asked, -1).cast("long")
+    return pairs.select(*PAIR, versions.last_seq().alias("upto"), step.alias("step")).where(F.col("step").isNotNull())
 
 
 def apply_changes(spark: SparkSession, changes: DataFrame, root: str, applied_batch: int | None = None,
                   bytes_per_partition: int = session.BYTES_PER_PARTITION,
-                  hot_threshold: int = store.HOT_THRESHOLD) -> Graph:
+                  hot_threshold: int | None = None) -> Graph:
     """Apply a log of add and delete calls: both users of an add, their ids and the edge; a delete drops the edge.
 
-    Rows that are no call are written to ``rejects`` in the snapshot's folder and change nothing. The
-    same log a second time changes nothing more.
+    Rows that are no call are written to ``rejects`` in the snapshot's folder and change nothing. Calls may come in any order
+    and any number of logs, also repeated: the last call of a pair by seq counts, whichever log held it. A call older
+    than the last one a sync knew of is history.
     """
-    graph = store.open_graph(spark, root, bytes_per_partition)
     folder = session.new_folder(spark, "changes")
+    graph = store.collapsed(store.open_graph(spark, root, bytes_per_partition), folder)
     write_table(calls.rejected(changes), f"{folder}/rejects")
     path = f"{folder}/calls"
-    own = session.tuned(spark, write_table(calls.valid(changes), path), graph.edges, graph.id_map,
-                        bytes_per_partition=bytes_per_partition)
+    own = session.tuned(spark, write_table(calls.valid(changes), path), bytes_per_partition=bytes_per_partition)
     log = own.read.parquet(path)
-    id_map = _with_new_users(graph, calls.added_users(log), folder)
-    last = [F.max("added").alias("added"), F.max("deleted").alias("deleted")]
-    merged = _merge(_stored(graph, id_map), calls.calls(log), last, f"{folder}/diff")
-    edges = _next_edges(merged, calls.ends_added() | ~calls.is_called(), calls.ends_added(), id_map, folder)
+    buckets = graph.buckets
+    added = calls.added_users(log)
+    named = _buckets_of(added, "user_id", buckets)
+    missing = idmap.missing_users(added, graph.stored("id_map", named)) if named else added
+    new_users = write_table(idmap.with_vertex_ids(missing), f"{folder}/new-users")
+    opened = _opened(graph, new_users, folder)
+    called = versions.merge(versions.of_calls(log), versions.of_edges(opened, graph.epoch + 1))
+    called = write_table(called, f"{folder}/called")
+    diff = write_table(_moves(graph, called, _buckets_of(called, "user_id", buckets)), f"{folder}/diff")
     batch = graph.applied_batch if applied_batch is None else applied_batch
-    return store.write_snapshot(own, root, folder, id_map, edges, hot_threshold, batch)
-
-
-def _with_new_users(graph: Graph, users: DataFrame, folder: str) -> DataFrame:
-    new = idmap.with_vertex_ids(idmap.missing_users(users, graph.id_map))
-    return write_table(graph.id_map.unionByName(new), f"{folder}/id_map")
-
-
-def _stored(graph: Graph, id_map: DataFrame) -> DataFrame:
-    """The stored edges; ends that were unknown are looked up again, as the id map may have grown."""
-    open_end = F.col("user_id").isNull() | F.col("friend_user_id").isNull()
-    return graph.edges.where(~open_end).unionByName(named_edges(graph.edges.where(open_end), id_map))
-
-
-def _merge(stored: DataFrame, news: DataFrame, combine: list[Column], path: str) -> DataFrame:
-    """Stored edges and news about pairs, one row per pair of ends: EDGE, ``stored`` and the combined news."""
-    def end(user, vid):
-        return F.coalesce(F.concat(F.lit("user "), F.col(user)), F.concat(F.lit("vertex "), F.col(vid)))
-
-    told = [name for name in news.columns if name not in EDGE]
-    known = stored.select(*EDGE, F.lit(True).alias("stored"))
-    rows = known.unionByName(news.withColumn("stored", F.lit(False)), allowMissingColumns=True)
-    keyed = rows.select("*", end("user_id", "src_vid").alias("from"), end("friend_user_id", "dst_vid").alias("to"))
-    merged = keyed.groupBy("from", "to").agg(*[F.max(name).alias(name) for name in (*EDGE, "stored")], *combine)
-    return write_table(merged.select(*EDGE, "stored", *told), path)
-
-
-def _next_edges(merged: DataFrame, stays: Column, comes: Column, id_map: DataFrame, folder: str) -> DataFrame:
-    """Stored rows that stay, and the others that come, translated to vertices."""
-    kept = merged.where(F.col("stored") & stays).select(*EDGE)
-    source = id_map.select("user_id", F.col("vertex_id").alias("src_vid"))
-    target = id_map.select(F.col("user_id").alias("friend_user_id"), F.col("vertex_id").alias("dst_vid"))
-    pairs = merged.where(~F.col("stored") & comes).select("user_id", "friend_user_id")
-    new = pairs.join(source, "user_id").join(target, "friend_user_id").select(*EDGE)
-    return write_table(kept.unionByName(new), f"{folder}/edges")
+    threshold = graph.hot_threshold if hot_threshold is None else hot_threshold
+    moved = diff.where("step <> 0").select(*PAIR, "step")
+    return store.publish_changes(graph, folder, diff.select(*PAIR, *versions.VALUES), moved, new_users, opened, batch, threshold, buckets)
+
+
+def _moves(graph: Graph, called: DataFrame, named: list[int]) -> DataFrame:
+    """The merged versions of called pairs that tell something new, with the step their edge makes."""
+    stored = graph.stored("by_user", named).join(called.select(*PAIR), list(PAIR), "left_semi").select(*PAIR, *versions.VALUES)
+    before = stored.select("*", *[F.col(name).alias(f"old_{name}") for name in versions.VALUES])
+    both = before.unionByName(called.select(*PAIR, *versions.VALUES), allowMissingColumns=True)
+    after = both.groupBy(*PAIR).agg(*[F.max(name).alias(name) for name in before.columns if name not in PAIR])
+    step = versions.is_present().cast("long") - versions.is_present("old_").cast("long")
+    same = [F.col(name).eqNullSafe(F.col(f"old_{name}")) for name in versions.VALUES]
+    return after.where(~reduce(and_, same)).select(*PAIR, *versions.VALUES, step.alias("step"))
+
+
+def _opened(graph: Graph, new_users: DataFrame, folder: str) -> DataFrame:
+    """Open edges both of whose ends are known now that the new users are, as EDGES."""
+    if not graph.parts_of("open_edges"):
+        return new_users.sparkSession.createDataFrame(pa.Table.from_pylist([], to_arrow_schema(schemas.EDGES)), schemas.EDGES)
+    ends = new_users.select(F.col("vertex_id"))
+    open_ = graph.open_edges
+    candidates = open_.join(ends.withColumnRenamed("vertex_id", "src_vid"), "src_vid", "left_semi").unionByName(
+        open_.join(ends.withColumnRenamed("vertex_id", "dst_vid"), "dst_vid", "left_semi")).distinct()
+    known = graph.id_map.unionByName(new_users.select("user_id", "vertex_id"))
+    both = F.col("user_id").isNotNull() & F.col("friend_user_id").isNotNull()
+    return write_table(named_edges(candidates, known).where(both), f"{folder}/opened")
+
+
+def _buckets_of(rows: DataFrame, column: str, buckets: int) -> list[int]:
+    """The buckets that rows fall into: at most one number a bucket."""
+    return sorted(row[0] for row in rows.select(bucket_of(F.col(column), buckets)).distinct().collect())
+
+
+def _sized(graph: Graph) -> list[DataFrame]:
+    return [graph.spark.read.schema(store.KINDS[part.table].stored).parquet(part.path)
+            for part in graph.parts if part.table in ("by_user", "id_map")]

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from kinweave import schemas
-from kinweave.operators import changes, neighbourhood
+from kinweave.operators import changes, neighbourhood, versions
 from kinweave.plans import store
 
 # A caller's list of at most this many pairs touches at most twice as many users, so what
@@ -35,11 +35,12 @@ class FriendGraph:
     by_user: DataFrame
     by_friend: DataFrame
     people: DataFrame
+    graph: store.Graph | None = None
 
     @classmethod
     def open(cls, spark: SparkSession, root: str) -> "FriendGraph":
         graph = store.open_graph(spark, root)
-        return cls(graph.by_user, graph.by_friend, graph.people)
+        return cls(graph.by_user, graph.by_friend, graph.people, graph)
 
     def friend_levels(self, user_id: str, candidate_ids: Iterable[str]) -> DataFrame:
         return self._ask(neighbourhood.friend_levels, user_id, candidate_ids)
@@ -61,6 +62,8 @@ class FriendGraph:
         """Edges and people that can matter to the requests of the user."""
         asked = requests.select(F.col("candidate_id").alias("friend_user_id"))
         own = self.by_user.where(F.col("user_id") == user_id)
+        if self.graph:  # only the user's bucket
+            own = versions.current(self.graph.of_users("by_user", [user_id]))
         into = self.by_friend.where(F.col("user_id") != user_id).join(asked, "friend_user_id", "left_semi")
         named = requests.select(F.explode(F.array("user_id", "candidate_id")).alias("user_id"))
         return own.unionByName(into), self.people.join(named, "user_id", "left_semi")

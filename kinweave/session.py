@@ -16,6 +16,8 @@ ADAPTIVE = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64MB",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # keyed state of a stream that outgrows memory, and what transformWithState asks for
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 BYTES_PER_PARTITION = 64 * 1024 * 1024
 UNKNOWN_BYTES = 2 ** 60

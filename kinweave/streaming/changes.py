@@ -1,15 +1,17 @@
 """Online friendship changes as a stream.
 
 The stream appends micro-batches to a change log, one folder a batch, so a batch that is repeated
-after a failure replaces itself. A reader applies the log to the last edge snapshot. From time to
+after a failure replaces itself. A reader applies the log to the last snapshot. From time to
 time the log is folded into the next snapshot, which notes the last batch it holds; readers of
-that snapshot begin behind it.
+that snapshot begin behind it. The snapshot keeps the last calls of each pair, so a call that comes late, behind a compaction,
+counts by its seq and not by its arrival.
 """
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from kinweave import schemas
+from kinweave.operators import versions
 from kinweave.operators.changes import apply_changes
 from kinweave.plans import jobs, store
 
@@ -33,8 +35,14 @@ def read_log(spark: SparkSession, log: str, after: int = store.NO_BATCH) -> Data
     return spark.read.schema(f"{schema}, {BATCH} long").parquet(log).where(F.col(BATCH) > after)
 
 
-def current_edges(snapshot: DataFrame, log: DataFrame) -> DataFrame:
-    return apply_changes(snapshot, log)
+def current_edges(edges: DataFrame, log: DataFrame) -> DataFrame:
+    """The edges after a whole log, from edges that no call has touched before."""
+    return apply_changes(edges, log)
+
+
+def edges_behind(graph: store.Graph, log: DataFrame) -> DataFrame:
+    """The edges after what the log holds behind a snapshot, late calls included."""
+    return versions.apply_changes(graph.versions, log)
 
 
 def compact(spark: SparkSession, log: str, root: str, **options) -> store.Graph:
