@@ -1,6 +1,7 @@
 import uuid
 from types import SimpleNamespace
 
+import duckdb
 import pytest
 
 from kinweave import schemas, session
@@ -42,6 +43,45 @@ def test_jdbc_scan_of_an_empty_view(spark):
     assert options == {"properties": {}}
 
 
+class SqlReader:
+    """Stands in for a database: answers queries on a roster of its own, by DuckDB, and keeps what was asked."""
+
+    def __init__(self, spark, keys):
+        self.spark, self.asked = spark, []
+        self.store = duckdb.connect()
+        self.store.execute("CREATE TABLE roster_view (rosterID BIGINT, username TEXT, loginAccount TEXT, userID TEXT, sub INT)")
+        for n, key in enumerate(keys):
+            self.store.execute("INSERT INTO roster_view VALUES (?, 'a', 'b', 'u', ?)", [key, 3 if n % 5 else 1])
+
+    def jdbc(self, url, table, predicates=None, properties=None):
+        self.asked.append(table)
+        found = [self.store.execute(f"SELECT * FROM {table}" + (f" WHERE {where}" if where else "")) for where in predicates or [""]]
+        self.parts = [self.store.execute(f"SELECT * FROM {table} WHERE {where}").fetchall() for where in predicates or []]
+        names = [column[0] for column in found[-1].description]
+        rows = [row for part in self.parts for row in part] if predicates else found[0].fetchall()
+        kinds = ["string" if name in ("username", "loginAccount", "userId") else "double" if name == "cell_no" else "long" for name in names]
+        return self.spark.createDataFrame(rows, ", ".join(f"{name} {kind}" for name, kind in zip(names, kinds)))
+
+
+@pytest.mark.parametrize("keys", [
+    list(range(1, 400)), [10 ** 12 + n for n in range(200)] + list(range(5)) + [7 * 10 ** 8], [1] * 3 + [2 ** 40 - n * n for n in range(300)],
+    [5], [], [None] * 7 + list(range(0, 90, 3)), [-50, -49, 10 ** 9] + list(range(-9, 30)),
+])
+def test_ranges_of_a_key_with_gaps_hold_every_row_once_and_no_more_than_their_share(spark, keys):
+    reader = SqlReader(spark, keys)
+    session_like = SimpleNamespace(read=reader)
+    found = roster.read_relation_jdbc_balanced(session_like, "jdbc:x", "roster_view", {}, 8, cells=16)
+    kept = [key for n, key in enumerate(keys) if n % 5]
+    assert sorted((row.rosterId for row in found.collect()), key=str) == sorted(kept, key=str)
+    assert found.schema.fieldNames() == schemas.RELATION.fieldNames()
+    with_key = [key for key in kept if key is not None]
+    share = -(-len(with_key) // 8)
+    for part in reader.parts:
+        counted = [row[0] for row in part if row[0] is not None]
+        assert len(counted) <= share or len(set(counted)) == 1
+    assert len(reader.parts) <= 16 and len(reader.asked) < 60
+
+
 def test_roster_files(spark, tmp_path):
     spark.createDataFrame([(1, "a", "b", "u", 3)], schemas.ROSTER).write.parquet(str(tmp_path / "r"))
     assert [tuple(r) for r in roster.read_roster_files(spark, str(tmp_path / "r")).collect()] == [(1, "a", "b", "u", 3)]
