@@ -152,6 +152,7 @@ _QUERIES = {
     "users": "SELECT * FROM users",
     "friendships": "SELECT * FROM friendships",
     "id_map": "SELECT * FROM id_map",
+    "id_map_in_store": "SELECT * FROM id_map",
     "missing_users": "SELECT user_id FROM users EXCEPT SELECT user_id FROM graph_id_map",
     "id_map_upsert": """
         SELECT user_id, vertex_id FROM graph_id_map WHERE user_id NOT IN (SELECT userId FROM relation)

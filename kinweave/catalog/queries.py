@@ -9,7 +9,7 @@ from kinweave.catalog.inputs import HOT_THRESHOLD, Inputs, event_changes, inputs
 from kinweave.functions import scalars
 from kinweave.operators import changes, hot, idmap, neighbourhood, roster, stored_graph, versions
 from kinweave.plans import jobs, store
-from kinweave.sources import tables
+from kinweave.sources import index, store_format, tables
 from kinweave.streaming.changes import compact, current_edges, edges_behind, log_changes, read_log
 from kinweave.streaming.live import accepted, log_judged
 
@@ -59,6 +59,17 @@ def id_map(i):
     return i.id_map_documents
 
 
+@_query
+def id_map_in_store(i):
+    """The id map after a round trip through a document store, written in two jobs."""
+    store_format.register(i.spark)
+    path = session.new_folder(i.spark, "document-store")
+    early = F.crc32("user_id") % 2 == 0
+    for part in (i.id_map.where(early), i.id_map.where(~early)):
+        index.write_id_map_documents(part, store_format.NAME, path)
+    return index.read_id_map_documents(i.spark, store_format.NAME, path)
+
+
 @_query
 def missing_users(i):
     return idmap.missing_users(i.users, i.graph_id_map)

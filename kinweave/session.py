@@ -1,7 +1,11 @@
 """Session settings and the shared folder that jobs write their tables to."""
 
 import math
+import tempfile
 import uuid
+import zipfile
+from pathlib import Path
+from weakref import WeakSet
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -18,9 +22,12 @@ ADAPTIVE = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # keyed state of a stream that outgrows memory, and what transformWithState asks for
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    # conditions on document ids reach a store read by Python
+    "spark.sql.python.filterPushdown.enabled": "true",
 }
 BYTES_PER_PARTITION = 64 * 1024 * 1024
 UNKNOWN_BYTES = 2 ** 60
+_shipped: WeakSet = WeakSet()  # the contexts that have this package on their executors
 INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 
 
@@ -56,6 +63,23 @@ def tuned(spark: SparkSession, *inputs: DataFrame, bytes_per_partition: int = BY
     return other
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Let Python workers import this package: once a Spark context it is sent to the executors as an archive.
+
+    Only streams with keyed state and the document store run Python on executors.
+    """
+    context = spark.sparkContext
+    if context in _shipped:
+        return
+    package = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix=f"{package.name}-")) / f"{package.name}-graph.zip"
+    with zipfile.ZipFile(archive, "w") as target:
+        for source in sorted(package.rglob("*.py")):
+            target.write(source, source.relative_to(package.parent))
+    context.addPyFile(str(archive))
+    _shipped.add(context)
+
+
 def planned_bytes(df: DataFrame) -> int:
     """Size of ``df`` as the optimizer estimates it (file sizes for a plain scan)."""
     return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
-from kinweave import schemas
+from kinweave import schemas, session
 from kinweave.operators import changes
 from kinweave.streaming.changes import BATCH
 
@@ -53,6 +53,7 @@ class LastCall(StatefulProcessor):
 
 def judged(calls: DataFrame, ttl_ms: int | None = None) -> DataFrame:
     """A stream of calls with the verdict on each."""
+    session.ship_package(calls.sparkSession)
     keyed = changes.valid(calls).groupBy(*changes.PAIR)
     found = keyed.transformWithState(LastCall(ttl_ms), JUDGED, "Append", "processingTime" if ttl_ms else "none")
     return found.unionByName(changes.rejected(calls).withColumnRenamed("reason", "verdict"))
