@@ -15,8 +15,8 @@ count are as long as the vocabularies and go to all tasks, and so do the most fr
 most HOT_PAIRS of them, by a power of two as the least count. A document's rarer pairs are joined with the
 table of pairs; each of those has fewer rows than that least count, so no key is hot.
 
-Texts are cut before a space or line end that follows a character that is no white space. No token of either
-vocabulary spans such a place (A: its pattern has none; B: checked when the vocabulary is loaded), so
+Texts are cut before a space or line end that follows a character that is no white space, and before a comma or full stop
+behind an ASCII letter. No token of either vocabulary spans such a place (A: its pattern has none; B: checked when the vocabulary is loaded), so
 the distinct parts of a batch are encoded and aligned once, and a worker keeps up to CACHED_PARTS of them.
 
 Defined cases: texts that are null, empty or whose joined bytes by A or B differ from space and text have no tokens and
@@ -27,6 +27,7 @@ than doc_id and text are not read.
 
 import hashlib
 import os
+import re
 from functools import lru_cache
 
 import numpy as np
@@ -36,7 +37,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from kinweave.llm.tables import as_bytes, map_texts, ship_package, small_batches, worker_cache, written
 
-CACHED_PARTS = 150_000
+CACHED_PARTS = 300_000
 TEXTS = 500  # texts whose parts are looked up at a time
 HOT_PAIRS = 1 << 18
 
@@ -65,8 +66,8 @@ class Vocabularies:
             if all(c in alphabet for c in token):
                 self.a_bytes[i] = bytes(alphabet[c] for c in token)
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
-        if any("\n" in piece or "▁" in piece.lstrip("▁") for piece in pieces):
-            raise ValueError(f"a piece of {path_b} spans a word start or a line end")
+        if any("\n" in piece or "▁" in piece.lstrip("▁") or re.search("[A-Za-z][.,]", piece) for piece in pieces):
+            raise ValueError(f"a piece of {path_b} spans a word start, a line end or the end of a word")
         self.b_bytes = [bytes([int(piece[3:5], 16)]) if self.b.is_byte(i) else piece.replace("▁", " ").encode()
                         for i, piece in enumerate(pieces)]
         first = {}
@@ -85,15 +86,18 @@ class Vocabularies:
         return a * len(self.b_bytes) + b
 
     def encode_parts(self, parts: list[bytes]) -> tuple[list[list[int]], list[list[int]]]:
-        """The ids of parts of texts by A and by B. A part begins with a space, or with a line end, before which B's own space goes.
+        """The ids of parts of texts by A and by B.
 
-        B adds no space to an empty text, so a part that is one space gets the space's id.
+        B puts a space before what it is given, but not before an empty text. A part that begins with a space gets it from B; one
+        that is a space only gets its id; others are given behind a line end, which no piece spans.
         """
         texts = [part.decode() for part in parts]
         ids_a = [found.ids for found in self.a.encode_batch_fast(texts, add_special_tokens=False)]
-        ids_b = self.b.encode([text[1:] if text[0] == " " else text for text in texts], num_threads=1)
+        given = [text[1:] if text[0] == " " else "\n" + text.removeprefix("\n") for text in texts]
+        ids_b = self.b.encode(given, num_threads=1)
         space = [self.b.piece_to_id("▁")]
-        return ids_a, [space if text == " " else ids if text[0] == " " else ids[1:] for text, ids in zip(texts, ids_b)]
+        added = {" ": 0, "\n": 1}
+        return ids_a, [space if text == " " else ids[added.get(text[0], 2):] for text, ids in zip(texts, ids_b)]
 
 
 @lru_cache(maxsize=1)
@@ -118,8 +122,8 @@ def split_parts(texts: pa.Array) -> tuple[pa.DictionaryArray, np.ndarray]:
         two, three = np.zeros_like(buffer), np.zeros_like(buffer)
         two[2:], three[3:] = buffer[:-2], buffer[:-3]
         solid &= ~(tail & ((two == 0xC2) | ((three >= 0xE1) & (three <= 0xE3))))
-    cuts = np.zeros(len(buffer), bool)
-    cuts[blank & solid] = True
+    letter = ((before | 0x20) >= 0x61) & ((before | 0x20) <= 0x7A)
+    cuts = blank & solid | letter & ((buffer == 0x2C) | (buffer == 0x2E))
     cuts[begins] = True
     starts = np.flatnonzero(cuts)
     offsets = np.append(starts, len(buffer)).astype(np.int64)

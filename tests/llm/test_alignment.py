@@ -70,7 +70,7 @@ def plain(libraries, rows):
 def random_texts(seed, n, most=60):
     rng = random.Random(seed)
     pieces = ["the ", "whether", " ", "  ", "\n", "\r\n", "\t", "é", "ß ", " ", " ", "　 ", "中文 ", "🙂", "\x85 ", "Ünder", "'s", "don't ",
-              "1234", "...", "<|endoftext|>", "<s>", "\x00", "​ ", "x" * 30, "ing ", ". ", "\x1c ", "á ", "; ", "{\r\n"]
+              "1234", "...", "<|endoftext|>", "<s>", "\x00", "​ ", "x" * 30, "ing ", ". ", "\x1c ", "á ", "; ", "{\r\n", ".", ",", "a", "B.", "é,", ".,", "Dr"]
     return ["".join(rng.choice(pieces) for _ in range(rng.randint(1, most))) for _ in range(n)]
 
 
