@@ -45,6 +45,7 @@ MEETINGS = 32
 FEWEST, MOST = 4, 16
 EVENNESS = 0.7  # letters are not equally frequent: k symbols tell words apart about as well as 0.7 k even ones
 BLOCK = 1 << 20
+WORDS_A_TASK = 50_000
 BASE, STEP = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F  # odd 64-bit numbers of the digest
 
 
@@ -196,7 +197,9 @@ def neighbourhoods(words: DataFrame, symbols: int) -> DataFrame:
 def near_pairs(words: DataFrame, symbols: int) -> DataFrame:
     """(a, b, n_a, n_b): every pair of near words of the written table (word, n, key) once."""
     others = words.select("key", F.col("word").alias("b"), F.col("n").alias("n_b"))
-    short = words.where(F.length("word") <= SHORT)
+    # a word becomes some thirty rows, so a small table is work for many tasks
+    tasks = max(1, math.ceil(words.count() / WORDS_A_TASK))
+    short = words.where(F.length("word") <= SHORT).repartition(tasks)
     long = words.where(F.length("word") > SHORT)
     met = neighbourhoods(short, symbols).withColumnsRenamed({"name": "a", "n": "n_a"}).join(others.hint("shuffle_hash"), "key")
     met_long = neighbourhoods(long, symbols).withColumnRenamed("n", "n_a").join(others, "key").join(
