@@ -181,11 +181,16 @@ class Inputs:
         """The graph after the first load, as a job stores it."""
         return jobs.reset_then_load(self.spark, self.relation, session.new_folder(self.spark, "graph"), hot_threshold=HOT_THRESHOLD)
 
+    @cached_property
+    def imported(self) -> store.Graph:
+        """The stored graph of the earlier roster."""
+        return jobs.import_edges(self.spark, self.graph_edges, self.graph_id_map, session.new_folder(self.spark, "imported-graph"))
+
     @cached_property
     def synced(self) -> store.Graph:
         """The stored graph of the earlier roster after a sync; one sync serves all queries."""
         root = session.new_folder(self.spark, "synced-graph")
-        jobs.import_edges(self.spark, self.graph_edges, self.graph_id_map, root)
+        store.fork(self.spark, self.imported, root)
         return jobs.sync(self.spark, self.relation, root)
 
     @cached_property

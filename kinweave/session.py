@@ -22,6 +22,8 @@ ADAPTIVE = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # keyed state of a stream that outgrows memory, and what transformWithState asks for
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    # state with an expiry would else run batches without data for ever where a stream is to end
+    "spark.sql.streaming.noDataMicroBatches.enabled": "false",
     # conditions on document ids reach a store read by Python
     "spark.sql.python.filterPushdown.enabled": "true",
 }
