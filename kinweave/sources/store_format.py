@@ -36,9 +36,10 @@ SCHEMA = "_metadata struct<_id: string>, vertexId string"
 
 
 def register(spark: SparkSession) -> None:
-    """Make the format known to a session and its executors."""
+    """Make the format known to a session and its executors, and to the active session, where Spark looks formats up."""
     session.ship_package(spark)
-    spark.dataSource.register(DocumentStore)
+    for each in {id(found): found for found in (spark, SparkSession.getActiveSession() or spark)}.values():
+        each.dataSource.register(DocumentStore)
 
 
 def shard_of(document_id: str, shards: int) -> int:
