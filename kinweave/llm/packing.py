@@ -1,15 +1,15 @@
 """Packing of tokenized documents into sequences by bin completion.
 
 Documents become pieces of at most ``capacity`` tokens; full pieces are sequences of their own.
-The others are dealt evenly into shards of about SHARD_PIECES and each shard is packed by itself,
-so the loss against one global packing is below one sequence a shard.
+The others are dealt into shards of about SHARD_PIECES, in turn from longest to shortest, so that every shard has
+the same share of each length, give or take one piece; each shard is packed by itself.
 
 Within a shard a bin is completed around the largest piece left: fillings of its rest are
-enumerated, dominated ones are dropped (a piece could be added, or one piece or two could be
-exchanged for a larger single one that fits), and they are tried by waste. A branch ends where its
+enumerated one after the other as they are asked for, dominated ones are dropped (a piece could be added, or one piece or two
+could be exchanged for a larger single one that fits), and they are tried by waste, TRIED at a time. A branch ends where its
 waste so far leaves no way to beat the incumbent, which is the best-fit-decreasing solution at
-first. The search ends at the lower bound on the number of bins, or after a budget of steps with
-the best solution it has.
+first. No filling is left out: the search ends at the lower bound on the number of bins, when every branch has ended, or when
+the work of WORK_PER_BIN looks at a piece for each bin is used up, with the best solution it has.
 
 Defined cases: null text is empty; every document ends with ``end_id``, so an empty one has length 1.
 Repeated rows and null ids are documents like others. An empty table gives an empty result. Columns
@@ -21,12 +21,14 @@ import os
 import zlib
 from bisect import bisect_left, bisect_right
 from collections import Counter
+from collections.abc import Iterator
 from functools import lru_cache
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from kinweave.llm.tables import map_texts, ship_package, worker_cache, written
 
@@ -34,8 +36,9 @@ CAPACITY = 4096
 SHARD_PIECES = 4096
 CACHED_WORDS = 500_000
 CACHED_TEXTS = 1000  # texts whose words are looked up at a time
-STEPS_PER_BIN = 4
-FILLINGS = 6
+WORK_PER_BIN = 3000  # the one budget of the search, in looks at a piece
+TRIED = 60  # fillings that are put in order of waste at a time
+LOOKS_A_SET = 10  # what it costs to ask whether a filling is dominated
 
 
 class WordEncoder:
@@ -152,16 +155,13 @@ def pack_documents(documents: DataFrame, path: str, capacity: int = CAPACITY, en
 def pack_pieces(pieces: DataFrame, capacity: int = CAPACITY, shard_pieces: int = SHARD_PIECES) -> DataFrame:
     """Add sequence_id and offset to a written table with ``length`` in 1..capacity.
 
-    Shards come from the place of a row in the table's files, so they are even whatever the ids are.
     Full pieces get negative sequence ids, packed ones (shard << 32) + number.
     """
     place = F.monotonically_increasing_id()
     numbered = pieces.withColumn("place", place)
     full = numbered.where(F.col("length") >= capacity).select(
         *pieces.columns, (-1 - F.col("place")).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
-    shards = max(1, math.ceil(pieces.where(F.col("length") < capacity).count() / shard_pieces))
-    open_ = numbered.where(F.col("length") < capacity).select(
-        *pieces.columns, F.pmod(F.xxhash64("place"), F.lit(shards)).alias("shard"))
+    open_ = dealt(numbered.where(F.col("length") < capacity), pieces.columns, shard_pieces)
 
     def pack_shard(table: pa.Table) -> pa.Table:
         order = np.lexsort([np.asarray(table[name].fill_null(-1)) for name in ("piece", "ids_crc32", "length")])
@@ -182,6 +182,29 @@ def pack_pieces(pieces: DataFrame, capacity: int = CAPACITY, shard_pieces: int =
     return full.unionByName(packed)
 
 
+def dealt(numbered: DataFrame, columns: list[str], shard_pieces: int) -> DataFrame:
+    """``columns`` and ``shard`` of rows with a ``place``: dealt in turn from longest to shortest.
+
+    A row's number in that order is that of its length, by the counts of longer ones, plus its rank within the
+    length: by the counts of the files' parts before its own and its place there. No length is gathered.
+    """
+    part = F.shiftright("place", 33)
+    counts = written(numbered.groupBy(part.alias("part"), "length").agg(F.count("*").alias("n")), "piece-counts")
+    sizes = {row["length"]: row["n"] for row in counts.groupBy("length").agg(F.sum("n").alias("n")).collect()}  # < capacity rows
+    shards = max(1, math.ceil(sum(sizes.values()) / shard_pieces))
+    longer, first = 0, []
+    for length in sorted(sizes, reverse=True):
+        first.append((length, longer))
+        longer += sizes[length]
+    spark = numbered.sparkSession
+    first = spark.createDataFrame(pa.table({"length": pa.array([a for a, _ in first], pa.int64()), "first": pa.array([b for _, b in first], pa.int64())}))
+    earlier = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    before = counts.join(first, "length").select("part", "length", (F.col("first") + F.coalesce(F.sum("n").over(earlier), F.lit(0))).alias("before"))
+    inside = F.row_number().over(Window.partitionBy("part", "length").orderBy("place")) - 1
+    ranked = numbered.withColumn("part", part).withColumn("inside", inside).join(before, ["part", "length"])
+    return ranked.select(*columns, F.pmod(F.col("before") + F.col("inside"), F.lit(shards)).alias("shard"))
+
+
 def pack(lengths: list[int], capacity: int) -> list[list[int]]:
     """Positions of ``lengths`` by bin; every bin's sum is at most ``capacity``."""
     places: dict[int, list[int]] = {}
@@ -194,15 +217,22 @@ def pack_sizes(counts: Counter, capacity: int) -> list[list[int]]:
     best = best_fit(counts, capacity)
     total = sum(size * n for size, n in counts.items())
     bound = lower_bound(counts, capacity)
-    budget = STEPS_PER_BIN * (len(best) + 1)
-    while len(best) > bound and budget > 0:
-        found, budget = complete(counts, capacity, (len(best) - 1) * capacity - total, budget)
-        if found is None or len(found) >= len(best):
+    work = Work(WORK_PER_BIN * (len(best) + 1))
+    while len(best) > bound and work.left > 0:
+        found = complete(counts, capacity, (len(best) - 1) * capacity - total, work)
+        if found is None:
             break
         best = found
     return best
 
 
+class Work:
+    """What is left of a budget."""
+
+    def __init__(self, left: int):
+        self.left = left
+
+
 def lower_bound(counts: Counter, capacity: int) -> int:
     """Bins that any packing needs: by the sum, and with pieces that pair with none or few others."""
     sizes = sorted(counts)
@@ -245,10 +275,10 @@ def best_fit(counts: Counter, capacity: int) -> list[list[int]]:
     return bins
 
 
-def complete(counts: Counter, capacity: int, waste: int, budget: int) -> tuple[list[list[int]] | None, int]:
-    """Depth-first bin completion with at most ``waste`` tokens unused in all but the last bins.
+def complete(counts: Counter, capacity: int, waste: int, work: Work) -> list[list[int]] | None:
+    """Depth-first bin completion with at most ``waste`` tokens unused in all bins.
 
-    Returns the bins, or None if the branch bound or the budget ended the search, and the budget left.
+    Returns the bins, or None if there is no such packing or the work is used up.
     """
     left, sizes = dict(counts), sorted(counts)
 
@@ -265,67 +295,115 @@ def complete(counts: Counter, capacity: int, waste: int, budget: int) -> tuple[l
             left[size] += 1
 
     done: list[list[int]] = []
-    choices: list[list[list[int]]] = []
-    while True:
-        if not sizes:
-            return done, budget
-        if budget <= 0:
-            return None, 0
-        budget -= 1
-        largest = sizes[-1]
-        take([largest])
-        around = fillings(left, sizes, capacity - largest)
-        put_back([largest])
-        options = [[largest, *filling] for filling in around if capacity - largest - sum(filling) <= waste]
-        if not options and sum(size * left[size] for size in sizes) <= capacity:
-            options = [[size for size in reversed(sizes) for _ in range(left[size])]]
-        options.reverse()
-        choices.append(options)
-        while not choices[-1]:
+    choices: list[Iterator[list[int]]] = []
+    while sizes:
+        # a choice is asked for its next filling only when the pieces are as they were when it was made
+        choices.append(fillings(left, sizes, sizes[-1], capacity - sizes[-1], waste, work))
+        chosen = next(choices[-1], None)
+        while chosen is None:
             choices.pop()
-            if not choices:
-                return None, budget
+            if not choices or work.left <= 0:
+                return None
             undone = done.pop()
             put_back(undone)
             waste += capacity - sum(undone)
-        chosen = choices[-1].pop()
+            chosen = next(choices[-1], None)
         take(chosen)
         done.append(chosen)
         waste -= capacity - sum(chosen)
+    return done
+
 
+def fillings(left: dict[int, int], sizes: list[int], largest: int, room: int, waste: int, work: Work) -> Iterator[list[int]]:
+    """Undominated bins around ``largest`` with at most ``waste`` unused, TRIED at a time in order of waste, as they are asked for."""
+    sets = maximal_sets(left, sizes, largest, room, work)
+    while some := list(islice(sets, TRIED)):
+        work.left -= LOOKS_A_SET * len(some)
+        kept = [chosen for chosen in some if room - sum(chosen) <= waste and not _dominated(chosen, room - sum(chosen), largest, left, sizes)]
+        for chosen in sorted(kept, key=lambda c: (-sum(c), len(c))):
+            yield [largest, *chosen]
 
-def fillings(left: dict[int, int], sizes: list[int], room: int) -> list[list[int]]:
-    """Up to FILLINGS undominated sets of sizes with a sum of at most ``room``, least waste first."""
-    found: dict[tuple[int, ...], int] = {}
-    looked = 0
 
-    def extend(chosen: list[int], top: int, rest: int):
-        nonlocal looked
-        at = bisect_right(sizes, min(top, rest)) - 1
-        fits, tried = False, 0
-        while at >= 0 and len(found) < 4 * FILLINGS and looked < 200:
+def maximal_sets(left: dict[int, int], sizes: list[int], largest: int, room: int, work: Work) -> Iterator[list[int]]:
+    """Sets of pieces beside ``largest``, from longest to shortest, that no further one of at most the last's size fits into.
+
+    The sets with one longest piece are a branch. Branches begin one by one and take turns, so that the first sets differ
+    in more than their last pieces.
+    """
+    branches: list[Iterator[list[int]]] = []
+    at, empty = bisect_right(sizes, room) - 1, True
+    while at >= 0 or branches:
+        while at >= 0:
+            work.left -= 1
             size = sizes[at]
             at -= 1
-            if left[size] <= chosen.count(size):
-                continue
-            fits, tried, looked = True, tried + 1, looked + 1
-            extend([*chosen, size], size, rest - size)
-            if tried >= (FILLINGS if not chosen else 3) or any(used == room for used in found.values()):
+            if left[size] > (size == largest):
+                branches.append(_branch(left, sizes, largest, size, room - size, work))
+                break
+        ended = []
+        for branch in branches:
+            chosen = next(branch, None)
+            if chosen is None:
+                ended.append(branch)
+            else:
+                empty = False
+                yield chosen
+        for branch in ended:
+            branches.remove(branch)
+        if work.left <= 0:
+            return
+    if empty:
+        yield []
+
+
+def _branch(left: dict[int, int], sizes: list[int], largest: int, first: int, room: int, work: Work) -> Iterator[list[int]]:
+    """The sets whose longest piece is ``first``."""
+    chosen: list[int] = [first]
+    used: dict[int, int] = {largest: 1}
+    used[first] = used.get(first, 0) + 1
+    at = bisect_right(sizes, min(first, room)) - 1
+    while True:
+        while at >= 0 and work.left > 0:
+            work.left -= 1
+            size = sizes[at]
+            if size > room:
+                at = bisect_right(sizes, room) - 1
+            elif left[size] > used.get(size, 0):
+                chosen.append(size)
+                used[size] = used.get(size, 0) + 1
+                room -= size
+            else:
+                at -= 1
+        if work.left <= 0:
+            return
+        yield list(chosen)
+        # the last piece gives way to the next smaller one; where there is none, the one before it does
+        while len(chosen) > 1:
+            size = chosen.pop()
+            used[size] -= 1
+            room += size
+            at = bisect_left(sizes, size) - 1
+            if at >= 0 and _any_left(left, sizes, used, at, work):
                 break
-        if not fits:
-            found.setdefault(tuple(chosen), room - rest)
+        else:
+            return
+
 
-    extend([], room, room)
-    kept = [chosen for chosen, used in found.items() if not _dominated(chosen, room - used, left, sizes)]
-    kept = kept or list(found)
-    return [list(chosen) for chosen in sorted(kept, key=lambda c: (-sum(c), len(c)))[:FILLINGS]]
+def _any_left(left: dict[int, int], sizes: list[int], used: dict[int, int], at: int, work: Work) -> bool:
+    """Whether a piece of the size at ``at`` or a smaller one is left."""
+    while at >= 0:
+        work.left -= 1
+        if left[sizes[at]] > used.get(sizes[at], 0):
+            return True
+        at -= 1
+    return False
 
 
-def _dominated(chosen: tuple[int, ...], slack: int, left: dict[int, int], sizes: list[int]) -> bool:
+def _dominated(chosen: list[int], slack: int, largest: int, left: dict[int, int], sizes: list[int]) -> bool:
     def free_between(low, high):
         at = bisect_left(sizes, low)
         while at < len(sizes) and sizes[at] <= high:
-            if left[sizes[at]] > chosen.count(sizes[at]):
+            if left[sizes[at]] > chosen.count(sizes[at]) + (sizes[at] == largest):
                 return True
             at += 1
         return False
