@@ -53,10 +53,9 @@ class WordEncoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.whole_texts = Tokenizer.from_file(path)
-        self.special = [token.content for token in self.whole_texts.get_added_tokens_decoder().values() if token.special]
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # a word may be one in lower case only
+        self.special = [token.content for token in self.tokenizer.get_added_tokens_decoder().values() if token.special]
         vocab = self.tokenizer.get_vocab()
         self.ends_word = np.zeros(max(vocab.values()) + 1, bool)
         self.ends_word[[i for token, i in vocab.items() if token.endswith("</w>")]] = True
@@ -87,10 +86,12 @@ class WordEncoder:
         whole = ids[shift + np.arange(len(shift))]
         bounds = np.append(0, ends)[np.asarray(split.offsets)].tolist()
         encoded = [whole[low:high].tobytes() for low, high in zip(bounds, bounds[1:])]
+        self.tokenizer.encode_special_tokens = False
         for string in self.special:
             for at in np.flatnonzero(pc.match_substring(given, string)).tolist():
-                found = self.whole_texts.encode(given[at].as_py(), add_special_tokens=False)
+                found = self.tokenizer.encode(given[at].as_py(), add_special_tokens=False)
                 encoded[at] = np.array(found.ids, "<u4").tobytes()
+        self.tokenizer.encode_special_tokens = True
         return encoded
 
     def _learn(self, new: set[str]) -> None:
