@@ -61,18 +61,18 @@ def _follow_roster(spark, relation, root, delete_stale, bytes_per_partition=sess
     path = f"{folder}/relation"
     own = session.tuned(spark, write_table(relation, path), *_sized(graph), bytes_per_partition=bytes_per_partition)
     relation = own.read.parquet(path)
-    if graph.parts:
-        buckets = graph.buckets
-    else:
-        buckets = buckets or store.buckets_for(relation)
+    buckets = graph.buckets if graph.parts else buckets or store.buckets_for(relation)
     new_users = write_table(idmap.with_vertex_ids(idmap.missing_users(roster.users(relation), graph.id_map)), f"{folder}/new-users")
     opened = _opened(graph, new_users, folder)
     wanted = roster.friendships(relation)
     if not delete_stale:
         wanted = wanted.unionByName(opened.select(*PAIR)).distinct()
     wanted = write_table(wanted, f"{folder}/wanted")
-    apart = store.unequal_buckets(graph, wanted, buckets)
-    diff = write_table(_difference(graph, wanted, apart, buckets, delete_stale), f"{folder}/diff")
+    if graph.parts:
+        apart = store.unequal_buckets(graph, wanted, buckets)
+        diff = write_table(_difference(graph, wanted, apart, buckets, delete_stale), f"{folder}/diff")
+    else:  # all that is wanted comes
+        diff = wanted.select(*PAIR, F.lit(None).cast("long").alias("upto"), F.lit(1).cast("long").alias("step"))
     news = diff.select(*PAIR, (F.lit(2 * (graph.epoch + 1)).cast("long") + (F.col("step") > 0).cast("long")).alias("forced"),
                        "upto", *[F.lit(None).cast("long").alias(name) for name in ("added", "deleted")])
     return store.publish_changes(graph, folder, news, diff.select(*PAIR, "step"), new_users, opened, graph.applied_batch, hot_threshold, buckets)

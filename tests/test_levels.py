@@ -111,7 +111,7 @@ def test_a_sync_reads_only_the_buckets_that_differ_and_keeps_all_files(spark, re
     assert "PartitionFilters: [" in plan and "bucket" in plan.split("PartitionFilters: [")[1].split("]")[0]
     synced = jobs.sync(spark, other, graph, hot_threshold=6)
     assert {part.path for part in loaded.parts} <= {part.path for part in synced.parts}
-    assert bytes_below(synced.folder + "/diff") < bytes_below(loaded.folder + "/diff") / 20
+    assert bytes_below(synced.folder + "/diff") < bytes_below(loaded.folder + "/wanted") / 20
     assert check_whole(synced) == wanted
 
 
