@@ -110,8 +110,9 @@ def apply_changes(spark: SparkSession, changes: DataFrame, root: str, applied_ba
     buckets = graph.buckets
     added = calls.added_users(log)
     named = _buckets_of(added, "user_id", buckets)
-    missing = idmap.missing_users(added, graph.stored("id_map", named)) if named else added
-    new_users = write_table(idmap.with_vertex_ids(missing), f"{folder}/new-users")
+    # a short list meets the id map as the broadcast side, and what is left of the id map is short too
+    known = graph.stored("id_map", named).join(added, "user_id", "left_semi")
+    new_users = write_table(idmap.with_vertex_ids(idmap.missing_users(added, known)), f"{folder}/new-users")
     opened = _opened(graph, new_users, folder)
     called = versions.merge(versions.of_calls(log), versions.of_edges(opened, graph.epoch + 1))
     called = write_table(called, f"{folder}/called")

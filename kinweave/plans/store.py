@@ -326,7 +326,7 @@ def _hot_steps(graph: Graph, parts: list[Part], buckets: int, threshold: int) ->
         return now.join(flagged, "user_id", "left").select("user_id", *step).where("listed <> 0 OR hot <> 0")
     moving = new.where("step <> 0")
     touched = sorted(row[0] for row in moving.select(bucket_of(F.col("user_id"), buckets)).distinct().collect())
-    old = graph.stored("people", touched).select("user_id", F.col("out_degree").alias("was"))
+    old = graph.stored("people", touched).select("user_id", F.col("out_degree").alias("was")).join(moving.select("user_id"), "user_id", "left_semi")
     was = F.coalesce("was", F.lit(0).cast("long"))
     return _flag_steps(moving.join(old, "user_id", "left").select("user_id", was.alias("was"), (was + F.col("step")).alias("now")), threshold)
 

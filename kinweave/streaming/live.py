@@ -12,13 +12,15 @@ know the newer one, so edges never depend on the expiry.
 The state lives in RocksDB, which ``session.build_session`` and ``session.tuned`` choose.
 """
 
+import sys
 from collections.abc import Iterator
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
-from kinweave import schemas, session
+from kinweave import schemas
 from kinweave.operators import changes
 from kinweave.streaming.changes import BATCH
 
@@ -53,7 +55,8 @@ class LastCall(StatefulProcessor):
 
 def judged(calls: DataFrame, ttl_ms: int | None = None) -> DataFrame:
     """A stream of calls with the verdict on each."""
-    session.ship_package(calls.sparkSession)
+    # the worker that sets a processor up gets no files of the session, so the class travels as a value
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
     keyed = changes.valid(calls).groupBy(*changes.PAIR)
     found = keyed.transformWithState(LastCall(ttl_ms), JUDGED, "Append", "processingTime" if ttl_ms else "none")
     return found.unionByName(changes.rejected(calls).withColumnRenamed("reason", "verdict"))
