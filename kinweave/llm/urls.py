@@ -8,14 +8,12 @@ are high enough and no rule on part of its tokens is as confident. They match th
 each rule stands under its rarest token, a URL looks its tokens up, and the rest of the rule is
 verified in the row. The most confident rule decides (block at a tie); without one the URL is allowed.
 
-Bounds: the number of combinations doubles with every token that labelled URLs may or may not have. Three steps that lose
-no rule come first: tokens that stand in the same labelled URLs are one item (a rule lists its tokens as ``members``, any of
-which fits); an item that alone settles the label needs no company, so it is a rule and leaves the combinations; and so does an
-item that all labelled URLs have, which changes no confidence. What is left is bounded by ``most_items``: a URL enters the combinations with
-the items that tell most about the label (by the G statistic), at most that many. FP-growth then finds at most
-2 ** (most_items + 1) / min_support sets. Rules of one item come from counts over whole URLs, and where a URL had more items the
-rules that remain are counted anew on whole URLs, so confidences are exact; only combinations of more than
-``most_items`` items' worth of a URL, or with its less telling items, are not looked for.
+All combinations that are frequent enough are found, however many tokens a URL has; their number can double with every token
+that labelled URLs may or may not have. Three steps that lose no rule come first: tokens that stand in the same labelled URLs are one
+item (a rule lists its tokens as ``members``, any of which fits); an item that alone settles the label needs no company, so it is a
+rule and leaves the combinations; and so does an item that all labelled URLs have, which changes no confidence.
+FP-growth then counts what is left, spread over tasks by item, and rules are pruned size by size in joins that grow with the number
+of sets found.
 
 Defined cases: a URL that is null or has no ``://`` has empty host and path and no token, and is
 allowed. With no labelled URL nothing is mined. Repeated rows are judged alike; null labels teach
@@ -23,6 +21,7 @@ nothing. Columns other than page_id and url are not read.
 """
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame, functions as F
@@ -39,7 +38,6 @@ RULES = (
 )
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 MIN_SUPPORT, MIN_CONFIDENCE = 0.005, 0.9
-MOST_ITEMS = 8
 
 
 def with_parts(pages: DataFrame) -> DataFrame:
@@ -98,8 +96,7 @@ def same_urls(labelled: DataFrame, min_support: float) -> DataFrame:
         F.col("members")[0].alias("item"), "members")
 
 
-def mine_rules(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE,
-               most_items: int = MOST_ITEMS) -> DataFrame:
+def mine_rules(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
     """rule_id, antecedent (items), members (of each item), label, confidence, support from rows of ``tokens`` and ``label``.
 
     A rule is pruned if part of its items gives the same label at least as surely.
@@ -109,31 +106,35 @@ def mine_rules(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confid
     total = kinds.agg(F.sum("n")).first()[0] or 0
     items_of = written(same_urls(kinds, min_support), "url-items")
     counted = written(item_counts(kinds, items_of), "url-item-counts")
-    rows_of_labels = kinds.groupBy("label").agg(F.sum("n").alias("n_label"))
     alone = counted.where((F.col("n") >= min_support * total) & (F.col("n") >= min_confidence * F.col("n_item"))).select(
         F.array("item").alias("antecedent"), "label", (F.col("n") / F.col("n_item")).alias("confidence"), (F.col("n") / total).alias("support"))
-    # at most what support allows: tokens a URL / min_support names
-    names = [row["item"] for row in telling_items(counted, rows_of_labels, total).orderBy(F.col("tells").desc(), "item").collect()]
+    # the items that can gain by company; at most what support allows: tokens a URL / min_support names
+    gaining = counted.where((F.col("n") < F.col("n_item")) & (F.col("n_item") < total))
+    names = sorted(row["item"] for row in gaining.select("item").distinct().collect())
     there = F.array_intersect(F.lit(names) if names else F.array().cast("array<string>"), F.col("tokens"))
     chosen = labelled.select("label", there.alias("there")).where(F.size("there") > 1)
-    items = chosen.select(F.concat(F.slice("there", 1, most_items), F.array(F.concat(F.lit("="), "label"))).alias("items"))
     rules = with_ids(alone)
     if not chosen.isEmpty():
-        n_chosen, cut = chosen.agg(F.count("*"), F.max(F.size("there")) > most_items).first()
+        n_chosen = chosen.count()
+        items = chosen.select(F.concat("there", F.array(F.concat(F.lit("="), "label"))).alias("items"))
         # the support is a share of all labelled rows, and FP-growth sees those with a combination
-        share = min(1.0, min_support * total / n_chosen)
-        model = FPGrowth(itemsCol="items", minSupport=share, minConfidence=min_confidence).fit(items)
-        found = model.associationRules.where(F.col("consequent")[0].startswith("=") & (F.size("antecedent") > 1)).select(
-            F.sort_array("antecedent").alias("antecedent"), F.expr("substring(consequent[0], 2)").alias("label"), "confidence",
-            (F.col("support") * n_chosen / total).alias("support"))
-        rules = prune(written(rules.unionByName(with_ids(found)), "url-rules"))
-        if cut:
-            again = recount(rules.where(F.size("antecedent") > 1), items_of, kinds, total)
-            kept = again.where((F.col("confidence") >= min_confidence) & (F.col("support") >= min_support))
-            rules = prune(written(rules.where(F.size("antecedent") == 1).unionByName(kept.select(*rules.columns)), "url-rules"))
+        model = FPGrowth(itemsCol="items", minSupport=min(1.0, min_support * total / n_chosen)).fit(items)
+        rules = prune(written(rules, "url-rules"), written(labelled_sets(model.freqItemsets, total), "url-sets"), min_confidence)
     return with_members(written(rules, "url-rules"), items_of)
 
 
+def labelled_sets(found: DataFrame, total: int) -> DataFrame:
+    """The frequent sets (items, freq) of two items at least and a label, as rules with their size, confident or not."""
+    sets = written(found.select(
+        F.sort_array(F.filter("items", lambda item: ~item.startswith("="))).alias("antecedent"),
+        F.get(F.filter("items", lambda item: item.startswith("=")), F.lit(0)).alias("label"), F.col("freq").alias("n")), "url-item-sets")
+    sets = sets.where(F.size("antecedent") > 1)
+    of_all = sets.where(F.col("label").isNull()).select("antecedent", F.col("n").alias("n_item"))
+    rows = sets.where(F.col("label").isNotNull()).join(of_all, "antecedent").select(
+        "antecedent", F.expr("substring(label, 2)").alias("label"), (F.col("n") / F.col("n_item")).alias("confidence"), (F.col("n") / total).alias("support"))
+    return with_ids(rows).withColumn("size", F.size("antecedent"))
+
+
 def with_ids(rules: DataFrame) -> DataFrame:
     return rules.select(F.xxhash64("label", "antecedent").alias("rule_id"), "antecedent", "label", "confidence", "support")
 
@@ -145,41 +146,25 @@ def item_counts(kinds: DataFrame, items_of: DataFrame) -> DataFrame:
     return by_label.join(by_label.groupBy("item").agg(F.sum("n").alias("n_item")), "item")
 
 
-def telling_items(counted: DataFrame, rows_of_labels: DataFrame, total: int) -> DataFrame:
-    """(item, tells) of the items that can gain by company: ``tells`` is half the G statistic of item and label."""
-    open_ = counted.where((F.col("n") < F.col("n_item")) & (F.col("n_item") < total)).join(rows_of_labels, "label")
-    # rows with and without the item, of each label, against what the label's share of all rows lets expect
-    inside, outside = F.col("n"), F.col("n_label") - F.col("n")
-    share = F.col("n_label") / total
-
-    def against(seen, rows):
-        return F.when(seen > 0, seen * F.log(seen / (rows * share))).otherwise(0.0)
-
-    tells = F.sum(against(inside, F.col("n_item")) + against(outside, total - F.col("n_item")))
-    return open_.groupBy("item").agg(tells.alias("tells"))
-
-
-def prune(rules: DataFrame) -> DataFrame:
-    """Without the rules of which a proper part is a rule that gives the same label at least as surely. Parts are looked up by id."""
-    size = F.size("antecedent")
-    masks = F.when(size > 1, F.sequence(F.lit(1), F.pow(F.lit(2), size).cast("int") - 2)).otherwise(F.array().cast("array<int>"))
-    looked_up = rules.select("rule_id", "label", "confidence", "antecedent", F.explode(masks).alias("mask"))
-    part = F.filter("antecedent", lambda item, i: F.expr("mask").bitwiseAND(F.pow(F.lit(2), i).cast("int")) != 0)
-    looked_up = looked_up.select("rule_id", "confidence", F.xxhash64("label", part).alias("part_id"))
-    parts = rules.select(F.col("rule_id").alias("part_id"), F.col("confidence").alias("part_confidence"))
-    pruned = looked_up.join(parts, "part_id").where(F.col("part_confidence") >= F.col("confidence")).select("rule_id").distinct()
-    return rules.join(pruned, "rule_id", "left_anti")
-
-
-def recount(rules: DataFrame, items_of: DataFrame, kinds: DataFrame, total: int) -> DataFrame:
-    """The rules with confidence and support counted over whole labelled URLs."""
-    rules = written(with_members(rules, items_of), "url-counted-rules")
-    urls = kinds.select("tokens", F.col("label").alias("url_label"), "n").withColumn("page_key", F.monotonically_increasing_id())
-    hits = rule_hits(written(urls, "url-counted-kinds"), rules.drop("confidence", "support"), ["url_label", "n"])
-    hits = hits.groupBy("page_key", "rule_id").agg(*[F.first(name).alias(name) for name in ("label", "url_label", "n")])
-    counts = hits.groupBy("rule_id").agg(F.sum("n").alias("n_item"), F.sum(F.when(F.col("url_label") == F.col("label"), F.col("n")).otherwise(0)).alias("n"))
-    return rules.drop("confidence", "support", "members").join(counts, "rule_id").select(
-        "rule_id", "antecedent", "label", (F.col("n") / F.col("n_item")).alias("confidence"), (F.col("n") / total).alias("support"))
+def prune(alone: DataFrame, sets: DataFrame, min_confidence: float) -> DataFrame:
+    """The rules of one item and those ``sets`` that are rules, less those of which a proper part is a rule that gives the same label
+    at least as surely.
+
+    Every part of a frequent set is frequent, so the best confidence below a set is the best of its parts with one item less: a
+    join by id a size.
+    """
+    kept, best = [alone], alone.select(F.col("rule_id").alias("part_id"), F.col("confidence").alias("best"))
+    for size in range(2, (sets.agg(F.max("size")).first()[0] or 0) + 1):
+        level = sets.where(F.col("size") == size).drop("size")
+        parts = F.transform("antecedent", lambda item: F.xxhash64("label", F.array_remove("antecedent", item)))
+        below = level.select("rule_id", F.explode(parts).alias("part_id")).join(best, "part_id").groupBy("rule_id").agg(F.max("best").alias("below"))
+        sure = F.when(F.col("confidence") >= min_confidence, F.col("confidence"))
+        judged = level.join(below, "rule_id", "left").withColumn("best", F.greatest("below", sure))
+        judged = written(judged.where(F.col("best").isNotNull()), "url-judged-sets")
+        new = judged.where((F.col("confidence") >= min_confidence) & (F.col("below").isNull() | (F.col("below") < F.col("confidence"))))
+        kept.append(new.select(*alone.columns))
+        best = judged.select(F.col("rule_id").alias("part_id"), "best")
+    return reduce(DataFrame.unionByName, kept)
 
 
 def with_members(rules: DataFrame, items_of: DataFrame) -> DataFrame:

@@ -153,3 +153,19 @@ def test_an_item_that_settles_the_label_needs_no_company(spark):
     found = {(tuple(r.antecedent), r.label): r.confidence for r in rules.collect()}
     assert found == {key: pytest.approx(value) for key, value in brute_rules(rows, 0.01, 0.55).items()}
     assert not [part for part, _ in found if len(part) > 1 and {"h0:bad", "all"} & set(part)]
+
+
+def test_items_that_tell_little_alone_make_rules_too(spark):
+    """Nine fields that tell a little by themselves, and two that tell nothing unless both are there: no number of items is too many."""
+    rng = random.Random(11)
+    rows = []
+    for n in range(600):
+        label = ("block", "allow")[n % 2]
+        tokens = [f"q:t{i}" for i in range(9) if rng.random() < (0.95 if label == "block" else 0.75)]
+        pair = [["q:x", "q:y"], []][n // 2 % 2] if label == "block" else [["q:x"], ["q:y"]][n // 2 % 2]
+        rows.append((tokens + pair, label))
+    rules = urls.mine_rules(spark.createDataFrame(rows, "tokens array<string>, label string"), 0.05, 0.9)
+    found = {(tuple(r.antecedent), r.label): r.confidence for r in rules.collect()}
+    expected = brute_rules(rows, 0.05, 0.9)
+    assert (("q:x", "q:y"), "block") in expected
+    assert found.keys() == expected.keys() and all(found[key] == pytest.approx(expected[key]) for key in found)
