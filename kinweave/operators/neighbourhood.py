@@ -11,12 +11,19 @@ takes the shorter list, so no request pays for a hub if its other end is no hub,
 user with a third of all edges costs at most one pass over the edges for all requests
 together. Requests are never paired with each other and no two-hop path is built that no
 request asks for.
+
+Most listed rows are no path. A request whose two lists are of a like length therefore takes
+16 bits of a hash of each of its user's friends along, and only those who know the candidate
+and have one of these hashes are shuffled on. The check on whole edges follows for all rows,
+so hashes decide nothing; requests without them are listed as said above.
 """
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 ASK = ["user_id", "candidate_id"]
 OUT, IN, DIRECT = 1, 2, 3
+# Requests take hashes along of at most so many friends, and if the other list is at most so many times as long.
+MOST_HASHES, TIMES_AS_LONG = 256, 4
 
 
 def people(friendships: DataFrame, id_map: DataFrame) -> DataFrame:
@@ -125,37 +132,61 @@ def _sized(asks: DataFrame, people: DataFrame, user_registered: bool = True) ->
 
 
 def _middles(asks: DataFrame, friendships: DataFrame, *carried: str, direct_for: DataFrame | None = None) -> DataFrame:
-    """The middles of every ask's two-hop paths as (user_id, candidate_id, middle, *carried).
+    """The middles of every ask's two-hop paths as (user_id, candidate_id, middle, *carried)."""
+    via = F.col("via")
+    steps = _steps(asks, friendships, *carried, direct_for=direct_for)
+    return steps.join(_edges(friendships), ["knower", "known"], "left_semi").select(
+        F.when(via == OUT, F.col("far")).otherwise(F.col("knower")).alias("user_id"),
+        F.when(via == OUT, F.col("known")).otherwise(F.col("far")).alias("candidate_id"),
+        F.when(via == OUT, F.col("knower")).otherwise(F.col("known")).alias("middle"),
+        *carried,
+    )
+
+
+def _steps(asks: DataFrame, friendships: DataFrame, *carried: str, direct_for: DataFrame | None = None) -> DataFrame:
+    """What is listed for asks and needs a check: an edge (knower, known) and the third user of the path (far).
 
     An ask goes ``via`` the friends of its user (OUT) or those who know its candidate (IN).
     With ``direct_for``, a table of all users, asks flagged ``direct`` go via one row of
     their user (DIRECT): nothing is listed and the check gets their own pair. That keeps
     the join an inner join, which can split a hot key on either side.
 
-    Listed rows are the largest data of the job, so they are shuffled to the check as one
-    edge (knower, known) and the third user of the path (far), and are put back afterwards.
+    Listed rows are the largest data of the job, so those without the hash of a friend stay behind.
     """
-    via, user, candidate, middle = map(F.col, ("via", "user_id", "candidate_id", "middle"))
-    takes = F.when(F.col("out_degree") <= F.col("in_degree"), OUT).otherwise(IN)
+    via, user, candidate, middle, anchor, far = map(F.col, ("via", "user_id", "candidate_id", "middle", "anchor", "far"))
+    asks = asks.join(_friend_hashes(friendships), "user_id", "left")
+    hashes = F.when(F.col("in_degree") <= TIMES_AS_LONG * F.col("out_degree"), F.col("hashes"))
+    takes = F.when(hashes.isNotNull(), IN).when(F.col("out_degree") <= F.col("in_degree"), OUT).otherwise(IN)
     ends = friendships.select(F.inline(F.array(
         F.struct(F.lit(OUT).alias("via"), user.alias("anchor"), F.col("friend_user_id").alias("middle")),
         F.struct(F.lit(IN).alias("via"), F.col("friend_user_id").alias("anchor"), user.alias("middle")),
     )))
     if direct_for is not None:
         takes = F.when(F.col("direct"), DIRECT).otherwise(takes)
+        hashes = F.when(~F.col("direct"), hashes)
         ends = ends.unionByName(direct_for.select(
             F.lit(DIRECT).alias("via"), user.alias("anchor"), F.lit(None).cast("string").alias("middle")
         ))
-    anchored = asks.withColumn("via", takes).withColumn("anchor", F.when(via == IN, candidate).otherwise(user))
-    steps = anchored.join(ends, ["via", "anchor"]).select(
-        "via", *carried,
-        F.when(via == OUT, middle).otherwise(user).alias("knower"),
-        F.when(via == IN, middle).otherwise(candidate).alias("known"),
-        F.when(via == OUT, user).otherwise(candidate).alias("far"),
+    taken = asks.select(*ASK, *carried, takes.alias("via"), hashes.alias("hashes"))
+    anchored = taken.select(
+        "via", *carried, "hashes",
+        F.when(via == IN, candidate).otherwise(user).alias("anchor"),
+        F.when(via == IN, user).otherwise(candidate).alias("far"),
     )
-    return steps.join(_edges(friendships), ["knower", "known"], "left_semi").select(
-        F.when(via == OUT, F.col("far")).otherwise(F.col("knower")).alias("user_id"),
-        F.when(via == OUT, F.col("known")).otherwise(F.col("far")).alias("candidate_id"),
-        F.when(via == OUT, F.col("knower")).otherwise(F.col("known")).alias("middle"),
-        *carried,
+    may_be_friend = F.col("hashes").isNull() | F.array_contains("hashes", _hash(middle))
+    return anchored.join(ends, ["via", "anchor"]).where(may_be_friend).select(
+        "via", *carried,
+        F.when(via == OUT, middle).when(via == IN, far).otherwise(anchor).alias("knower"),
+        F.when(via == IN, middle).otherwise(far).alias("known"),
+        F.when(via == DIRECT, far).otherwise(anchor).alias("far"),
     )
+
+
+def _hash(user: Column) -> Column:
+    return (F.pmod(F.xxhash64(user), F.lit(1 << 16)) - (1 << 15)).cast("short")
+
+
+def _friend_hashes(friendships: DataFrame) -> DataFrame:
+    """(user_id, hashes): the distinct hashes of everybody's friends, NULL where they are many. A hub has 65,536 of them at most."""
+    found = friendships.groupBy("user_id").agg(F.collect_set(_hash(F.col("friend_user_id"))).alias("hashes"))
+    return found.select("user_id", F.when(F.size("hashes") <= MOST_HASHES, F.col("hashes")).alias("hashes"))

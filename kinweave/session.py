@@ -20,6 +20,8 @@ ADAPTIVE = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64MB",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # ids are most of what is written
+    "spark.sql.parquet.compression.codec": "zstd",
     # keyed state of a stream that outgrows memory, and what transformWithState asks for
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     # state with an expiry would else run batches without data for ever where a stream is to end

@@ -66,3 +66,25 @@ def test_random_graph(make, tmp_path, seed):
     assert answers(neighbourhood.common_friends) == as_rows(common)
     assert answers(neighbourhood.common_friends_pair) == as_rows(pair)
     assert answers(lambda *tables: neighbourhood.common_friends_set(*tables, chunks=1)) == {(*k, 0, ",".join(sorted(m))) for k, m in common.items()}
+
+
+def test_rows_that_are_no_path_stay_behind(make):
+    """Everybody knows 20 of 400 and asks about 20: a path in a hundred listed rows. Lists too long or too unequal for hashes are whole too."""
+    rng = random.Random(3)
+    edges = {(f"u{n}", f"u{rng.randrange(400)}") for n in range(400) for _ in range(20)}
+    edges |= {("u0", f"u{n}") for n in range(400)} | {(f"u{n}", "u1") for n in range(400)}
+    asks = {(f"u{n}", f"u{rng.randrange(400)}") for n in range(400) for _ in range(20)} | {(f"u{n}", "u1") for n in range(50)} | {("u0", "u1")}
+    friendships = make(schemas.FRIENDSHIPS, *sorted(edges))
+    id_map = make(schemas.ID_MAP, *[(f"u{n}", str(n)) for n in range(400)])
+    requests = make(schemas.REQUESTS, *sorted(asks))
+    people = neighbourhood.people(friendships, id_map)
+    knows, known_by = {}, {}
+    for user, friend in edges:
+        knows.setdefault(user, set()).add(friend)
+        known_by.setdefault(friend, set()).add(user)
+    paths = {(u, c, m) for u, c in asks if u != c for m in knows[u] & known_by.get(c, set())}
+    assert {tuple(row) for row in neighbourhood.common_friends(requests, friendships, people).collect()} == paths
+    sized = neighbourhood._sized(requests.where("user_id <> candidate_id AND user_id <> 'u0' AND candidate_id <> 'u1'"), people)
+    listed = sum(min(len(knows[u]), len(known_by.get(c, ()))) for u, c in asks if u not in (c, "u0") and c != "u1")
+    shuffled = neighbourhood._steps(sized, friendships).count()
+    assert shuffled < listed / 5
