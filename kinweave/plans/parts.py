@@ -162,7 +162,11 @@ def _into_base(spark, parts, table, kind, buckets, path) -> list[Part]:
     """Rewrite the buckets that the deltas touch; base parts stay listed for the others."""
     later = union([read_part(spark, part, kind) for part in parts if part.level != BASE])
     touched = sorted(row[0] for row in later.select(BUCKET).distinct().collect())  # at most one number a bucket
-    new = write_base(read(spark, parts, kind, touched), table, kind, buckets, path)
+    # the deltas are a large part of the base here, so one grouping of both is less than look-ups
+    rows = read(spark, parts, kind, touched)
+    if kind.combine:
+        rows = combine(union([read_part(spark, part, kind, touched) for part in parts]), kind)
+    new = write_base(rows, table, kind, buckets, path)
     kept = []
     for part in parts:
         if part.level == BASE:

@@ -213,7 +213,17 @@ def import_graph(spark: SparkSession, root: str, folder: str, id_map: DataFrame,
     tables["hot_flags"] = _flag_steps(people.select("user_id", F.lit(0).cast("long").alias("was"), F.col("out_degree").alias("now")), hot_threshold)
     parts = stored_parts.side_by_side(
         partial(stored_parts.write_base, table, name, KINDS[name], buckets, f"{folder}/{name}") for name, table in tables.items())
-    return _publish(spark, root, folder, parts, NO_BATCH, epoch, buckets, False, hot_threshold)
+    once = all(_holds_once(spark, [part for part in parts if part.table == name], KINDS[name]) for name in ("open_edges", "by_user"))
+    return _publish(spark, root, folder, parts, NO_BATCH, epoch, buckets, once, hot_threshold)
+
+
+def _holds_once(spark: SparkSession, parts: list[Part], kind: Kind) -> bool:
+    """Whether a base that was just written holds each key once. Its ranges are sorted, and only digests of keys are shuffled."""
+    keys = stored_parts.union([stored_parts.read_part(spark, part, kind) for part in parts])
+    if keys is None:
+        return True
+    digest = keys.select(F.xxhash64(*kind.key).alias("key")).groupBy("key").agg(F.count("*").alias("n"))
+    return digest.where("n > 1").isEmpty()
 
 
 def collapsed(graph: Graph, folder: str) -> Graph:

@@ -261,6 +261,15 @@ def test_a_sync_removes_repeated_edges(spark, make, tmp_path):
     assert len(synced) == len(set(synced)) == 5
 
 
+def test_an_import_of_each_edge_once_is_not_rewritten_by_the_next_job(spark, make, tmp_path):
+    edges, id_map, relation = stored(make)[0], stored(make)[1], stored(make)[2]
+    assert jobs.import_edges(spark, edges.unionByName(edges), id_map, str(tmp_path / "twice")).collapsed is False
+    root = str(tmp_path / "once")
+    imported = jobs.import_edges(spark, edges.distinct(), id_map, root)
+    assert imported.collapsed
+    assert not [part.path for part in jobs.sync(spark, relation, root).parts if "collapsed-" in part.path]
+
+
 def test_sync_of_a_user_whose_old_vertex_has_edges(spark, make, tmp_path):
     """A user lost from the id map gets its digest id back, and with it its old edges: they are synced too."""
     edges, id_map, relation = stored(make)
